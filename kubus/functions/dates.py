@@ -12,7 +12,7 @@ def parse_german_date(text: Column) -> Column:
     Accepts ``1.2.2019`` and ``01.02.2019``; ``31.02.2019`` gives NULL
     (``to_date`` would raise under ANSI mode, ``try_to_date`` does not).
     """
-    return F.try_to_date(F.trim(text), F.lit("d.M.yyyy"))
+    return F.try_to_date(F.trim(text), "d.M.yyyy")
 
 
 def date_key(d: Column) -> Column:

@@ -117,8 +117,212 @@ def grouping_sets_sql(geo: str, time: str, product: str, year: int | None = None
 
 
 def wrap(inner: str, outer: str) -> str:
-    """Use a full query as the CTE ``r`` of an outer query."""
-    if inner.startswith("WITH "):
-        head, body = inner[5:].split("\nSELECT", 1)
-        return f"WITH {head},\nr AS (SELECT{body})\n{outer}"
-    return f"WITH r AS ({inner})\n{outer}"
+    """Use a full query as the relation ``r`` of an outer query."""
+    return f"WITH r AS (\n{inner}\n)\n{outer}"
+
+
+# -- dimensions ---------------------------------------------------------------
+
+def dim_date_sql(extra_years: int = 0) -> str:
+    return f"""WITH bounds AS (
+  SELECT min(year(o_orderdate)) AS lo, max(year(o_orderdate)) + {int(extra_years)} AS hi
+  FROM orders),
+days AS (
+  SELECT CAST(unnest(generate_series(make_date(lo, 1, 1), make_date(hi, 12, 31),
+                                     INTERVAL 1 DAY)) AS DATE) AS full_date
+  FROM bounds WHERE lo IS NOT NULL)
+SELECT
+  CAST(year(full_date) * 10000 + month(full_date) * 100 + day(full_date) AS INTEGER) AS date_key,
+  full_date,
+  CAST(year(full_date) AS INTEGER) AS "year",
+  CAST(quarter(full_date) AS INTEGER) AS "quarter",
+  CAST(month(full_date) AS INTEGER) AS "month",
+  CAST(day(full_date) AS INTEGER) AS "day",
+  CAST(isodow(full_date) AS INTEGER) AS day_of_week,
+  monthname(full_date) AS month_name,
+  'Q' || CAST(quarter(full_date) AS VARCHAR) AS quarter_name
+FROM days"""
+
+
+DIM_SHOP_SQL = """SELECT s.s_suppkey AS shop_key, s.s_suppkey AS shop_id, s.s_name AS shop_name,
+  CAST(n.n_nationkey AS INTEGER) AS city_id, n.n_name AS city_name,
+  CAST(r.r_regionkey AS INTEGER) AS region_id, r.r_name AS region_name,
+  1 AS country_id, 'WORLD' AS country_name
+FROM supplier s
+JOIN nation n ON s.s_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+DIM_PRODUCT_SQL = f"""SELECT p.p_partkey AS product_key, p.p_partkey AS article_id,
+  {ARTICLE} AS article_name,
+  CAST(p.p_retailprice AS DECIMAL(10,2)) AS price,
+  {GROUP} AS product_group_name,
+  {FAMILY} AS product_family_name,
+  p.p_type AS product_category_name
+FROM part p"""
+
+FACT_SQL = f"""SELECT {DATE_KEY} AS date_key, l.l_suppkey AS shop_key, l.l_partkey AS product_key,
+  CAST(l.l_quantity AS INTEGER) AS quantity_sold,
+  CAST(l.l_extendedprice AS DECIMAL(10,2)) AS revenue
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""
+
+
+def ctes(**named: str) -> str:
+    return "WITH " + ",\n".join(f"{k} AS (\n{v}\n)" for k, v in named.items())
+
+
+# -- sales text and load ---------------------------------------------------------
+
+SALES_TEXT_SQL = f"""SELECT
+  CASE WHEN h % 101 = 7 THEN '31.02.' || CAST(year(d) AS VARCHAR)
+       WHEN h % 103 = 5 THEN strftime(d, '%d.%m.') || CAST(year(d) + 40 AS VARCHAR)
+       WHEN h % 7 = 3 THEN CAST(day(d) AS VARCHAR) || '.' || CAST(month(d) AS VARCHAR) || '.'
+                           || CAST(year(d) AS VARCHAR)
+       ELSE strftime(d, '%d.%m.%Y') END AS "Date",
+  CASE WHEN h % 107 = 11 THEN shop_name || ' X' ELSE shop_name END AS "Shop",
+  CASE WHEN h % 109 = 13 THEN 'X' || article_name ELSE article_name END AS "Article",
+  CASE WHEN h % 113 = 17 THEN ''
+       WHEN h % 127 = 19 THEN '0'
+       WHEN h % 11 = 4 THEN ' ' || CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) || ' '
+       ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS "Sold",
+  CASE WHEN h % 131 = 23 THEN '1.' || amt
+       WHEN h % 137 = 29 THEN amt || '5'
+       ELSE amt END AS "Revenue"
+FROM (
+  SELECT l.l_orderkey * 8 + l.l_linenumber AS h, CAST(o.o_orderdate AS DATE) AS d,
+         s.s_name AS shop_name, {ARTICLE} AS article_name, l.l_quantity,
+         replace(CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(10,2)) AS DECIMAL(18,2)) AS VARCHAR),
+                 '.', ',') AS amt
+  FROM lineitem l
+  JOIN orders o ON l.l_orderkey = o.o_orderkey
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN part p ON l.l_partkey = p.p_partkey
+) lines"""
+
+CLASSIFIED_SQL = """SELECT x.*,
+  CASE WHEN x.sale_date IS NULL THEN 'bad_date'
+       WHEN sh.shop_key IS NULL THEN 'unknown_shop'
+       WHEN ar.product_key IS NULL THEN 'unknown_article'
+       WHEN x.sale_revenue IS NULL THEN 'bad_revenue'
+       WHEN x.sold_quantity IS NULL THEN 'bad_sold'
+       WHEN c.date_key IS NULL THEN 'date_out_of_range' END AS reject_reason,
+  sh.shop_key, ar.product_key
+FROM (
+  SELECT t.*,
+    CAST(try_strptime(trim(t."Date"), '%d.%m.%Y') AS DATE) AS sale_date,
+    CAST(year(CAST(try_strptime(trim(t."Date"), '%d.%m.%Y') AS DATE)) * 10000
+         + month(CAST(try_strptime(trim(t."Date"), '%d.%m.%Y') AS DATE)) * 100
+         + day(CAST(try_strptime(trim(t."Date"), '%d.%m.%Y') AS DATE)) AS INTEGER) AS sale_date_key,
+    TRY_CAST(trim(t."Sold") AS INTEGER) AS sold_quantity,
+    TRY_CAST(replace(trim(t."Revenue"), ',', '.') AS DECIMAL(10,2)) AS sale_revenue
+  FROM sales_text t) x
+LEFT JOIN (SELECT shop_name, max(shop_key) AS shop_key FROM dim_shop GROUP BY shop_name) sh
+  ON x."Shop" = sh.shop_name
+LEFT JOIN (SELECT article_name, max(product_key) AS product_key FROM dim_product
+           GROUP BY article_name) ar
+  ON x."Article" = ar.article_name
+LEFT JOIN dim_date c ON c.date_key = x.sale_date_key"""
+
+
+def load_ctes() -> dict[str, str]:
+    return {"dim_date": dim_date_sql(), "dim_shop": DIM_SHOP_SQL,
+            "dim_product": DIM_PRODUCT_SQL, "sales_text": SALES_TEXT_SQL,
+            "classified": CLASSIFIED_SQL}
+
+
+PARSED_STAR_SQL = """SELECT f.sale_date_key AS date_key, c.full_date, c."year", c."quarter", c."month", c."day",
+  f.shop_key, sh.shop_name, sh.city_name, sh.region_name, sh.country_name,
+  f.product_key, pr.article_name, pr.product_group_name, pr.product_family_name,
+  pr.product_category_name, f.sold_quantity AS quantity_sold, f.sale_revenue AS revenue
+FROM classified f
+JOIN dim_date c ON f.sale_date_key = c.date_key
+JOIN dim_shop sh ON f.shop_key = sh.shop_key
+JOIN dim_product pr ON f.product_key = pr.product_key
+WHERE f.reject_reason IS NULL"""
+
+
+def cube_over(named: dict[str, str], geo: str, time: str, product: str) -> str:
+    cols = resolve_levels(geo, time, product)
+    g, t, p = (_q(c) for c in cols)
+    return (f"{ctes(**named)}\n"
+            f"{_levels_select(cols, 'aggregation_level', CUBE_LEVEL_LABELS, CUBE_LEVEL_FALLBACK)}\n"
+            f"FROM star\nGROUP BY CUBE ({g}, {t}, {p})")
+
+
+# -- single CUBE level, navigation helpers ----------------------------------------
+
+def cube_level_sql(level: str, geo: str, time: str, product: str, year: int | None) -> str:
+    return wrap(cube_sql(geo, time, product, year),
+                f"SELECT * FROM r WHERE aggregation_level = '{level}'")
+
+
+# -- cross table ---------------------------------------------------------------------
+
+_METRIC_SQL = {"total_quantity": ("CAST(quantity_sold AS BIGINT)", "BIGINT"),
+               "total_revenue": ("revenue", "DECIMAL(38,2)"),
+               "transaction_count": ("CAST(1 AS BIGINT)", "BIGINT")}
+
+
+def crosstab_sql(geo: str, time: str, product: str, year: int, metric: str,
+                 max_columns: int | None = 8) -> str:
+    """Dynamic-column cross table: the shown members are the first
+    ``max_columns`` labels in text order; DuckDB's PIVOT names the columns."""
+    g, t, p = resolve_levels(geo, time, product)
+    value, typ = _METRIC_SQL[metric]
+    cells = (f"SELECT CAST({_q(g)} AS VARCHAR) AS _g, CAST({_q(t)} AS VARCHAR) AS _t, "
+             f"CAST({_q(p)} AS VARCHAR) AS _p, SUM({value}) AS _v FROM star "
+             f"WHERE {_q(p)} IS NOT NULL GROUP BY 1, 2, 3")
+    limit = f" LIMIT {int(max_columns)}" if max_columns is not None else ""
+    member_rows = (f"(WITH {star_cte(year)}, cells AS ({cells}), "
+                   f"shown AS (SELECT _p FROM (SELECT DISTINCT _p FROM cells) ORDER BY _p{limit}) "
+                   f"SELECT GROUPING(_g) AS _gg, GROUPING(_t) AS _gt, coalesce(_g, '') AS _gk, "
+                   f"coalesce(_t, '') AS _tk, _p, SUM(_v) AS _v FROM cells "
+                   f"WHERE _p IN (SELECT _p FROM shown) "
+                   f"GROUP BY GROUPING SETS ((_g, _t, _p), (_g, _p), (_p)))")
+    # With a cap the caller knows the members exceed it: the marker column.
+    more = "'...' AS \"...\", " if max_columns is not None else ""
+    sql = f"""WITH {star_cte(year)},
+cells AS ({cells}),
+rolled AS (SELECT _g, _t, GROUPING(_g) AS _gg, GROUPING(_t) AS _gt,
+                  CAST(COALESCE(SUM(_v), 0) AS {typ}) AS "TOTAL"
+           FROM cells GROUP BY ROLLUP (_g, _t))
+SELECT CASE WHEN a._gg = 1 THEN 'total' ELSE a._g END AS geo_region,
+       CASE WHEN a._gg = 1 THEN '' WHEN a._gt = 1 THEN 'total'
+            ELSE '{time} ' || a._t || ', {year}' END AS time_period,
+       COALESCE(COLUMNS(piv.* EXCLUDE (_gg, _gt, _gk, _tk)), 0),
+       {more}a."TOTAL"
+FROM rolled a
+LEFT JOIN (PIVOT {member_rows} ON _p USING CAST(SUM(_v) AS {typ})
+           GROUP BY _gg, _gt, _gk, _tk) piv
+  ON a._gg = piv._gg AND a._gt = piv._gt
+ AND coalesce(a._g, '') = piv._gk AND coalesce(a._t, '') = piv._tk"""
+    return sql
+
+
+def insights_sql(geo: str, time: str, product: str, year: int, metric: str, top: int = 3) -> str:
+    g, _, _ = resolve_levels(geo, time, product)
+    value, typ = _METRIC_SQL[metric]
+    return f"""WITH {star_cte(year)},
+per_geo AS (SELECT CAST({_q(g)} AS VARCHAR) AS _g, SUM({value}) AS _v FROM star GROUP BY 1)
+SELECT * FROM (SELECT 'geographic_total' AS insight, _g AS label, CAST(_v AS {typ}) AS value
+               FROM per_geo ORDER BY _g LIMIT {int(top)})
+UNION ALL
+SELECT 'grand_total' AS insight, 'total' AS label, CAST(SUM(_v) AS {typ}) AS value FROM per_geo"""
+
+
+def shape_sql(geo: str, time: str, product: str, year: int, max_columns: int = 8) -> str:
+    g, t, p = resolve_levels(geo, time, product)
+    return f"""WITH {star_cte(year)},
+cells AS (SELECT CAST({_q(g)} AS VARCHAR) AS _g, CAST({_q(t)} AS VARCHAR) AS _t,
+                 CAST({_q(p)} AS VARCHAR) AS _p
+          FROM star WHERE {_q(p)} IS NOT NULL GROUP BY 1, 2, 3),
+c AS (SELECT count(DISTINCT _g) AS geo_members, count(DISTINCT _t) AS time_periods,
+             count(DISTINCT _p) AS product_members,
+             (SELECT count(*) FROM (SELECT DISTINCT _g, _t FROM cells)) AS pairs
+      FROM cells)
+SELECT CAST(geo_members AS BIGINT) AS geo_members, CAST(time_periods AS BIGINT) AS time_periods,
+       CAST(product_members AS BIGINT) AS product_members,
+       CAST(pairs + geo_members + 1 AS BIGINT) AS table_rows,
+       CAST(least(product_members, {int(max_columns)})
+            + CASE WHEN product_members > {int(max_columns)} THEN 1 ELSE 0 END + 1 AS BIGINT)
+         AS table_columns
+FROM c"""

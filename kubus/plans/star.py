@@ -32,7 +32,7 @@ from ..functions.dates import date_key, year_range_predicate
 from ..functions.parsing import to_price
 from ..model import STAR_COLUMNS
 from ..sources.tables import read_table
-from .broadcast import DEFAULT_BROADCAST_ROWS, bounded_broadcast, broadcast_if_bounded
+from .broadcast import bounded_broadcast, broadcast_if_bounded
 
 WORLD = "WORLD"
 FACT_COLUMNS = ("date_key", "shop_key", "product_key", "quantity_sold", "revenue")
@@ -51,7 +51,7 @@ def _time_parts(full_date) -> list:
 class TpchStar:
     spark: SparkSession
     sf_dir: str
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    broadcast_rows: int | None = None
     _cache: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
@@ -66,11 +66,10 @@ class TpchStar:
             F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city_name"),
             F.col("n_regionkey").alias("n_region"))
         supplier = self.table("supplier")
-        # nation and region are tiny reference tables, but still size-checked.
-        geo = nation.join(broadcast_if_bounded(region, self.broadcast_rows),
-                          F.col("n_region") == F.col("region_id"))
-        shops = supplier.join(broadcast_if_bounded(geo, self.broadcast_rows),
-                              F.col("s_nationkey") == F.col("city_id"))
+        # No hints: the optimizer broadcasts nation/region (and supplier)
+        # only while their estimated size is under the broadcast threshold.
+        geo = nation.join(region, F.col("n_region") == F.col("region_id"))
+        shops = supplier.join(geo, F.col("s_nationkey") == F.col("city_id"))
         return shops.select(
             F.col("s_suppkey").alias("shop_key"),
             F.col("s_suppkey").alias("shop_id"),
@@ -130,18 +129,26 @@ class TpchStar:
 
 
 def star_join(fact: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
-              broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+              broadcast_rows: int | None = None) -> DataFrame:
     """Inner equi-joins of the fact with shop and product dimensions.
 
-    Each dimension is broadcast only when its checked size allows; larger
-    ones fall back to a shuffle join on the surrogate key.
+    Shop and product dimensions grow with the data (one row per supplier /
+    part), so they carry no broadcast hint by default.  The size check is
+    the optimizer's own: a side is broadcast only while its estimated size
+    is under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the join is
+    a sort-merge join on the surrogate key, which AQE may still turn into a
+    broadcast from runtime sizes and whose hot keys AQE's skew handling
+    splits.  With ``broadcast_rows`` set, each dimension's row count is
+    checked explicitly instead (one cheap ``limit().count()`` job each).
     """
     shop = dim_shop.select("shop_key", "shop_name", "city_name", "region_name",
                            "country_name")
     product = dim_product.select("product_key", "article_name", "product_group_name",
                                  "product_family_name", "product_category_name")
-    joined = (fact.join(broadcast_if_bounded(shop, broadcast_rows), "shop_key")
-              .join(broadcast_if_bounded(product, broadcast_rows), "product_key"))
+    if broadcast_rows:
+        shop = broadcast_if_bounded(shop, broadcast_rows)
+        product = broadcast_if_bounded(product, broadcast_rows)
+    joined = fact.join(shop, "shop_key").join(product, "product_key")
     return joined.select(*STAR_COLUMNS)
 
 
@@ -151,7 +158,7 @@ class WarehouseStar:
 
     spark: SparkSession
     root: str
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    broadcast_rows: int | None = None
 
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(os.path.join(self.root, name))
@@ -200,7 +207,7 @@ class FactStar:
     dim_date: DataFrame
     dim_shop: DataFrame
     dim_product: DataFrame
-    broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    broadcast_rows: int | None = None
 
     def frame(self, year: int | None = None) -> DataFrame:
         dates = self.dim_date

@@ -2,6 +2,7 @@
 
 Every query reads the input tables of ``sf_dir`` in full (or data Spark
 derives from them); ``kubus.oracle_queries`` holds the SQL twin of each.
+Year-filtered queries use ``YEAR`` as the source system's year parameter.
 """
 
 from __future__ import annotations
@@ -10,27 +11,160 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .model import CubePosition
+from .operators import crosstab as X
 from .operators import cube as C
-from .plans.star import TpchStar
+from .operators import dims as D
+from .operators import facts as FT
+from .operators import integrity as I
+from .operators import navigate as N
+from .operators import stats as S
+from .plans.star import FactStar, TpchStar
+from .sources.sales_text import tpch_sales_text
 
-# The year used by the year-filtered queries (the input orders span
-# 1995-2001; the source system's menus default to its own first year).
+# The input orders span 1995-2001; 1997 plays the role of the source
+# system's default analysis year.
 YEAR = 1997
+YEAR_FINE = 1999
+YEAR_CITY = 1998
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _star(spark: SparkSession, sf_dir: str) -> TpchStar:
+def star(spark: SparkSession, sf_dir: str) -> TpchStar:
     return TpchStar(spark, sf_dir)
 
 
+def dim_date(spark: SparkSession, sf_dir: str, extra_years: int = 0) -> DataFrame:
+    """Calendar covering every order year (bounded: <= 366 rows per year)."""
+    return D.calendar_covering(star(spark, sf_dir).table("orders"), "o_orderdate", extra_years)
+
+
+def dim_shop_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """supplier -> nation -> region flattened with the generic chain builder."""
+    from pyspark.sql import functions as F
+    st = star(spark, sf_dir)
+    s = st.table("supplier").select(F.col("s_suppkey").alias("shop_id"),
+                                    F.col("s_name").alias("shop_name"),
+                                    F.col("s_nationkey").alias("s_city"))
+    c = st.table("nation").select(F.col("n_nationkey").alias("city_id"),
+                                  F.col("n_name").alias("city_name"),
+                                  F.col("n_regionkey").alias("c_region"))
+    r = st.table("region").select(F.col("r_regionkey").alias("region_id"),
+                                  F.col("r_name").alias("region_name"))
+    flat = D.flatten_chain(s, [(c, "s_city", "city_id"), (r, "c_region", "region_id")])
+    return flat.select(F.col("shop_id").alias("shop_key"), "shop_id", "shop_name",
+                       F.col("city_id").cast("int").alias("city_id"), "city_name",
+                       F.col("region_id").cast("int").alias("region_id"), "region_name",
+                       F.lit(1).alias("country_id"), F.lit("WORLD").alias("country_name"))
+
+
+def classified_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    st = star(spark, sf_dir)
+    return FT.classify_sales(tpch_sales_text(st), st.dim_shop(), st.dim_product(),
+                             dim_date(spark, sf_dir))
+
+
+def parsed_star(spark: SparkSession, sf_dir: str) -> FactStar:
+    """Star over the fact loaded from the rendered sales text."""
+    st = star(spark, sf_dir)
+    fact = FT.accepted(classified_sales(spark, sf_dir))
+    return FactStar(fact, dim_date(spark, sf_dir), st.dim_shop(), st.dim_product())
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
-    # -- CUBE -------------------------------------------------------------
-    q["cube_default"] = lambda s, d: C.analysis(_star(s, d))
-    q["cube_year"] = lambda s, d: C.analysis(_star(s, d), "region", "quarter",
+    # -- dimensions and keys ------------------------------------------------
+    q["dim_date"] = lambda s, d: dim_date(s, d)
+    q["dim_shop"] = lambda s, d: dim_shop_flattened(s, d)
+    q["dim_product"] = lambda s, d: star(s, d).dim_product()
+    q["insert_if_absent"] = lambda s, d: D.insert_if_absent(
+        dim_date(s, d, extra_years=1), dim_date(s, d), "date_key")
+
+    # -- load: sales text -> fact with rejects --------------------------------
+    q["sales_text"] = lambda s, d: tpch_sales_text(star(s, d))
+    q["sales_parsed"] = lambda s, d: FT.accepted(classified_sales(s, d))
+    q["sales_rejects"] = lambda s, d: FT.rejected(classified_sales(s, d))
+    q["sales_reject_counts"] = lambda s, d: FT.reject_counts(classified_sales(s, d))
+    q["load_summary"] = lambda s, d: FT.load_summary(classified_sales(s, d))
+    q["cube_parsed_sales"] = lambda s, d: C.analysis(parsed_star(s, d), "city", "month",
+                                                     "productCategory")
+
+    # -- fact and integrity ---------------------------------------------------
+    q["fact_sales"] = lambda s, d: star(s, d).fact()
+    q["fact_orphans"] = lambda s, d: I.orphan_counts(star(s, d).fact(), {
+        "date": (dim_date(s, d), "date_key"),
+        "shop": (star(s, d).dim_shop(), "shop_key"),
+        "product": (star(s, d).dim_product(), "product_key")})
+    q["dimension_duplicates"] = lambda s, d: I.duplicate_keys({
+        "date": (dim_date(s, d), "date_key"),
+        "shop": (star(s, d).dim_shop(), "shop_key"),
+        "product": (star(s, d).dim_product(), "product_key")})
+
+    # -- statistics -----------------------------------------------------------
+    q["table_row_counts"] = lambda s, d: S.table_row_counts({
+        "dim_date": dim_date(s, d), "dim_shop": star(s, d).dim_shop(),
+        "dim_product": star(s, d).dim_product(), "fact_sales": star(s, d).fact()})
+    q["summary_statistics"] = lambda s, d: S.summary_statistics(star(s, d).fact(),
+                                                                dim_date(s, d))
+    q["warehouse_status"] = lambda s, d: S.warehouse_status(star(s, d).fact(), dim_date(s, d))
+    q["sales_summary_view"] = lambda s, d: S.sales_summary(star(s, d).frame())
+
+    # -- CUBE -----------------------------------------------------------------
+    q["cube_default"] = lambda s, d: C.analysis(star(s, d))
+    q["cube_year"] = lambda s, d: C.analysis(star(s, d), "region", "quarter",
                                              "productCategory", YEAR)
     q["cube_year_direct"] = lambda s, d: C.analysis(
-        _star(s, d), "region", "quarter", "productCategory", YEAR, via_base_cuboid=False)
+        star(s, d), "region", "quarter", "productCategory", YEAR, via_base_cuboid=False)
+    q["cube_city_month_family"] = lambda s, d: C.analysis(star(s, d), "city", "month",
+                                                          "productFamily", YEAR_CITY)
+    q["cube_coarsest"] = lambda s, d: C.analysis(star(s, d), "country", "year",
+                                                 "productCategory")
+    q["cube_finest"] = lambda s, d: C.analysis(star(s, d), "shop", "day", "article",
+                                               YEAR_FINE)
+    q["cube_level_detail"] = lambda s, d: C.cube_level(star(s, d), "Detail Level", "region",
+                                                       "quarter", "productGroup", YEAR)
+    q["cube_level_geo_time"] = lambda s, d: C.cube_level(star(s, d), "By Geo + Time",
+                                                         "region", "quarter", "productGroup",
+                                                         YEAR)
+    q["cube_level_filter"] = lambda s, d: C.filter_level(
+        C.analysis(star(s, d), "region", "quarter", "productCategory", YEAR),
+        "By Time + Product")
+    q["cube_level_counts"] = lambda s, d: C.level_counts(
+        C.analysis(star(s, d), "region", "quarter", "productGroup", YEAR, ordered=False))
+    q["cube_presentation"] = lambda s, d: C.presentation(
+        C.analysis(star(s, d), "region", "quarter", "productCategory", YEAR))
+
+    # -- GROUPING SETS ----------------------------------------------------------
+    q["grouping_sets_default"] = lambda s, d: C.grouping_sets(star(s, d))
+    q["grouping_sets_year"] = lambda s, d: C.grouping_sets(star(s, d), "region", "quarter",
+                                                           "productCategory", YEAR)
+    q["grouping_type_counts"] = lambda s, d: C.level_counts(
+        C.grouping_sets(star(s, d), "region", "quarter", "productGroup", YEAR, ordered=False),
+        "aggregation_type")
+
+    # -- cross table --------------------------------------------------------------
+    for metric, name in (("total_quantity", "crosstab_quantity"),
+                         ("total_revenue", "crosstab_revenue"),
+                         ("transaction_count", "crosstab_transactions")):
+        q[name] = (lambda m: lambda s, d: X.cross_table(
+            star(s, d), "region", "quarter", "productCategory", YEAR, m))(metric)
+    q["crosstab_capped"] = lambda s, d: X.cross_table(star(s, d), "region", "quarter",
+                                                      "productFamily", YEAR, "total_revenue")
+    q["crosstab_insights"] = lambda s, d: X.insights(star(s, d), "region", "quarter",
+                                                     "productGroup", YEAR, "total_quantity")
+    q["crosstab_shape"] = lambda s, d: X.table_shape(star(s, d), "region", "quarter",
+                                                     "productGroup", YEAR)
+
+    # -- drill-down / roll-up -------------------------------------------------------
+    start = CubePosition()
+    q["drill_start"] = lambda s, d: N.navigate(star(s, d), start, YEAR)
+    q["drill_down_geo"] = lambda s, d: N.navigate(star(s, d), start.drill_down("geo"), YEAR)
+    q["drill_down_product"] = lambda s, d: N.navigate(
+        star(s, d), start.drill_down("product"), YEAR)
+    q["roll_up_time"] = lambda s, d: N.navigate(star(s, d), start.roll_up("time"), YEAR)
+    q["drill_summary"] = lambda s, d: N.summary(star(s, d), start, YEAR)
+    q["drill_sample"] = lambda s, d: N.sample(star(s, d), start, YEAR)
+    q["drill_detail"] = lambda s, d: C.presentation(N.detail(star(s, d), start, YEAR))
     return q
