@@ -34,14 +34,18 @@ GROUPING_SET_LABELS = {
 GROUPING_SET_FALLBACK = "Other"
 
 
-def member_label(member: Column, grouping_flag: Column) -> Column:
-    """Member as text, or ``[Total]`` where the level was aggregated away."""
-    return F.when(grouping_flag == 1, F.lit(TOTAL_LABEL)).otherwise(member.cast("string"))
+def member_label(member: str, grouping_flag: str) -> Column:
+    """Member as text, or ``[Total]`` where the level was aggregated away.
 
+    Built as one SQL expression (one JVM round trip instead of several).
+    """
+    return F.expr(f"CASE WHEN `{grouping_flag}` = 1 THEN '{TOTAL_LABEL}' "
+                  f"ELSE CAST(`{member}` AS STRING) END")
 
-def level_label(g: Column, t: Column, p: Column, labels: dict, fallback: str) -> Column:
-    expr = None
-    for (fg, ft, fp), text in labels.items():
-        cond = (g == fg) & (t == ft) & (p == fp)
-        expr = F.when(cond, F.lit(text)) if expr is None else expr.when(cond, F.lit(text))
-    return expr.otherwise(F.lit(fallback))
+
+def level_label(g: str, t: str, p: str, labels: dict, fallback: str) -> Column:
+    """CASE over the three GROUPING flag columns ``g``, ``t``, ``p``."""
+    whens = " ".join(
+        f"WHEN `{g}` = {a} AND `{t}` = {b} AND `{p}` = {c} THEN '{text}'"
+        for (a, b, c), text in labels.items())
+    return F.expr(f"CASE {whens} ELSE '{fallback}' END")

@@ -48,14 +48,13 @@ def _with_ratio(star: DataFrame) -> DataFrame:
 
 
 def _partial_state(prefix: str = "") -> list[Column]:
-    """Mergeable measures over raw star rows."""
-    return [
-        F.sum("quantity_sold").alias(f"{prefix}qty"),
-        F.sum("revenue").alias(f"{prefix}rev"),
-        F.count(F.lit(1)).alias(f"{prefix}rows"),
-        F.sum(F.col("_ratio").cast("decimal(38,0)")).alias(f"{prefix}ratio_sum"),
-        F.count("_ratio").alias(f"{prefix}ratio_n"),
-    ]
+    """Mergeable measures over raw star rows (SQL text: one JVM call each)."""
+    return [F.expr(e) for e in (
+        f"sum(quantity_sold) AS {prefix}qty",
+        f"sum(revenue) AS {prefix}rev",
+        f"count(1) AS {prefix}rows",
+        f"sum(CAST(_ratio AS DECIMAL(38,0))) AS {prefix}ratio_sum",
+        f"count(_ratio) AS {prefix}ratio_n")]
 
 
 def base_cuboid(star: DataFrame, cols: tuple[str, str, str]) -> DataFrame:
@@ -64,22 +63,17 @@ def base_cuboid(star: DataFrame, cols: tuple[str, str, str]) -> DataFrame:
 
 
 def _merge_measures() -> list[Column]:
-    return [
-        F.sum("_qty").alias("qty"),
-        F.sum("_rev").alias("rev"),
-        F.sum("_rows").alias("rows"),
-        F.sum("_ratio_sum").cast("decimal(38,0)").alias("ratio_sum"),
-        F.sum("_ratio_n").alias("ratio_n"),
-    ]
+    return [F.expr(e) for e in (
+        "sum(_qty) AS qty", "sum(_rev) AS rev", "sum(_rows) AS rows",
+        "CAST(sum(_ratio_sum) AS DECIMAL(38,0)) AS ratio_sum", "sum(_ratio_n) AS ratio_n")]
 
 
 def _final_measures() -> list[Column]:
-    return [
-        F.col("qty").cast("long").alias("total_quantity"),
-        F.col("rev").cast("decimal(38,2)").alias("total_revenue"),
-        F.col("rows").cast("long").alias("transaction_count"),
-        mean_price("ratio_sum", "ratio_n").alias("avg_unit_price"),
-    ]
+    return [F.expr(e) for e in (
+        "CAST(qty AS BIGINT) AS total_quantity",
+        "CAST(rev AS DECIMAL(38,2)) AS total_revenue",
+        "CAST(rows AS BIGINT) AS transaction_count")] + [
+        mean_price("ratio_sum", "ratio_n").alias("avg_unit_price")]
 
 
 def _aggregate(star: DataFrame, cols: tuple[str, str, str], sets: tuple[tuple[int, ...], ...],
@@ -91,7 +85,7 @@ def _aggregate(star: DataFrame, cols: tuple[str, str, str], sets: tuple[tuple[in
         source, measures = base_cuboid(star, cols), _merge_measures()
     else:
         source, measures = _with_ratio(star), _partial_state()
-    flags = [F.grouping(c).cast("int").alias(name) for c, name in zip(cols, FLAGS)]
+    flags = [F.expr(f"CAST(grouping(`{c}`) AS INT) AS {name}") for c, name in zip(cols, FLAGS)]
     if sets == CUBE_SETS:
         grouped = source.cube(g, t, p)
     else:
@@ -114,11 +108,10 @@ def _aggregate_one_set(star: DataFrame, cols: tuple[str, str, str],
 
 def _finish(agg: DataFrame, cols: tuple[str, str, str], label_name: str, labels: dict,
             fallback: str, ordered: bool) -> DataFrame:
-    fg, ft, fp = (F.col(n) for n in FLAGS)
     out = agg.select(
-        *[member_label(F.col(c), F.col(f)).alias(d) for c, f, d in zip(cols, FLAGS, DIMENSIONS)],
+        *[member_label(c, f).alias(d) for c, f, d in zip(cols, FLAGS, DIMENSIONS)],
         *FLAGS, *_final_measures(),
-        level_label(fg, ft, fp, labels, fallback).alias(label_name))
+        level_label(*FLAGS, labels, fallback).alias(label_name))
     return order_levels(out) if ordered else out
 
 

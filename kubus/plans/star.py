@@ -28,8 +28,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import date_key, year_range_predicate
-from ..functions.parsing import to_price
+from ..functions.dates import year_range_predicate
 from ..model import STAR_COLUMNS
 from ..sources.tables import read_table
 from .broadcast import bounded_broadcast, broadcast_if_bounded
@@ -38,15 +37,6 @@ WORLD = "WORLD"
 FACT_COLUMNS = ("date_key", "shop_key", "product_key", "quantity_sold", "revenue")
 
 
-def _time_parts(full_date) -> list:
-    return [
-        F.year(full_date).cast("int").alias("year"),
-        F.quarter(full_date).cast("int").alias("quarter"),
-        F.month(full_date).cast("int").alias("month"),
-        F.dayofmonth(full_date).cast("int").alias("day"),
-    ]
-
-
 @dataclass
 class TpchStar:
     spark: SparkSession
@@ -60,37 +50,30 @@ class TpchStar:
     # -- dimensions -------------------------------------------------------
     def dim_shop(self) -> DataFrame:
         """supplier -> nation (city) -> region -> WORLD; one row per supplier."""
-        region = self.table("region").select(
-            F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))
-        nation = self.table("nation").select(
-            F.col("n_nationkey").alias("city_id"), F.col("n_name").alias("city_name"),
-            F.col("n_regionkey").alias("n_region"))
+        region = self.table("region").selectExpr("r_regionkey AS region_id",
+                                                 "r_name AS region_name")
+        nation = self.table("nation").selectExpr("n_nationkey AS city_id", "n_name AS city_name",
+                                                 "n_regionkey AS n_region")
         supplier = self.table("supplier")
         # No hints: the optimizer broadcasts nation/region (and supplier)
         # only while their estimated size is under the broadcast threshold.
         geo = nation.join(region, F.col("n_region") == F.col("region_id"))
         shops = supplier.join(geo, F.col("s_nationkey") == F.col("city_id"))
-        return shops.select(
-            F.col("s_suppkey").alias("shop_key"),
-            F.col("s_suppkey").alias("shop_id"),
-            F.col("s_name").alias("shop_name"),
-            F.col("city_id").cast("int").alias("city_id"), "city_name",
-            F.col("region_id").cast("int").alias("region_id"), "region_name",
-            F.lit(1).alias("country_id"), F.lit(WORLD).alias("country_name"))
+        return shops.selectExpr(
+            "s_suppkey AS shop_key", "s_suppkey AS shop_id", "s_name AS shop_name",
+            "CAST(city_id AS INT) AS city_id", "city_name",
+            "CAST(region_id AS INT) AS region_id", "region_name",
+            "1 AS country_id", f"'{WORLD}' AS country_name")
 
     def dim_product(self) -> DataFrame:
-        part = self.table("part")
-        family = F.concat(F.col("p_type"), F.lit("/"), F.col("p_brand"))
-        group = F.concat(family, F.lit("/"), F.col("p_name"))
-        article = F.concat(group, F.lit("#"), F.col("p_partkey").cast("string"))
-        return part.select(
-            F.col("p_partkey").alias("product_key"),
-            F.col("p_partkey").alias("article_id"),
-            article.alias("article_name"),
-            to_price(F.col("p_retailprice")).alias("price"),
-            group.alias("product_group_name"),
-            family.alias("product_family_name"),
-            F.col("p_type").alias("product_category_name"))
+        family = "concat(p_type, '/', p_brand)"
+        group = f"concat({family}, '/', p_name)"
+        return self.table("part").selectExpr(
+            "p_partkey AS product_key", "p_partkey AS article_id",
+            f"concat({group}, '#', CAST(p_partkey AS STRING)) AS article_name",
+            "CAST(p_retailprice AS DECIMAL(10,2)) AS price",
+            f"{group} AS product_group_name", f"{family} AS product_family_name",
+            "p_type AS product_category_name")
 
     # -- fact ---------------------------------------------------------------
     def _orders(self, year: int | None) -> DataFrame:
@@ -103,29 +86,49 @@ class TpchStar:
     def fact_lines(self, year: int | None = None) -> DataFrame:
         """lineitem x orders with the raw columns the fact is made from."""
         li = self.table("lineitem")
-        # Shuffle join on the order key; AQE turns it into a broadcast at
-        # runtime when the (filtered) orders side is small, and splits a
-        # hot order key if one appears.
+        # Equi-join on the order key: broadcast only while the (filtered)
+        # orders side is under the threshold, else a sort-merge join that
+        # AQE may convert at runtime and whose hot keys it splits.
         return li.join(self._orders(year), F.col("l_orderkey") == F.col("o_orderkey"))
 
+    _FACT = ("l_suppkey AS shop_key", "l_partkey AS product_key",
+             "CAST(l_quantity AS INT) AS quantity_sold",
+             "CAST(l_extendedprice AS DECIMAL(10,2)) AS revenue")
+    _DATE = "CAST(o_orderdate AS DATE)"
+
     def fact(self, year: int | None = None) -> DataFrame:
-        d = F.to_date(F.col("o_orderdate"))
-        return self.fact_lines(year).select(
-            date_key(d).alias("date_key"),
-            F.col("l_suppkey").alias("shop_key"),
-            F.col("l_partkey").alias("product_key"),
-            F.col("l_quantity").cast("int").alias("quantity_sold"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("revenue"))
+        d = self._DATE
+        return self.fact_lines(year).selectExpr(
+            f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INT) AS date_key",
+            *self._FACT)
 
     def frame(self, year: int | None = None) -> DataFrame:
-        d = F.to_date(F.col("o_orderdate"))
-        fact = self.fact_lines(year).select(
-            date_key(d).alias("date_key"), d.alias("full_date"), *_time_parts(d),
-            F.col("l_suppkey").alias("shop_key"),
-            F.col("l_partkey").alias("product_key"),
-            F.col("l_quantity").cast("int").alias("quantity_sold"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("revenue"))
-        return star_join(fact, self.dim_shop(), self.dim_product(), self.broadcast_rows)
+        """Fact joined to the base tables one at a time (snowflake order).
+
+        Joining supplier, nation, region and part directly keeps each join
+        side a plain scan, so its size estimate is the file size: tiny
+        reference tables are broadcast by the optimizer's threshold, while
+        supplier and part fall back to shuffle joins once they outgrow it.
+        (A pre-joined shop dimension would be estimated as a product of its
+        inputs and never broadcast.)
+        """
+        d = self._DATE
+        fact = self.fact_lines(year).selectExpr(
+            f"CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INT) AS date_key",
+            f"{d} AS full_date", f"CAST(year({d}) AS INT) AS year",
+            f"CAST(quarter({d}) AS INT) AS quarter", f"CAST(month({d}) AS INT) AS month",
+            f"CAST(day({d}) AS INT) AS day", *self._FACT)
+        supplier = self.table("supplier").selectExpr(
+            "s_suppkey AS shop_key", "s_name AS shop_name", "s_nationkey")
+        nation = self.table("nation").selectExpr(
+            "n_nationkey AS s_nationkey", "n_name AS city_name", "n_regionkey")
+        region = self.table("region").selectExpr("r_regionkey AS n_regionkey",
+                                                 "r_name AS region_name")
+        product = self.dim_product().drop("article_id", "price")
+        joined = (fact.join(supplier, "shop_key").join(nation, "s_nationkey")
+                  .join(region, "n_regionkey").join(product, "product_key"))
+        return joined.selectExpr(*[c for c in STAR_COLUMNS if c != "country_name"],
+                                 f"'{WORLD}' AS country_name").select(*STAR_COLUMNS)
 
 
 def star_join(fact: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
