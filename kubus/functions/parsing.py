@@ -47,7 +47,9 @@ def unit_price_e8(revenue: str, quantity: str) -> Column:
     ``revenue`` is a DECIMAL(10,2) column (so cents * 1e8 fits a bigint).
     """
     cents = f"cast({revenue} * 100 as bigint)"
-    mag = f"((abs({cents}) * {PRICE_SCALE_ROW} + abs({quantity}) div 2) div abs({quantity}))"
+    # cents * 1e6 = revenue in units of 1e-8
+    mag = (f"((abs({cents}) * {PRICE_SCALE_ROW // 100} + abs({quantity}) div 2) "
+           f"div abs({quantity}))")
     return F.expr(
         f"CASE WHEN {quantity} = 0 OR {quantity} IS NULL OR {revenue} IS NULL THEN NULL "
         f"WHEN ({cents} < 0) <> ({quantity} < 0) THEN -{mag} ELSE {mag} END")

@@ -67,7 +67,7 @@ def _label_case(g: str, t: str, p: str, labels: dict, fallback: str) -> str:
 def ratio_sql(revenue: str = "revenue", quantity: str = "quantity_sold") -> str:
     """Per-row unit price in units of 1e-8, rounded half away from zero."""
     cents = f"CAST({revenue} * 100 AS BIGINT)"
-    mag = f"((abs({cents}) * 100000000 + abs({quantity}) // 2) // abs({quantity}))"
+    mag = f"((abs({cents}) * 1000000 + abs({quantity}) // 2) // abs({quantity}))"
     return (f"(CASE WHEN {quantity} = 0 OR {quantity} IS NULL OR {revenue} IS NULL THEN NULL "
             f"WHEN ({cents} < 0) <> ({quantity} < 0) THEN -{mag} ELSE {mag} END)")
 
