@@ -80,3 +80,11 @@ def register_sales_summary_view(star: DataFrame, name: str = "v_sales_summary")
     view = sales_summary(star)
     view.createOrReplaceTempView(name)
     return view
+
+
+def sales_summary_for_year(spark, star: DataFrame, year: int,
+                           name: str = "v_sales_summary") -> DataFrame:
+    """The view queried through SQL with a bound parameter (no string
+    building): ``SELECT * FROM v_sales_summary WHERE year = :year``."""
+    register_sales_summary_view(star, name)
+    return spark.sql(f"SELECT * FROM {name} WHERE year = :year", args={"year": year})

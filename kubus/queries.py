@@ -110,6 +110,7 @@ def registry() -> dict[str, Query]:
                                                                 dim_date(s, d))
     q["warehouse_status"] = lambda s, d: S.warehouse_status(star(s, d).fact(), dim_date(s, d))
     q["sales_summary_view"] = lambda s, d: S.sales_summary(star(s, d).frame())
+    q["sales_summary_sql"] = lambda s, d: S.sales_summary_for_year(s, star(s, d).frame(), YEAR)
 
     # -- CUBE -----------------------------------------------------------------
     q["cube_default"] = lambda s, d: C.analysis(star(s, d))
