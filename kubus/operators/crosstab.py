@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import resolve_levels, validate_metric
+from ..session import ensure_checkpoint_dir
 
 MORE_COLUMN = "..."
 TOTAL_COLUMN = "TOTAL"
@@ -92,10 +93,17 @@ def cross_table_from_cells(cells: DataFrame, members: list[str], capped: bool,
 
 def cross_table(source, geo: str = "region", time: str = "quarter",
                 product: str = "productGroup", year: int | None = 2019,
-                metric: str = "total_quantity", max_columns: int | None = 8) -> DataFrame:
+                metric: str = "total_quantity", max_columns: int | None = 8,
+                checkpoint_cells: bool = True) -> DataFrame:
     validate_metric(metric)
     cols = resolve_levels(geo, time, product)
     cells = metric_cuboid(source.frame(year), cols, metric)
+    if checkpoint_cells:
+        # The cuboid feeds two jobs (member choice, then the table): write
+        # it once to the shared checkpoint folder instead of recomputing the
+        # star twice.
+        ensure_checkpoint_dir(cells.sparkSession)
+        cells = cells.checkpoint(eager=True)
     members, capped = product_members(cells, max_columns)
     return cross_table_from_cells(cells, members, capped, time, year, metric)
 

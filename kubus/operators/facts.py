@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, parse_german_date
 from ..functions.parsing import parse_decimal_comma, parse_int
-from ..plans.broadcast import bounded_broadcast
+from ..plans.broadcast import DEFAULT_BROADCAST_ROWS, bounded_broadcast, broadcast_if_bounded
 
 REASONS = ("bad_date", "unknown_shop", "unknown_article", "bad_revenue", "bad_sold",
            "date_out_of_range")
@@ -35,20 +35,24 @@ def name_lookup(dim: DataFrame, name_col: str, key_col: str) -> DataFrame:
 
 
 def classify_sales(text: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
-                   dim_date: DataFrame) -> DataFrame:
+                   dim_date: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+                   ) -> DataFrame:
     """Raw columns + parsed columns + ``reject_reason`` (NULL when accepted).
 
     Parsed columns: sale_date, sale_date_key, sold_quantity, sale_revenue,
     shop_key, product_key (raw and parsed names differ beyond case, since
     column names are case-insensitive).
 
-    The name lookups are left joins on the name; the optimizer broadcasts
-    a lookup while it is under the broadcast threshold and otherwise
-    shuffles both sides on the name (AQE splits a hot shop or article).
+    The name lookups are left joins on the name.  A lookup is broadcast
+    after checking that its dimension has at most ``broadcast_rows`` rows
+    (a lookup never has more rows than its dimension); larger lookups are
+    shuffle joins on the name, where AQE splits a hot shop or article.
     The calendar is bounded (<= 366 rows per year) and broadcast.
     """
-    shops = name_lookup(dim_shop, "shop_name", "shop_key")
-    articles = name_lookup(dim_product, "article_name", "product_key")
+    shops = broadcast_if_bounded(name_lookup(dim_shop, "shop_name", "shop_key"),
+                                 broadcast_rows, probe=dim_shop)
+    articles = broadcast_if_bounded(name_lookup(dim_product, "article_name", "product_key"),
+                                    broadcast_rows, probe=dim_product)
     calendar = dim_date.select(F.col("date_key").alias("_cal_key"))
     sale_date = parse_german_date(F.col("Date"))
     parsed = text.select(

@@ -19,25 +19,26 @@ def _key_to_date(c):
 def summary_statistics(fact: DataFrame, dim_date: DataFrame | None = None) -> DataFrame:
     """total_revenue, total_transactions, date range, unique products/shops.
 
-    ``fact`` has FACT_COLUMNS.  The date range is taken over facts whose
-    date key is in the calendar (inner join, as the source does); without a
-    calendar every fact counts (the key is a pure function of the date).
-    Exact distinct counts: Spark plans both COUNT(DISTINCT) in one
-    aggregate (an Expand of key columns, partial aggregation per key).
+    ``fact`` has FACT_COLUMNS.  One pass over the fact: the date range is
+    taken over facts whose key is in the calendar (the source joins the
+    calendar for it), flagged by a left join with the broadcast calendar
+    (bounded: <= 366 rows per year); without a calendar every fact counts.
+    Exact distinct counts: Spark plans both COUNT(DISTINCT) in the same
+    aggregate (an Expand of the key columns with partial aggregation).
     """
-    dated = fact
+    dated = F.lit(True)
     if dim_date is not None:
-        # Calendar: bounded (<= 366 rows per year), broadcast.
-        dated = fact.join(bounded_broadcast(dim_date.select("date_key")), "date_key", "left_semi")
+        cal = dim_date.select("date_key", F.lit(True).alias("_in_calendar"))
+        fact = fact.join(bounded_broadcast(cal), "date_key", "left")
+        dated = F.col("_in_calendar").isNotNull()
     stats = fact.agg(
         F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"),
         F.count(F.lit(1)).cast("long").alias("total_transactions"),
+        _key_to_date(F.min(F.when(dated, F.col("date_key")))).alias("start_date"),
+        _key_to_date(F.max(F.when(dated, F.col("date_key")))).alias("end_date"),
         F.count_distinct("product_key").cast("long").alias("unique_products"),
         F.count_distinct("shop_key").cast("long").alias("unique_shops"))
-    dates = dated.agg(_key_to_date(F.min("date_key")).alias("start_date"),
-                      _key_to_date(F.max("date_key")).alias("end_date"))
-    out = stats.crossJoin(dates)  # one row x one row
-    return out.select(
+    return stats.select(
         "total_revenue", "total_transactions", "start_date", "end_date",
         F.concat(F.col("start_date").cast("string"), F.lit(" to "),
                  F.col("end_date").cast("string")).alias("date_range"),

@@ -18,10 +18,17 @@ from pyspark.sql import functions as F
 DEFAULT_BROADCAST_ROWS = 500_000
 
 
-def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+def broadcast_if_bounded(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS,
+                         probe: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` if ``probe`` (default ``df``) has at most ``max_rows``
+    rows, else ``df`` unchanged.
+
+    Pass as ``probe`` a cheaper frame with at least as many rows as ``df``
+    (e.g. the input of an aggregate), so the check can stop scanning early.
+    """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
+    n = (probe if probe is not None else df).limit(max_rows + 1).count()
     return F.broadcast(df) if n <= max_rows else df
 
 

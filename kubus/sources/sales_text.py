@@ -87,9 +87,13 @@ def render_sales_text(lines: DataFrame) -> DataFrame:
 
 
 def tpch_sales_text(star) -> DataFrame:
-    """Rendered sales text for every lineitem of a ``TpchStar``."""
+    """Rendered sales text for every lineitem of a ``TpchStar``.
+
+    Names come straight from ``supplier`` and ``part`` (plain scans, so the
+    optimizer's size estimate decides broadcast vs shuffle join).
+    """
     lines = star.fact_lines()
-    shops = star.dim_shop().select(F.col("shop_key").alias("l_suppkey"), "shop_name")
-    articles = star.dim_product().select(F.col("product_key").alias("l_partkey"), "article_name")
+    shops = star.table("supplier").selectExpr("s_suppkey AS l_suppkey", "s_name AS shop_name")
+    articles = star.dim_product().selectExpr("product_key AS l_partkey", "article_name")
     named = lines.join(shops, "l_suppkey").join(articles, "l_partkey")
     return render_sales_text(named)
