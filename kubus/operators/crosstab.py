@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import resolve_levels, validate_metric
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 
 MORE_COLUMN = "..."
 TOTAL_COLUMN = "TOTAL"
@@ -102,8 +102,7 @@ def cross_table(source, geo: str = "region", time: str = "quarter",
         # The cuboid feeds two jobs (member choice, then the table): write
         # it once to the shared checkpoint folder instead of recomputing the
         # star twice.
-        ensure_checkpoint_dir(cells.sparkSession)
-        cells = cells.checkpoint(eager=True)
+        cells = materialize(cells)
     members, capped = product_members(cells, max_columns)
     return cross_table_from_cells(cells, members, capped, time, year, metric)
 

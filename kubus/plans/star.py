@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from ..functions.dates import year_range_predicate
 from ..model import STAR_COLUMNS
 from ..sources.tables import read_table
-from .broadcast import bounded_broadcast, broadcast_if_bounded
+from .broadcast import DEFAULT_BROADCAST_ROWS, bounded_broadcast, broadcast_if_bounded
 
 WORLD = "WORLD"
 FACT_COLUMNS = ("date_key", "shop_key", "product_key", "quantity_sold", "revenue")
@@ -210,7 +210,9 @@ class FactStar:
     dim_date: DataFrame
     dim_shop: DataFrame
     dim_product: DataFrame
-    broadcast_rows: int | None = None
+    # Dimensions here may be derived frames whose size the optimizer cannot
+    # estimate, so their row counts are checked explicitly.
+    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
 
     def frame(self, year: int | None = None) -> DataFrame:
         dates = self.dim_date

@@ -65,3 +65,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared checkpoint folder (eager).
+
+    Cuts the lineage the way a written table would: later jobs read the
+    checkpointed files, and the optimizer no longer rewrites across the
+    cut (e.g. pushing an inferred predicate back into expensive parsing).
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
