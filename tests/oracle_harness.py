@@ -52,6 +52,16 @@ def _rows(cols, rows):
     return sorted(out, key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
+_SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE",
+                  "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
+                  "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT",
+                  "timestamp_ntz": "TIMESTAMP"}
+
+
+def _spark_type(t: str) -> str:
+    return _SPARK_TO_DUCK.get(t, t.upper())
+
+
 def compare(spark, con, name: str, sf_dir: str, query, sql: str | None) -> dict:
     t0 = time.time()
     sdf = query(spark, sf_dir)
@@ -64,13 +74,18 @@ def compare(spark, con, name: str, sf_dir: str, query, sql: str | None) -> dict:
         return res
     cur = con.execute(sql)
     dcols = [d[0] for d in cur.description]
+    dtypes = {d[0]: str(d[1]) for d in cur.description}
+    stypes = {f.name: _spark_type(f.dataType.simpleString()) for f in sdf.schema.fields}
     drows = cur.fetchall()
     res["duck_rows"] = len(drows)
     if sorted(scols) != sorted(dcols):
         res["status"] = f"COLUMNS spark={scols} duck={dcols}"
         return res
     a, b = _rows(scols, srows), _rows(dcols, drows)
-    if a == b:
+    type_diff = {c: (stypes[c], dtypes[c]) for c in scols if stypes[c] != dtypes[c]}
+    if a == b and type_diff:
+        res["status"] = f"TYPES differ {type_diff}"
+    elif a == b:
         res["status"] = "ok"
     else:
         diff = [(x, y) for x, y in zip(a, b) if x != y][:3]
