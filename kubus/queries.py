@@ -7,6 +7,7 @@ Year-filtered queries use ``YEAR`` as the source system's year parameter.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +20,10 @@ from .operators import facts as FT
 from .operators import integrity as I
 from .operators import navigate as N
 from .operators import stats as S
-from .plans.star import FactStar, TpchStar
-from .session import materialize
-from .sources.sales_text import tpch_sales_text
+from .plans.star import FactStar, TpchStar, WarehouseStar
+from .plans.warehouse import build_warehouse
+from .session import materialize, scratch_path
+from .sources.sales_text import read_sales_csv, tpch_sales_text, write_sales_csv
 
 # The input orders span 1995-2001; 1997 plays the role of the source
 # system's default analysis year.
@@ -77,6 +79,27 @@ def parsed_star(spark: SparkSession, sf_dir: str) -> FactStar:
     return FactStar(fact, dim_date(spark, sf_dir), st.dim_shop(), st.dim_product())
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh folder under the shared checkpoint folder."""
+    return scratch_path(spark, f"kubus-{name}-{uuid.uuid4().hex[:12]}")
+
+
+def sales_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rendered sales text written as ISO-8859-1 ``;`` CSV and scanned back."""
+    path = scratch(spark, "sales-csv")
+    write_sales_csv(tpch_sales_text(star(spark, sf_dir)), path)
+    return read_sales_csv(spark, path)
+
+
+def warehouse(spark: SparkSession, sf_dir: str) -> WarehouseStar:
+    """Full ETL run into a fresh folder: dims, CSV sales -> fact + rejects."""
+    out = scratch(spark, "warehouse")
+    st = star(spark, sf_dir)
+    build_warehouse(out, dim_date(spark, sf_dir), st.dim_shop(), st.dim_product(),
+                    sales_csv(spark, sf_dir))
+    return WarehouseStar(spark, out)
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
@@ -95,6 +118,9 @@ def registry() -> dict[str, Query]:
     q["load_summary"] = lambda s, d: FT.load_summary(classified_sales(s, d))
     q["cube_parsed_sales"] = lambda s, d: C.analysis(parsed_star(s, d), "city", "month",
                                                      "productCategory")
+    q["sales_csv"] = sales_csv
+    q["warehouse_cube"] = lambda s, d: C.analysis(warehouse(s, d), "region", "quarter",
+                                                  "productFamily", YEAR)
 
     # -- fact and integrity ---------------------------------------------------
     q["fact_sales"] = lambda s, d: star(s, d).fact()

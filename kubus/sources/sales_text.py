@@ -27,15 +27,24 @@ SALES_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in SAL
 
 
 def read_sales_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Splittable CSV scan (no multiLine), fixed all-string schema."""
+    """Splittable CSV scan (no multiLine), fixed all-string schema.
+
+    Like a plain CSV reader, an empty field is the empty string, not NULL
+    (``nullValue`` is set to a NUL character, which text exports never
+    contain); short lines still give NULL for the missing fields.
+    """
     return (spark.read.schema(SALES_SCHEMA)
             .option("header", True).option("sep", ";").option("encoding", encoding)
-            .option("mode", "PERMISSIVE").csv(path))
+            .option("nullValue", "\u0000").option("mode", "PERMISSIVE").csv(path))
 
 
 def write_sales_csv(text: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
+    """Write sales text as the source format; fields are kept verbatim
+    (the CSV writer would otherwise trim blanks around ``Sold``)."""
     (text.select(*SALES_COLUMNS).write.mode("overwrite")
-     .option("header", True).option("sep", ";").option("encoding", encoding).csv(path))
+     .option("header", True).option("sep", ";").option("encoding", encoding)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(path))
 
 
 # Moduli and residues of the line hash h = l_orderkey * 8 +
