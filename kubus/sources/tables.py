@@ -46,9 +46,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     """
     path = table_path(sf_dir, name)
     cols = columns if columns is not None else TPCH_COLUMNS.get(name)
-    key = (id(spark), path, _version(path), cols)
+    key = (id(spark), spark.sparkContext.applicationId, path, _version(path), cols)
     df = _SCANS.get(key)
-    if df is None:
+    if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
         if cols:
             df = df.select(*cols)
