@@ -26,6 +26,28 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(shuffle_bytes: int, total_cores: int,
+                 target_partition_bytes: int = 256 * 1024 ** 2) -> dict:
+    """Settings sized for a cluster run.
+
+    ``shuffle_bytes`` is the expected size of the largest shuffle (the
+    projected fact, e.g. tens of TB for a 100 TB input); the initial number
+    of shuffle partitions keeps each partition near
+    ``target_partition_bytes`` so aggregation and sort buffers fit executor
+    memory, and AQE then coalesces small partitions by size.
+    """
+    parts = max(2 * total_cores, -(-shuffle_bytes // target_partition_bytes))
+    size = f"{target_partition_bytes // 1024 ** 2}m"
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+    }
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "kubus", extra: dict | None = None) -> SparkSession:
     builder = SparkSession.builder.appName(app_name)

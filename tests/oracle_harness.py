@@ -98,7 +98,13 @@ def main(argv: list[str]) -> int:
     names = argv[2:]
     from kubus.session import get_session
     import __spark_entry__ as E
-    spark = get_session("local[8]", 8)
+    if os.environ.get("PLAIN_SESSION"):
+        # The driver's way: no library settings at all.
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]")
+                 .config("spark.sql.shuffle.partitions", "8").getOrCreate())
+    else:
+        spark = get_session("local[8]", 8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

@@ -37,6 +37,24 @@ def test_base_cuboid_equals_direct(spark, sf_small):
     assert a == b
 
 
+def test_lattice_strategy_equals_expand(spark, sf_small):
+    st = TpchStar(spark, sf_small)
+    for kw in ({}, {"year": 1997}):
+        a = C.analysis(st, "city", "quarter", "productFamily", **kw).collect()
+        b = C.analysis(st, "city", "quarter", "productFamily", strategy="lattice",
+                       **kw).collect()
+        assert a == b
+    a = C.grouping_sets(st, "region", "month", "article", 1998).collect()
+    b = C.grouping_sets(st, "region", "month", "article", 1998, strategy="lattice").collect()
+    assert a == b
+
+
+def test_empty_selection(spark, sf_small):
+    st = TpchStar(spark, sf_small)
+    assert C.analysis(st, year=2019).count() == 0
+    assert C.cube_level(st, "Grand Total", year=2019).count() == 0
+
+
 def test_grouping_sets_are_subset_of_cube(spark, sf_small):
     st = TpchStar(spark, sf_small)
     cols = ["geo_dimension", "time_dimension", "product_dimension", "total_quantity",
