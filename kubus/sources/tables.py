@@ -36,6 +36,13 @@ def _version(path: str):
         return None
 
 
+def _app_id(spark: SparkSession):
+    try:
+        return spark.sparkContext.applicationId
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: tuple[str, ...] | None = None) -> DataFrame:
     """Parquet scan of ``<sf_dir>/<name>.parquet`` projected to ``columns``.
@@ -46,7 +53,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     """
     path = table_path(sf_dir, name)
     cols = columns if columns is not None else TPCH_COLUMNS.get(name)
-    key = (id(spark), spark.sparkContext.applicationId, path, _version(path), cols)
+    key = (id(spark), _app_id(spark), path, _version(path), cols)
     df = _SCANS.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
