@@ -27,11 +27,6 @@ def to_price(value: Column) -> Column:
     return value.cast("decimal(10,2)")
 
 
-def unit_price(revenue: Column, quantity: Column) -> Column:
-    """Revenue per unit as double; zero quantity gives NULL, never an error."""
-    return revenue.cast("double") / F.nullif(quantity, F.lit(0)).cast("double")
-
-
 # Unit prices are averaged in exact integer arithmetic so the result does
 # not depend on summation order (partial aggregates, base cuboid, engine):
 # each row's revenue/quantity is rounded half away from zero to 1e-8, the

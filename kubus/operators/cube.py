@@ -35,7 +35,6 @@ from ..model import resolve_levels
 
 FLAGS = ("geo_grouping", "time_grouping", "product_grouping")
 DIMENSIONS = ("geo_dimension", "time_dimension", "product_dimension")
-MEASURES = ("total_quantity", "total_revenue", "transaction_count", "avg_unit_price")
 PRICE_DIGITS = 6
 DEFAULT_STRATEGY = "expand"
 

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, iso_weekday, month_name, quarter_name
-from ..plans.broadcast import broadcast_if_bounded, bounded_broadcast
+from ..plans.broadcast import broadcast_if_bounded
 
 DIM_DATE_COLUMNS = ("date_key", "full_date", "year", "quarter", "month", "day",
                     "day_of_week", "month_name", "quarter_name")
@@ -137,9 +137,3 @@ def product_dimension(article: DataFrame, group: DataFrame, family: DataFrame,
         "product_family_name",
         F.col("product_category_id").cast("int").alias("product_category_id"),
         "product_category_name")
-
-
-def join_calendar(fact: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Fact x calendar on ``date_key``; the calendar is at most 366 rows per
-    year of the covered span, so broadcasting it is bounded."""
-    return fact.join(bounded_broadcast(dim_date), "date_key", "inner")

@@ -22,7 +22,6 @@ from ..plans.broadcast import DEFAULT_BROADCAST_ROWS, bounded_broadcast, broadca
 
 REASONS = ("bad_date", "unknown_shop", "unknown_article", "bad_revenue", "bad_sold",
            "date_out_of_range")
-FACT_OUT = ("date_key", "shop_key", "product_key", "quantity_sold", "revenue")
 
 
 def name_lookup(dim: DataFrame, name_col: str, key_col: str) -> DataFrame:

@@ -49,6 +49,14 @@ def test_lattice_strategy_equals_expand(spark, sf_small):
     assert a == b
 
 
+def test_frame_star_equals_source(spark, sf_small):
+    from kubus.plans.star import FrameStar
+    st = TpchStar(spark, sf_small)
+    a = C.analysis(FrameStar(st.frame()), "region", "year", "productCategory", 1998).collect()
+    b = C.analysis(st, "region", "year", "productCategory", 1998).collect()
+    assert a == b
+
+
 def test_empty_selection(spark, sf_small):
     st = TpchStar(spark, sf_small)
     assert C.analysis(st, year=2019).count() == 0

@@ -49,6 +49,7 @@ def test_reject_reasons_follow_validation_order(spark):
     got = {tuple(r[:5]): r.reject_reason for r in classified.collect()}
     for line, reason in SALES_LINES:
         assert got[line] == reason, line
+    assert {r for r in got.values() if r} == set(FT.REASONS)
     s = FT.load_summary(classified).first()
     assert s.input_rows == len(SALES_LINES)
     assert s.accepted_rows + s.rejected_rows == s.input_rows

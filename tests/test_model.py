@@ -32,3 +32,11 @@ def test_position_moves_and_bounds():
     assert pos.report()["product"] == "productGroup (Level 3/4)"
     with pytest.raises(ValueError):
         CubePosition(4, 0, 0)
+
+
+def test_cluster_conf_sizes_partitions():
+    from kubus.session import cluster_conf
+    conf = cluster_conf(shuffle_bytes=20 * 1024 ** 4, total_cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 81920
+    assert conf["spark.sql.adaptive.enabled"] == "true"
+    assert int(cluster_conf(10, 8)["spark.sql.shuffle.partitions"]) == 16
