@@ -17,9 +17,17 @@ def parse_decimal_comma(text: Column, precision: int = 10, scale: int = 2) -> Co
         f"decimal({precision},{scale})")
 
 
+INT_PATTERN = r"^[+-]?[0-9]+$"
+
+
 def parse_int(text: Column) -> Column:
-    """Integer with surrounding blanks allowed; NULL for empty or junk."""
-    return F.trim(text).try_cast("int")
+    """Integer with surrounding blanks allowed; NULL for empty or junk.
+
+    Only an optional sign and digits are accepted (``5.0`` is rejected, as
+    a plain integer parse would), whatever the engine's cast leniency.
+    """
+    t = F.trim(text)
+    return F.when(t.rlike(INT_PATTERN), t.try_cast("int"))
 
 
 def to_price(value: Column) -> Column:

@@ -212,7 +212,8 @@ FROM (
     CAST(year(CAST(try_strptime(trim(t."Date"), '%d.%m.%Y') AS DATE)) * 10000
          + month(CAST(try_strptime(trim(t."Date"), '%d.%m.%Y') AS DATE)) * 100
          + day(CAST(try_strptime(trim(t."Date"), '%d.%m.%Y') AS DATE)) AS INTEGER) AS sale_date_key,
-    TRY_CAST(trim(t."Sold") AS INTEGER) AS sold_quantity,
+    CASE WHEN regexp_matches(trim(t."Sold"), '^[+-]?[0-9]+$')
+         THEN TRY_CAST(trim(t."Sold") AS INTEGER) END AS sold_quantity,
     TRY_CAST(replace(trim(t."Revenue"), ',', '.') AS DECIMAL(10,2)) AS sale_revenue
   FROM sales_text t) x
 LEFT JOIN (SELECT shop_name, max(shop_key) AS shop_key FROM dim_shop GROUP BY shop_name) sh

@@ -10,7 +10,8 @@ from kubus.functions.parsing import format_decimal_comma, parse_decimal_comma, p
 def test_text_parsing(spark):
     df = spark.createDataFrame(
         [("1.2.2019", "498,00", " 5 "), ("31.02.2019", "10,005", ""),
-         ("01.12.2020", "1.234,56", "x"), ("xx", "0,5", "0")],
+         ("01.12.2020", "1.234,56", "x"), ("xx", "0,5", "0"), ("1.1.2020", "5", "5.0"),
+         ("1.1.2020", "5", "-3")],
         "d string, r string, s string")
     rows = df.select(parse_german_date(F.col("d")).alias("d"),
                      parse_decimal_comma(F.col("r")).alias("r"),
@@ -19,7 +20,9 @@ def test_text_parsing(spark):
         (dt.date(2019, 2, 1), Decimal("498.00"), 5),
         (None, Decimal("10.01"), None),
         (dt.date(2020, 12, 1), None, None),
-        (None, Decimal("0.50"), 0)]
+        (None, Decimal("0.50"), 0),
+        (dt.date(2020, 1, 1), Decimal("5.00"), None),
+        (dt.date(2020, 1, 1), Decimal("5.00"), -3)]
 
 
 def test_calendar_parts(spark):
