@@ -104,6 +104,7 @@ def registry() -> dict[str, str]:
     q["cube_city_month_family"] = O.cube_sql("city", "month", "productFamily", YEAR_CITY)
     q["cube_coarsest"] = O.cube_sql("country", "year", "productCategory")
     q["cube_finest"] = O.cube_sql("shop", "day", "article", YEAR_FINE)
+    q["cube_lattice"] = O.cube_sql("region", "month", "productFamily")
     q["cube_level_detail"] = O.cube_level_sql("Detail Level", "region", "quarter",
                                               "productGroup", YEAR)
     q["cube_level_geo_time"] = O.cube_level_sql("By Geo + Time", "region", "quarter",
@@ -117,6 +118,7 @@ def registry() -> dict[str, str]:
     # -- GROUPING SETS ------------------------------------------------------
     q["grouping_sets_default"] = O.grouping_sets_sql("region", "quarter", "productGroup")
     q["grouping_sets_year"] = O.grouping_sets_sql("region", "quarter", "productCategory", YEAR)
+    q["grouping_sets_finest"] = O.grouping_sets_sql("shop", "day", "article", YEAR_FINE)
     q["grouping_type_counts"] = _counts(
         O.grouping_sets_sql("region", "quarter", "productGroup", YEAR), "aggregation_type")
 
@@ -126,6 +128,8 @@ def registry() -> dict[str, str]:
                          ("total_revenue", "crosstab_revenue"),
                          ("transaction_count", "crosstab_transactions")):
         q[name] = O.crosstab_sql("region", "quarter", "productCategory", YEAR, metric, None)
+    q["crosstab_default"] = O.crosstab_sql("region", "quarter", "productGroup", YEAR,
+                                           "total_quantity", 8)
     q["crosstab_capped"] = O.crosstab_sql("region", "quarter", "productFamily", YEAR,
                                           "total_revenue", 8)
     q["crosstab_insights"] = O.insights_sql("region", "quarter", "productGroup", YEAR,

@@ -155,6 +155,8 @@ def registry() -> dict[str, Query]:
                                                  "productCategory")
     q["cube_finest"] = lambda s, d: C.analysis(star(s, d), "shop", "day", "article",
                                                YEAR_FINE)
+    q["cube_lattice"] = lambda s, d: C.analysis(star(s, d), "region", "month", "productFamily",
+                                                strategy="lattice")
     q["cube_level_detail"] = lambda s, d: C.cube_level(star(s, d), "Detail Level", "region",
                                                        "quarter", "productGroup", YEAR)
     q["cube_level_geo_time"] = lambda s, d: C.cube_level(star(s, d), "By Geo + Time",
@@ -172,6 +174,8 @@ def registry() -> dict[str, Query]:
     q["grouping_sets_default"] = lambda s, d: C.grouping_sets(star(s, d))
     q["grouping_sets_year"] = lambda s, d: C.grouping_sets(star(s, d), "region", "quarter",
                                                            "productCategory", YEAR)
+    q["grouping_sets_finest"] = lambda s, d: C.grouping_sets(star(s, d), "shop", "day",
+                                                             "article", YEAR_FINE)
     q["grouping_type_counts"] = lambda s, d: C.level_counts(
         C.grouping_sets(star(s, d), "region", "quarter", "productGroup", YEAR, ordered=False),
         "aggregation_type")
@@ -182,6 +186,7 @@ def registry() -> dict[str, Query]:
                          ("transaction_count", "crosstab_transactions")):
         q[name] = (lambda m: lambda s, d: X.cross_table(
             star(s, d), "region", "quarter", "productCategory", YEAR, m))(metric)
+    q["crosstab_default"] = lambda s, d: X.cross_table(star(s, d), year=YEAR)
     q["crosstab_capped"] = lambda s, d: X.cross_table(star(s, d), "region", "quarter",
                                                       "productFamily", YEAR, "total_revenue")
     q["crosstab_insights"] = lambda s, d: X.insights(star(s, d), "region", "quarter",
