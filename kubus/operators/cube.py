@@ -57,9 +57,21 @@ def _partial_state(prefix: str = "") -> list[Column]:
         f"count(_ratio) AS {prefix}ratio_n")]
 
 
+def has_state(star: DataFrame) -> bool:
+    """True for a pre-aggregated star (a cached cuboid with mergeable state)."""
+    return "_rows" in star.columns
+
+
+def state_cuboid(star: DataFrame, cols: list[str] | tuple[str, ...]) -> DataFrame:
+    """Group raw star rows, or merge a pre-aggregated star, by ``cols``."""
+    if has_state(star):
+        return star.groupBy(*cols).agg(*[F.sum(c).alias(c) for c in _STATE])
+    return _with_ratio(star).groupBy(*cols).agg(*_partial_state("_"))
+
+
 def base_cuboid(star: DataFrame, cols: tuple[str, str, str]) -> DataFrame:
     """Finest requested level with mergeable state; one shuffle on the keys."""
-    return _with_ratio(star).groupBy(*cols).agg(*_partial_state("_"))
+    return state_cuboid(star, cols)
 
 
 def _merge_measures() -> list[Column]:
@@ -81,6 +93,7 @@ def _aggregate(star: DataFrame, cols: tuple[str, str, str], sets: tuple[tuple[in
     g, t, p = cols
     if len(sets) == 1:
         return _aggregate_one_set(star, cols, sets[0])
+    via_base_cuboid = via_base_cuboid or has_state(star)
     if via_base_cuboid and strategy == "lattice":
         return _lattice(base_cuboid(star, cols), cols, sets)
     if via_base_cuboid:
@@ -132,7 +145,11 @@ def _aggregate_one_set(star: DataFrame, cols: tuple[str, str, str],
     """One grouping set: a plain GROUP BY (no Expand); absent keys are NULL
     and their flags are literal 1."""
     keys = [cols[i] for i in gset]
-    out = _with_ratio(star).groupBy(*keys).agg(*_partial_state())
+    if has_state(star):
+        out = state_cuboid(star, keys).select(
+            *keys, *[F.col(c).alias(c.lstrip("_")) for c in _STATE])
+    else:
+        out = _with_ratio(star).groupBy(*keys).agg(*_partial_state())
     if not keys:
         # A global aggregate yields one row even on empty input; the CUBE
         # grand total does not.

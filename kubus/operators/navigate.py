@@ -2,7 +2,18 @@
 
 A ``CubePosition`` (model.py) is an immutable triple of level indices;
 ``drill_down`` / ``roll_up`` return new positions and refuse to move past
-either end.  These functions turn a position into DataFrames.
+either end.  The functions below turn a position into DataFrames.
+
+``Navigator`` keeps one materialised cuboid for a navigation session: the
+star grouped by every level from the top of each hierarchy down to the
+deepest level visited so far, with mergeable state.  Each later step is a
+CUBE over that cuboid instead of a new pass over the fact; it is rebuilt
+(one pass) only when a step goes deeper than the cuboid, which is built
+``lookahead`` levels below the current position.  Keeping the
+coarser columns (year next to month, region next to city) is what makes
+every roll-up additive, since a level is a single column.  The cuboid is
+checkpointed into the shared checkpoint folder; above ``max_rows`` rows it
+is not used and steps read the source directly.
 """
 
 from __future__ import annotations
@@ -10,7 +21,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..model import CubePosition
+from ..model import GEO, PRODUCT, TIME, CubePosition
+from ..plans.star import FrameStar
+from ..session import materialize
 from . import cube as C
 
 
@@ -47,3 +60,56 @@ def walk(source, moves: list[tuple[str, str]], start: CubePosition | None = None
     for op, dim in moves:
         pos = pos.drill_down(dim) if op == "down" else pos.roll_up(dim)
     return pos, navigate(source, pos, year)
+
+
+class Navigator:
+    """Stateful navigation session with a reusable cuboid (see module doc)."""
+
+    def __init__(self, source, year: int | None = 2019,
+                 position: CubePosition | None = None, max_rows: int = 100_000_000,
+                 lookahead: int = 1):
+        self.source = source
+        self.year = year
+        self.position = position or CubePosition()
+        self.max_rows = max_rows
+        self.lookahead = lookahead
+        self._depth: tuple[int, int, int] | None = None
+        self._cuboid: DataFrame | None = None
+        self._too_big = False
+
+    def _columns(self, depth: tuple[int, int, int]) -> list[str]:
+        return [col for h, d in zip((GEO, TIME, PRODUCT), depth) for _, col in h.levels[:d + 1]]
+
+    def _ensure(self, pos: CubePosition) -> DataFrame | None:
+        need = (pos.geo, pos.time, pos.product)
+        if self._depth and all(n <= d for n, d in zip(need, self._depth)):
+            return self._cuboid
+        if self._too_big:
+            return None
+        # Build ``lookahead`` levels below the position, so the usual next
+        # drill-down is served without another pass over the fact.
+        ahead = tuple(min(n + self.lookahead, len(h) - 1)
+                      for n, h in zip(need, (GEO, TIME, PRODUCT)))
+        depth = tuple(max(a, b) for a, b in zip(ahead, self._depth or ahead))
+        cuboid = materialize(C.state_cuboid(self.source.frame(self.year),
+                                            self._columns(depth)))
+        if cuboid.limit(self.max_rows + 1).count() > self.max_rows:
+            self._too_big = True
+            return None
+        self._depth, self._cuboid = depth, cuboid
+        return cuboid
+
+    def analysis(self, position: CubePosition | None = None, **kw) -> DataFrame:
+        pos = position or self.position
+        cuboid = self._ensure(pos)
+        if cuboid is None:
+            return navigate(self.source, pos, self.year, **kw)
+        return C.analysis(FrameStar(cuboid), *pos.levels, None, **kw)
+
+    def drill_down(self, dim: str) -> DataFrame:
+        self.position = self.position.drill_down(dim)
+        return self.analysis()
+
+    def roll_up(self, dim: str) -> DataFrame:
+        self.position = self.position.roll_up(dim)
+        return self.analysis()

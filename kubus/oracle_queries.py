@@ -141,6 +141,7 @@ def registry() -> dict[str, str]:
     q["drill_down_geo"] = O.cube_sql("city", "quarter", "productGroup", YEAR)
     q["drill_down_product"] = O.cube_sql("region", "quarter", "article", YEAR)
     q["roll_up_time"] = O.cube_sql("region", "year", "productGroup", YEAR)
+    q["navigator_walk"] = O.cube_sql("city", "year", "article", YEAR)
     detail = O.cube_level_sql("Detail Level", "region", "quarter", "productGroup", YEAR)
     q["drill_summary"] = O.wrap(detail, (
         "SELECT 'region' AS geo_level, 'quarter' AS time_level, 'productGroup' AS product_level, "

@@ -100,6 +100,15 @@ def warehouse(spark: SparkSession, sf_dir: str) -> WarehouseStar:
     return WarehouseStar(spark, out)
 
 
+def navigator_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Drill down geo, then product, then roll time up to year: the last
+    step is answered from the navigation cuboid, not from the fact."""
+    nav = N.Navigator(star(spark, sf_dir), YEAR)
+    nav.drill_down("geo")
+    nav.drill_down("product")
+    return nav.roll_up("time")
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
@@ -201,6 +210,7 @@ def registry() -> dict[str, Query]:
     q["drill_down_product"] = lambda s, d: N.navigate(
         star(s, d), start.drill_down("product"), YEAR)
     q["roll_up_time"] = lambda s, d: N.navigate(star(s, d), start.roll_up("time"), YEAR)
+    q["navigator_walk"] = lambda s, d: navigator_walk(s, d)
     q["drill_summary"] = lambda s, d: N.summary(star(s, d), start, YEAR)
     q["drill_sample"] = lambda s, d: N.sample(star(s, d), start, YEAR)
     q["drill_detail"] = lambda s, d: C.presentation(N.detail(star(s, d), start, YEAR))

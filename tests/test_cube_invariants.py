@@ -111,3 +111,20 @@ def test_insights_and_shape(spark, sf_small):
     assert [r.insight for r in ins] == ["geographic_total"] * 3 + ["grand_total"]
     shape = X.table_shape(st, "region", "quarter", "productCategory", 1997).first()
     assert shape.product_members == 6 and shape.table_columns == 7
+
+
+def test_navigator_reuses_its_cuboid(spark, sf_small):
+    from kubus.model import CubePosition
+    from kubus.operators import navigate as N
+    st = TpchStar(spark, sf_small)
+    nav = N.Navigator(st, 1997)
+    first = nav.analysis().collect()
+    assert first == N.navigate(st, CubePosition(), 1997).collect()
+    cuboid = nav._cuboid
+    down = nav.drill_down("geo").collect()
+    assert nav._cuboid is cuboid  # served by the look-ahead cuboid
+    assert down == N.navigate(st, CubePosition().drill_down("geo"), 1997).collect()
+    up = nav.roll_up("time").collect()
+    assert up == N.navigate(st, CubePosition(2, 0, 2), 1997).collect()
+    small = N.Navigator(st, 1997, max_rows=10)
+    assert small.analysis().collect() == first  # too big to keep: reads the source
