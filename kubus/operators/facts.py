@@ -34,8 +34,9 @@ def name_lookup(dim: DataFrame, name_col: str, key_col: str) -> DataFrame:
 
 
 def classify_sales(text: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
-                   dim_date: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS
-                   ) -> DataFrame:
+                   dim_date: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+                   shop_probe: DataFrame | None = None,
+                   product_probe: DataFrame | None = None) -> DataFrame:
     """Raw columns + parsed columns + ``reject_reason`` (NULL when accepted).
 
     Parsed columns: sale_date, sale_date_key, sold_quantity, sale_revenue,
@@ -46,12 +47,14 @@ def classify_sales(text: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
     after checking that its dimension has at most ``broadcast_rows`` rows
     (a lookup never has more rows than its dimension); larger lookups are
     shuffle joins on the name, where AQE splits a hot shop or article.
+    ``*_probe`` may name a cheaper frame with at least as many rows (the
+    leaf table a flattened dimension was joined from) for that check.
     The calendar is bounded (<= 366 rows per year) and broadcast.
     """
     shops = broadcast_if_bounded(name_lookup(dim_shop, "shop_name", "shop_key"),
-                                 broadcast_rows, probe=dim_shop)
+                                 broadcast_rows, probe=shop_probe or dim_shop)
     articles = broadcast_if_bounded(name_lookup(dim_product, "article_name", "product_key"),
-                                    broadcast_rows, probe=dim_product)
+                                    broadcast_rows, probe=product_probe or dim_product)
     calendar = dim_date.select(F.col("date_key").alias("_cal_key"))
     sale_date = parse_german_date(F.col("Date"))
     parsed = text.select(

@@ -64,8 +64,10 @@ def dim_shop_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classified_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = star(spark, sf_dir)
+    # Each dimension has at most as many rows as its leaf table.
     return FT.classify_sales(tpch_sales_text(st), st.dim_shop(), st.dim_product(),
-                             dim_date(spark, sf_dir))
+                             dim_date(spark, sf_dir), shop_probe=st.table("supplier"),
+                             product_probe=st.table("part"))
 
 
 def parsed_star(spark: SparkSession, sf_dir: str) -> FactStar:
