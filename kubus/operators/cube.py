@@ -17,9 +17,15 @@ The first aggregate is a regular partial/final hash aggregate, so a hot
 member (a third of all rows in one group) is combined map-side before the
 shuffle and never lands in one task as raw rows.
 
+``strategy="lattice"`` replaces the Expand by one aggregate per level, each
+fed by its smallest already-computed parent.  A star that already carries
+mergeable state (a cuboid cached by ``navigate.Navigator``) is merged
+instead of re-aggregated.
+
 ``avg_unit_price`` is the *unweighted* mean of per-row revenue/quantity
 (zero quantity -> NULL -> not averaged), recombined as
-sum(ratio) / count(ratio); it is returned as a double rounded to 6 places.
+sum(ratio) / count(ratio) in exact integer units (functions/parsing.py);
+it is returned as a double rounded half away from zero to 6 places.
 """
 
 from __future__ import annotations
@@ -35,7 +41,6 @@ from ..model import resolve_levels
 
 FLAGS = ("geo_grouping", "time_grouping", "product_grouping")
 DIMENSIONS = ("geo_dimension", "time_dimension", "product_dimension")
-PRICE_DIGITS = 6
 DEFAULT_STRATEGY = "expand"
 
 # Grouping sets of the cross-table query, as positions into (geo, time, product).
