@@ -17,10 +17,8 @@ loader and is either accepted or counted as a reject.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.parsing import format_decimal_comma
 
 SALES_COLUMNS = ("Date", "Shop", "Article", "Sold", "Revenue")
 SALES_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in SALES_COLUMNS])
@@ -62,37 +60,35 @@ THIRD_DECIMAL = (137, 29)    # amount + "5"          -> accepted, rounded half-u
 FUTURE_YEARS = 40
 
 
-def _hit(h, rule):
+def _hit(rule) -> str:
     m, r = rule
-    return (h % m) == r
+    return f"pmod(l_orderkey * 8 + l_linenumber, {m}) = {r}"
 
 
 def render_sales_text(lines: DataFrame) -> DataFrame:
     """German sales text from a frame with ``l_orderkey, l_linenumber,
-    o_orderdate, shop_name, article_name, l_quantity, l_extendedprice``."""
-    h = F.col("l_orderkey") * 8 + F.col("l_linenumber")
-    d = F.to_date(F.col("o_orderdate"))
-    date_text = (
-        F.when(_hit(h, BAD_DATE), F.concat(F.lit("31.02."), F.year(d).cast("string")))
-        .when(_hit(h, FUTURE_DATE),
-              F.concat(F.date_format(d, "dd.MM."), (F.year(d) + FUTURE_YEARS).cast("string")))
-        .when(_hit(h, SHORT_DATE), F.date_format(d, "d.M.yyyy"))
-        .otherwise(F.date_format(d, "dd.MM.yyyy")))
-    shop = F.when(_hit(h, UNKNOWN_SHOP), F.concat(F.col("shop_name"), F.lit(" X"))) \
-        .otherwise(F.col("shop_name"))
-    article = F.when(_hit(h, UNKNOWN_ARTICLE), F.concat(F.lit("X"), F.col("article_name"))) \
-        .otherwise(F.col("article_name"))
-    qty = F.col("l_quantity").cast("int").cast("string")
-    sold = (F.when(_hit(h, EMPTY_SOLD), F.lit(""))
-            .when(_hit(h, ZERO_SOLD), F.lit("0"))
-            .when(_hit(h, PADDED_SOLD), F.concat(F.lit(" "), qty, F.lit(" ")))
-            .otherwise(qty))
-    amount = format_decimal_comma(F.col("l_extendedprice").cast("decimal(10,2)"))
-    revenue = (F.when(_hit(h, THOUSANDS_DOT), F.concat(F.lit("1."), amount))
-               .when(_hit(h, THIRD_DECIMAL), F.concat(amount, F.lit("5")))
-               .otherwise(amount))
-    return lines.select(date_text.alias("Date"), shop.alias("Shop"), article.alias("Article"),
-                        sold.alias("Sold"), revenue.alias("Revenue"))
+    o_orderdate, shop_name, article_name, l_quantity, l_extendedprice``.
+
+    One SQL projection (a single JVM round trip to build)."""
+    d = "CAST(o_orderdate AS DATE)"
+    qty = "CAST(CAST(l_quantity AS INT) AS STRING)"
+    amount = "replace(CAST(CAST(l_extendedprice AS DECIMAL(10,2)) AS STRING), '.', ',')"
+    return lines.selectExpr(
+        f"""CASE WHEN {_hit(BAD_DATE)} THEN concat('31.02.', CAST(year({d}) AS STRING))
+                 WHEN {_hit(FUTURE_DATE)} THEN concat(date_format({d}, 'dd.MM.'),
+                                                      CAST(year({d}) + {FUTURE_YEARS} AS STRING))
+                 WHEN {_hit(SHORT_DATE)} THEN date_format({d}, 'd.M.yyyy')
+                 ELSE date_format({d}, 'dd.MM.yyyy') END AS Date""",
+        f"CASE WHEN {_hit(UNKNOWN_SHOP)} THEN concat(shop_name, ' X') ELSE shop_name END AS Shop",
+        f"""CASE WHEN {_hit(UNKNOWN_ARTICLE)} THEN concat('X', article_name)
+                 ELSE article_name END AS Article""",
+        f"""CASE WHEN {_hit(EMPTY_SOLD)} THEN ''
+                 WHEN {_hit(ZERO_SOLD)} THEN '0'
+                 WHEN {_hit(PADDED_SOLD)} THEN concat(' ', {qty}, ' ')
+                 ELSE {qty} END AS Sold""",
+        f"""CASE WHEN {_hit(THOUSANDS_DOT)} THEN concat('1.', {amount})
+                 WHEN {_hit(THIRD_DECIMAL)} THEN concat({amount}, '5')
+                 ELSE {amount} END AS Revenue""")
 
 
 def tpch_sales_text(star) -> DataFrame:
