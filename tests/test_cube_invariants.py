@@ -17,6 +17,12 @@ def test_every_cube_level_sums_to_the_same_totals(spark, sf_small):
     levels = _levels(res)
     assert len(levels) == 8
     assert len(set(levels.values())) == 1
+    detail = res.where("aggregation_level = 'Detail Level'")
+    g, t, p = (detail.select(c).distinct().count()
+               for c in ("geo_dimension", "time_dimension", "product_dimension"))
+    assert res.count() <= (g + 1) * (t + 1) * (p + 1)
+    gs = C.grouping_sets(TpchStar(spark, sf_small), "region", "quarter", "productCategory", 1997)
+    assert gs.count() <= g * t * p + g * t + g * p + g + 1
 
 
 def test_cube_row_order_and_text_months(spark, sf_small):
