@@ -41,15 +41,23 @@ _METRIC_TYPE = {"total_quantity": "long", "total_revenue": "decimal(38,2)",
 
 
 def _metric_value(metric: str) -> Column:
-    return {"total_quantity": F.col("quantity_sold").cast("long"),
-            "total_revenue": F.col("revenue"),
-            "transaction_count": F.lit(1).cast("long")}[metric]
+    return {"total_quantity": F.col("_m_qty").cast("long"),
+            "total_revenue": F.col("_m_rev"),
+            "transaction_count": F.col("_m_rows").cast("long")}[metric]
 
 
 def _labels(star: DataFrame, cols: tuple[str, str, str]) -> DataFrame:
+    """Members as text plus quantity, revenue and row weight; a star that
+    carries pre-aggregated state contributes its sums instead of rows."""
     g, t, p = cols
+    if "_rows" in star.columns:
+        measures = [F.col("_qty").alias("_m_qty"), F.col("_rev").alias("_m_rev"),
+                    F.col("_rows").alias("_m_rows")]
+    else:
+        measures = [F.col("quantity_sold").alias("_m_qty"), F.col("revenue").alias("_m_rev"),
+                    F.lit(1).alias("_m_rows")]
     return star.select(F.col(g).cast("string").alias("_g"), F.col(t).cast("string").alias("_t"),
-                       F.col(p).cast("string").alias("_p"), "quantity_sold", "revenue")
+                       F.col(p).cast("string").alias("_p"), *measures)
 
 
 def metric_cuboid(star: DataFrame, cols: tuple[str, str, str], metric: str) -> DataFrame:

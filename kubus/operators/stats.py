@@ -71,10 +71,11 @@ SUMMARY_VIEW_KEYS = ("year", "quarter", "month", "region_name", "city_name",
 
 def sales_summary(star: DataFrame) -> DataFrame:
     """The analytical view: 7 grouping columns, quantity, revenue, count."""
+    pre = "_rows" in star.columns  # a star carrying pre-aggregated state
     return star.groupBy(*SUMMARY_VIEW_KEYS).agg(
-        F.sum("quantity_sold").cast("long").alias("total_quantity"),
-        F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"),
-        F.count(F.lit(1)).cast("long").alias("transaction_count"))
+        F.sum("_qty" if pre else "quantity_sold").cast("long").alias("total_quantity"),
+        F.sum("_rev" if pre else "revenue").cast("decimal(38,2)").alias("total_revenue"),
+        (F.sum("_rows") if pre else F.count(F.lit(1))).cast("long").alias("transaction_count"))
 
 
 def register_sales_summary_view(star: DataFrame, name: str = "v_sales_summary") -> DataFrame:

@@ -264,7 +264,7 @@ _METRIC_SQL = {"total_quantity": ("CAST(quantity_sold AS BIGINT)", "BIGINT"),
 
 
 def crosstab_sql(geo: str, time: str, product: str, year: int, metric: str,
-                 max_columns: int | None = 8) -> str:
+                 max_columns: int | None = 8, source: dict | None = None) -> str:
     """Dynamic-column cross table: the shown members are the first
     ``max_columns`` labels in text order; DuckDB's PIVOT names the columns."""
     g, t, p = resolve_levels(geo, time, product)
@@ -273,7 +273,8 @@ def crosstab_sql(geo: str, time: str, product: str, year: int, metric: str,
              f"CAST({_q(p)} AS VARCHAR) AS _p, SUM({value}) AS _v FROM star "
              f"WHERE {_q(p)} IS NOT NULL GROUP BY 1, 2, 3")
     limit = f" LIMIT {int(max_columns)}" if max_columns is not None else ""
-    member_rows = (f"(WITH {star_cte(year)}, cells AS ({cells}), "
+    star = (ctes(**source)[5:] if source else star_cte(year))
+    member_rows = (f"(WITH {star}, cells AS ({cells}), "
                    f"shown AS (SELECT _p FROM (SELECT DISTINCT _p FROM cells) ORDER BY _p{limit}) "
                    f"SELECT GROUPING(_g) AS _gg, GROUPING(_t) AS _gt, coalesce(_g, '') AS _gk, "
                    f"coalesce(_t, '') AS _tk, _p, SUM(_v) AS _v FROM cells "
@@ -281,7 +282,7 @@ def crosstab_sql(geo: str, time: str, product: str, year: int, metric: str,
                    f"GROUP BY GROUPING SETS ((_g, _t, _p), (_g, _p), (_p)))")
     # With a cap the caller knows the members exceed it: the marker column.
     more = "'...' AS \"...\", " if max_columns is not None else ""
-    sql = f"""WITH {star_cte(year)},
+    sql = f"""WITH {star},
 cells AS ({cells}),
 rolled AS (SELECT _g, _t, GROUPING(_g) AS _gg, GROUPING(_t) AS _gt,
                   CAST(COALESCE(SUM(_v), 0) AS {typ}) AS "TOTAL"

@@ -46,6 +46,11 @@ def registry() -> dict[str, str]:
                          "AS rejected_rows FROM classified")
     q["cube_parsed_sales"] = O.cube_over({**load, "star": O.PARSED_STAR_SQL},
                                          "city", "month", "productCategory")
+    q["cube_parsed_preaggregated"] = O.cube_over({**load, "star": O.PARSED_STAR_SQL},
+                                                 "region", "quarter", "productFamily")
+    q["crosstab_parsed_preaggregated"] = O.crosstab_sql(
+        "city", "month", "productCategory", None, "transaction_count", None,
+        source={**load, "star": O.PARSED_STAR_SQL})
     q["sales_csv"] = O.SALES_TEXT_SQL
     q["warehouse_cube"] = O.cube_over(
         {**load, "star": O.PARSED_STAR_SQL + f' AND c."year" = {YEAR}'},

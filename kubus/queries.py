@@ -70,7 +70,7 @@ def classified_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                              product_probe=st.table("part"))
 
 
-def parsed_star(spark: SparkSession, sf_dir: str) -> FactStar:
+def parsed_star(spark: SparkSession, sf_dir: str, preaggregate: bool = False) -> FactStar:
     """Star over the fact loaded from the rendered sales text.
 
     The load is materialised first (as the warehouse build writes its fact
@@ -78,7 +78,8 @@ def parsed_star(spark: SparkSession, sf_dir: str) -> FactStar:
     """
     st = star(spark, sf_dir)
     fact = materialize(FT.accepted(classified_sales(spark, sf_dir)))
-    return FactStar(fact, dim_date(spark, sf_dir), st.dim_shop(), st.dim_product())
+    return FactStar(fact, dim_date(spark, sf_dir), st.dim_shop(), st.dim_product(),
+                    preaggregate=preaggregate)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -129,6 +130,11 @@ def registry() -> dict[str, Query]:
     q["load_summary"] = lambda s, d: FT.load_summary(classified_sales(s, d))
     q["cube_parsed_sales"] = lambda s, d: C.analysis(parsed_star(s, d), "city", "month",
                                                      "productCategory")
+    q["cube_parsed_preaggregated"] = lambda s, d: C.analysis(
+        parsed_star(s, d, preaggregate=True), "region", "quarter", "productFamily")
+    q["crosstab_parsed_preaggregated"] = lambda s, d: X.cross_table(
+        parsed_star(s, d, preaggregate=True), "city", "month", "productCategory", None,
+        "transaction_count")
     q["sales_csv"] = sales_csv
     q["warehouse_cube"] = lambda s, d: C.analysis(warehouse(s, d), "region", "quarter",
                                                   "productFamily", YEAR)

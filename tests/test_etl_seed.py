@@ -89,3 +89,17 @@ def test_csv_round_trip_and_warehouse(spark):
     stats = S.summary_statistics(wh.fact(), wh.dim_date()).first()
     assert stats.date_range == "2019-01-01 to 2020-11-15"
     assert stats.unique_shops == 3
+
+
+def test_preaggregated_star_matches_row_star(spark):
+    cal, shop, product = _dims(spark)
+    fact = FT.accepted(FT.classify_sales(sales_text(spark), shop, product, cal))
+    rows = FactStar(fact, cal, shop, product)
+    pre = FactStar(fact, cal, shop, product, preaggregate=True)
+    assert pre.frame().count() < rows.frame().count()  # repeated key triples merged
+    for levels in (("shop", "day", "article"), ("region", "month", "productCategory")):
+        assert (C.analysis(pre, *levels).collect() == C.analysis(rows, *levels).collect())
+        assert (C.cube_level(pre, "Detail Level", *levels).collect()
+                == C.cube_level(rows, "Detail Level", *levels).collect())
+    assert (S.sales_summary(pre.frame()).orderBy("city_name", "month").collect()
+            == S.sales_summary(rows.frame()).orderBy("city_name", "month").collect())
