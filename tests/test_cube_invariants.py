@@ -134,3 +134,17 @@ def test_navigator_reuses_its_cuboid(spark, sf_small):
     assert up == N.navigate(st, CubePosition(2, 0, 2), 1997).collect()
     small = N.Navigator(st, 1997, max_rows=10)
     assert small.analysis().collect() == first  # too big to keep: reads the source
+
+
+def test_walk_validates_moves_before_planning(spark, sf_small):
+    import pytest
+    from kubus.model import CubePosition
+    from kubus.operators import navigate as N
+    st = TpchStar(spark, sf_small)
+    pos, df = N.walk(st, [("down", "geo"), ("up", "time")], year=1997)
+    assert pos == CubePosition(2, 0, 2)
+    assert df.count() == N.navigate(st, pos, 1997).count()
+    with pytest.raises(ValueError):
+        N.walk(st, [("up", "time"), ("up", "time")], year=1997)
+    s = N.summary(st, CubePosition(), 1997).first()
+    assert (s.geo_level, s.time_level, s.product_level) == ("region", "quarter", "productGroup")
