@@ -54,6 +54,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     path = table_path(sf_dir, name)
     cols = columns if columns is not None else TPCH_COLUMNS.get(name)
     key = (id(spark), _app_id(spark), path, _version(path), cols)
+    if any(k[:2] != key[:2] for k in _SCANS):
+        _SCANS.clear()  # another session: drop relations bound to the old one
     df = _SCANS.get(key)
     if df is None or df.sparkSession is not spark:
         df = spark.read.parquet(path)
