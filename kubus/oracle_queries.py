@@ -106,6 +106,9 @@ def registry() -> dict[str, str]:
     q["cube_default"] = O.cube_sql("region", "quarter", "productGroup")
     q["cube_year"] = O.cube_sql("region", "quarter", "productCategory", YEAR)
     q["cube_year_direct"] = q["cube_year"]
+    q["cube_all_years"] = O.cube_sql("region", "quarter", "productCategory")
+    q["cube_base_cuboid"] = q["cube_year"]
+    q["cube_city_month_category"] = O.cube_sql("city", "month", "productCategory", YEAR)
     q["cube_city_month_family"] = O.cube_sql("city", "month", "productFamily", YEAR_CITY)
     q["cube_coarsest"] = O.cube_sql("country", "year", "productCategory")
     q["cube_finest"] = O.cube_sql("shop", "day", "article", YEAR_FINE)

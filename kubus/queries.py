@@ -166,6 +166,12 @@ def registry() -> dict[str, Query]:
                                              "productCategory", YEAR)
     q["cube_year_direct"] = lambda s, d: C.analysis(
         star(s, d), "region", "quarter", "productCategory", YEAR, via_base_cuboid=False)
+    q["cube_all_years"] = lambda s, d: C.analysis(star(s, d), "region", "quarter",
+                                                  "productCategory")
+    q["cube_base_cuboid"] = lambda s, d: C.analysis(
+        star(s, d), "region", "quarter", "productCategory", YEAR, via_base_cuboid=True)
+    q["cube_city_month_category"] = lambda s, d: C.analysis(star(s, d), "city", "month",
+                                                            "productCategory", YEAR)
     q["cube_city_month_family"] = lambda s, d: C.analysis(star(s, d), "city", "month",
                                                           "productFamily", YEAR_CITY)
     q["cube_coarsest"] = lambda s, d: C.analysis(star(s, d), "country", "year",
