@@ -113,6 +113,7 @@ def registry() -> dict[str, str]:
     q["cube_coarsest"] = O.cube_sql("country", "year", "productCategory")
     q["cube_finest"] = O.cube_sql("shop", "day", "article", YEAR_FINE)
     q["cube_lattice"] = O.cube_sql("region", "month", "productFamily")
+    q["cube_sql_views"] = O.cube_sql("region", "quarter", "productFamily", YEAR)
     q["cube_level_detail"] = O.cube_level_sql("Detail Level", "region", "quarter",
                                               "productGroup", YEAR)
     q["cube_level_geo_time"] = O.cube_level_sql("By Geo + Time", "region", "quarter",

@@ -22,6 +22,7 @@ from .operators import integrity as I
 from .operators import navigate as N
 from .operators import stats as S
 from .plans.star import FactStar, TpchStar, WarehouseStar
+from .plans.views import register_star_views, sql_analysis
 from .plans.warehouse import build_warehouse
 from .session import materialize, scratch_path
 from .sources.sales_text import read_sales_csv, tpch_sales_text, write_sales_csv
@@ -112,6 +113,14 @@ def navigator_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nav.roll_up("time")
 
 
+def sql_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The CUBE written as SQL against warehouse-named temp views."""
+    st = star(spark, sf_dir)
+    register_star_views(spark, st.fact(), dim_date(spark, sf_dir), st.dim_shop(),
+                        st.dim_product(), prefix="kubus_")
+    return sql_analysis(spark, "region", "quarter", "productFamily", YEAR, prefix="kubus_")
+
+
 def registry() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
@@ -180,6 +189,7 @@ def registry() -> dict[str, Query]:
                                                YEAR_FINE)
     q["cube_lattice"] = lambda s, d: C.analysis(star(s, d), "region", "month", "productFamily",
                                                 strategy="lattice")
+    q["cube_sql_views"] = sql_cube
     q["cube_level_detail"] = lambda s, d: C.cube_level(star(s, d), "Detail Level", "region",
                                                        "quarter", "productGroup", YEAR)
     q["cube_level_geo_time"] = lambda s, d: C.cube_level(star(s, d), "By Geo + Time",
