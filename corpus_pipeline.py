@@ -9,16 +9,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kubus.llm import simhash
+from kubus.llm import quality, simhash
 from kubus.llm.common import read_table, written
 
 
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the learned quality rules reject go."""
+    return quality.keep_good(docs)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash component stays."""
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
-STAGES = [("near_dedup", near_dedup)]
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup)]
 
 # Fingerprints, learned thresholds and packing have no SQL form; the stages
 # are tested against brute force instead.
