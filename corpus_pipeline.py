@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kubus.llm import quality, simhash
+from kubus.llm import quality, secrets, simhash
 from kubus.llm.common import read_table, written
 
 
@@ -23,7 +23,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
-STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup)]
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in the texts are replaced by their kind; all documents stay."""
+    return secrets.redact(docs)
+
+
+STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup),
+          ("secret_scan", secret_scan)]
 
 # Fingerprints, learned thresholds and packing have no SQL form; the stages
 # are tested against brute force instead.

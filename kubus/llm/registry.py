@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, simhash
+from . import quality, secrets, simhash
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,22 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_repeat_words", "base_failed", "kept", "broken")
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read_table(spark, sf_dir, "documents"))
+    base = [r.kind for r in secrets.BASE_RULES]
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of(kinds):
+        return F.filter("spans", lambda s: s["kind"].isin(kinds))
+
+    return found.select("doc_id", *[F.size(of([k])).cast("long").alias(f"n_{k}") for k in base],
+                        F.sha2(joined(of(base)), 256).alias("base_sha256"),
+                        joined(F.col("spans")).alias("spans"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -29,6 +45,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
+        "op4_secrets": op4_secrets,
         "op10_simhash": op10_simhash,
     }
 
