@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kubus.llm import quality, secrets, simhash
+from kubus.llm import packing, quality, secrets, simhash
 from kubus.llm.common import read_table, written
+from kubus.llm.registry import vocabulary
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,8 +29,14 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return secrets.redact(docs)
 
 
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every remaining document's place in the packed sequences."""
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"), "dropped", end_id=1) \
+        .drop("part", "rank")
+
+
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup),
-          ("secret_scan", secret_scan)]
+          ("secret_scan", secret_scan), ("best_fit_packing", best_fit_packing)]
 
 # Fingerprints, learned thresholds and packing have no SQL form; the stages
 # are tested against brute force instead.

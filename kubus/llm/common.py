@@ -64,3 +64,13 @@ def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
 def crc32_mod(col: str, modulus: int):
     """crc32 of a column's text form, modulo ``modulus`` (null stays null)."""
     return F.crc32(F.col(col).cast("string").cast("binary")) % modulus
+
+
+def filesystem(path: str):
+    """(pyarrow file system, path in it) of a path in a shared folder, as
+    Spark writes it (``file:/a/b``, ``s3a://...``, ``hdfs://...`` or plain)."""
+    from pyarrow import fs
+
+    if path.startswith("file:") or "://" not in path:
+        return fs.LocalFileSystem(), re.sub(r"^file:/+", "/", path)
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]:", "s3:", path))

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality, secrets, simhash
+from . import packing, quality, secrets, simhash, token_files
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,18 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "n_repeat_words", "base_failed", "kept", "broken")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a tokenizer file of the installed collection."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(read_table(spark, sf_dir, "documents"),
+                                   vocabulary("byte_bpe_50k.json"), "leading", end_id=2)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read_table(spark, sf_dir, "documents"))
     base = [r.kind for r in secrets.BASE_RULES]
@@ -36,6 +48,12 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = packing.pack(read_table(spark, sf_dir, "documents"),
+                         vocabulary("word_bpe_49k.json"), "dropped", end_id=1)
+    return found.drop("part", "rank")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -45,7 +63,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
+        "op2_token_files": op2_token_files,
         "op4_secrets": op4_secrets,
+        "op8_packing": op8_packing,
         "op10_simhash": op10_simhash,
     }
 
