@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kubus.llm import packing, quality, secrets, simhash
+from kubus.llm import decontaminate, packing, quality, secrets, simhash
 from kubus.llm.common import read_table, written
 from kubus.llm.registry import vocabulary
 
@@ -24,6 +24,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, shingle=3, radius=2)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.keep_clean(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets in the texts are replaced by their kind; all documents stay."""
     return secrets.redact(docs)
@@ -36,7 +41,8 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 STAGES = [("quality_rules", quality_rules), ("near_dedup", near_dedup),
-          ("secret_scan", secret_scan), ("best_fit_packing", best_fit_packing)]
+          ("decontamination", decontamination), ("secret_scan", secret_scan),
+          ("best_fit_packing", best_fit_packing)]
 
 # Fingerprints, learned thresholds and packing have no SQL form; the stages
 # are tested against brute force instead.

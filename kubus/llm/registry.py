@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import packing, quality, secrets, simhash, token_files
+from . import decontaminate, packing, quality, secrets, simhash, token_files
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,6 +48,11 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         joined(F.col("spans")).alias("spans"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read_table(spark, sf_dir, "documents"),
+                                      read_table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack(read_table(spark, sf_dir, "documents"),
                          vocabulary("word_bpe_49k.json"), "dropped", end_id=1)
@@ -65,6 +70,7 @@ def queries() -> dict[str, Query]:
         "op1_quality": op1_quality,
         "op2_token_files": op2_token_files,
         "op4_secrets": op4_secrets,
+        "op5_decontaminate": op5_decontaminate,
         "op8_packing": op8_packing,
         "op10_simhash": op10_simhash,
     }
