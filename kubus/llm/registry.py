@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality, secrets, simhash, token_files
+from . import decontaminate, langid, packing, quality, secrets, simhash, token_files, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +53,14 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                                       read_table(spark, sf_dir, "benchmark")).drop("text_hash")
 
 
+def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(read_table(spark, sf_dir, "pages"))
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack(read_table(spark, sf_dir, "documents"),
                          vocabulary("word_bpe_49k.json"), "dropped", end_id=1)
@@ -71,6 +79,8 @@ def queries() -> dict[str, Query]:
         "op2_token_files": op2_token_files,
         "op4_secrets": op4_secrets,
         "op5_decontaminate": op5_decontaminate,
+        "op6_langid": op6_langid,
+        "op7_warc": op7_warc,
         "op8_packing": op8_packing,
         "op10_simhash": op10_simhash,
     }
