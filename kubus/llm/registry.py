@@ -8,8 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, quality, secrets, simhash, token_files, warc
-from .common import read_table
+from . import (chat, decontaminate, langid, licenses, packing, quality, secrets, simhash,
+               token_files, warc)
+from .common import read_table, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,33 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    vocabulary("byte_bpe_50k.json"), "leading", end_id=2)
 
 
+def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = chat.with_control_example(spark, read_table(spark, sf_dir, "conversations"))
+    output = written(chat.formatted(chat.messages_from_turns(turns)), "chat-formatted")
+    return chat.digests(output)
+
+
+# The template's marks are 23 characters a turn; the two replacements per
+# control string are what escaping does.
+OP3_SQL = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+marked AS (
+  SELECT *, replace(replace(replace(replace(replace(role || chr(0) || text, '\', '\\'),
+    '<s>', '<\s>'), '</s>', '<\/s>'), '[INST]', '[\INST]'), '[/INST]', '[\/INST]') AS shown
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), ''))
+    AS loss_sha256,
+  sum(length(shown) - 1 + 23)::BIGINT AS formatted_chars
+FROM marked GROUP BY conv_id
+"""
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read_table(spark, sf_dir, "documents"))
     base = [r.kind for r in secrets.BASE_RULES]
@@ -61,12 +89,31 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archived(read_table(spark, sf_dir, "pages"))
 
 
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (
+  SELECT *, CASE WHEN payload_bytes >= 100
+                 THEN min(page_id) OVER (PARTITION BY payload_digest) END AS first FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first
+       THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM f
+"""
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = packing.pack(read_table(spark, sf_dir, "documents"),
                          vocabulary("word_bpe_49k.json"), "dropped", end_id=1)
     return found.drop("part", "rank")
 
 
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(read_table(spark, sf_dir, "documents"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, radius=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
@@ -77,14 +124,16 @@ def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
         "op2_token_files": op2_token_files,
+        "op3_chat": op3_chat,
         "op4_secrets": op4_secrets,
         "op5_decontaminate": op5_decontaminate,
         "op6_langid": op6_langid,
         "op7_warc": op7_warc,
         "op8_packing": op8_packing,
+        "op9_licenses": op9_licenses,
         "op10_simhash": op10_simhash,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_chat": OP3_SQL, "op7_warc": OP7_SQL}
