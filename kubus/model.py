@@ -25,9 +25,7 @@ class Hierarchy:
         for lvl, col in self.levels:
             if lvl == level:
                 return col
-        raise ValueError(
-            f"Invalid {self.name} parameter. Must be one of: {self.level_names}"
-        )
+        raise ValueError(f"{self.name} has no level {level!r}; its levels are {self.level_names}")
 
     def index(self, level: str) -> int:
         self.column(level)
@@ -79,7 +77,7 @@ def resolve_levels(geo: str, time: str, product: str) -> tuple[str, str, str]:
 
 def validate_metric(metric: str) -> str:
     if metric not in METRICS:
-        raise ValueError(f"Invalid metric. Must be one of: {list(METRICS)}")
+        raise ValueError(f"unknown metric {metric!r}; choose from {list(METRICS)}")
     return metric
 
 
@@ -118,7 +116,7 @@ class CubePosition:
             if clamp:
                 return self
             raise ValueError(
-                f"{dim}: already at most detailed level ({self.level(dim)})")
+                f"{dim} cannot go below {self.level(dim)}")
         return replace(self, **{dim: getattr(self, dim) + 1})
 
     def roll_up(self, dim: str, clamp: bool = False) -> "CubePosition":
@@ -126,7 +124,7 @@ class CubePosition:
             if clamp:
                 return self
             raise ValueError(
-                f"{dim}: already at most aggregated level ({self.level(dim)})")
+                f"{dim} cannot go above {self.level(dim)}")
         return replace(self, **{dim: getattr(self, dim) - 1})
 
     def report(self) -> dict[str, str]:

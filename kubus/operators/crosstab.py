@@ -1,27 +1,21 @@
-"""Cross table: (geo, time) rows x product columns, with totals.
-
-Shape of the result (one DataFrame, already ordered):
-
-    geo_region | time_period        | <member 1> ... <member k> [| ...] | TOTAL
-    AFRICA     | quarter 1, 1997    |  ...
-    AFRICA     | total              |  per-geo subtotal row
-    ...
-    total      | ''                 |  grand-total row
-
-Plan: the star is reduced to the (geo, time, product) base cuboid of the
-chosen metric, then ONE ``rollup(geo, time)`` computes detail rows,
-per-geo subtotals and the grand total together, with one conditional sum
-per displayed member.  (``rollup().pivot()`` is not supported by Spark,
-hence conditional aggregates.)
-
-Column cap.  Only the first ``max_columns`` members in label order become
-columns; with more members a ``...`` column marks the cut.  ``TOTAL`` is
-always the sum over ALL members, on every row, including subtotal rows
-(the source system summed only the displayed columns there; deliberate
-deviation).  Choosing the members is a distributed distinct + top-k that
-returns at most ``max_columns + 1`` labels to the driver; an uncapped
-table (``max_columns=None``) is refused beyond ``MAX_PIVOT_COLUMNS``
-members, since every member becomes a column.
+"""Cross table: (geo, time) rows by product columns, with totals.
+
+``cross_table`` is the whole table in long form, one row per cell:
+
+    geo_region | time_period       | product_member | value | three total flags
+    AFRICA     | quarter 1, 1997   | <member>       |  ...     cell
+    AFRICA     | quarter 1, 1997   | TOTAL          |  ...     row total
+    AFRICA     | total             | <member>       |  ...     subtotal of a region
+    total      |                   | <member>       |  ...     column total
+    total      |                   | TOTAL          |  ...     grand total
+
+It is one aggregation by grouping sets over the (geo, time, product) cuboid
+of the chosen metric; no label leaves the executors and any number of
+members is possible.  What is a total is decided by the GROUPING flags, so
+NULL members stay in the table like all others.
+
+``cross_table_wide`` lays the same table out with one column per member the
+caller names.
 """
 
 from __future__ import annotations
@@ -30,11 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import resolve_levels, validate_metric
-from ..session import materialize
 
-MORE_COLUMN = "..."
 TOTAL_COLUMN = "TOTAL"
-MAX_PIVOT_COLUMNS = 1000
+TOTAL_ROW = "total"
+
+# Cells, row totals, region subtotals (by member and overall), column totals, grand total.
+SETS = (("_g", "_t", "_p"), ("_g", "_t"), ("_g", "_p"), ("_g",), ("_p",), ())
 
 _METRIC_TYPE = {"total_quantity": "long", "total_revenue": "decimal(38,2)",
                 "transaction_count": "long"}
@@ -62,61 +57,68 @@ def _labels(star: DataFrame, cols: tuple[str, str, str]) -> DataFrame:
 
 def metric_cuboid(star: DataFrame, cols: tuple[str, str, str], metric: str) -> DataFrame:
     """Detail cells (geo, time, product) -> metric; members as text."""
-    return (_labels(star, cols).where(F.col("_p").isNotNull())
-            .groupBy("_g", "_t", "_p").agg(F.sum(_metric_value(metric)).alias("_v")))
+    return (_labels(star, cols).groupBy("_g", "_t", "_p")
+            .agg(F.sum(_metric_value(metric)).alias("_v")))
 
 
-def product_members(cells: DataFrame, limit: int | None) -> tuple[list[str], bool]:
-    """First ``limit`` member labels in text order and whether more exist.
+def _time_label(time: str, year: int | None) -> Column:
+    suffix = [] if year is None else [F.lit(f", {year}")]
+    return F.concat(F.lit(f"{time} "), F.col("_t"), *suffix)
 
-    Distributed distinct + top-k; at most ``limit + 1`` labels are collected.
-    """
-    k = (limit if limit is not None else MAX_PIVOT_COLUMNS) + 1
-    members = [r["_p"] for r in
-               cells.select("_p").distinct().orderBy("_p").limit(k).collect()]
-    if limit is None:
-        if len(members) > MAX_PIVOT_COLUMNS:
-            raise ValueError(f"more than {MAX_PIVOT_COLUMNS} product members; set max_columns")
-        return members, False
-    return members[:limit], len(members) > limit
-
-
-def cross_table_from_cells(cells: DataFrame, members: list[str], capped: bool,
-                           time: str, year, metric: str) -> DataFrame:
-    out_type = _METRIC_TYPE[metric]
-    member_cols = [F.coalesce(F.sum(F.when(F.col("_p") == m, F.col("_v"))), F.lit(0))
-                   .cast(out_type).alias(m) for m in members]
-    rolled = cells.rollup("_g", "_t").agg(
-        F.grouping("_g").alias("_gg"), F.grouping("_t").alias("_gt"),
-        *member_cols, F.coalesce(F.sum("_v"), F.lit(0)).cast(out_type).alias(TOTAL_COLUMN))
-    geo_region = F.when(F.col("_gg") == 1, F.lit("total")).otherwise(F.col("_g"))
-    time_period = (F.when(F.col("_gg") == 1, F.lit(""))
-                   .when(F.col("_gt") == 1, F.lit("total"))
-                   .otherwise(F.concat(F.lit(f"{time} "), F.col("_t"), F.lit(f", {year}"))))
-    more = [F.lit(MORE_COLUMN).alias(MORE_COLUMN)] if capped else []
-    return (rolled.orderBy("_gg", "_g", "_gt", "_t")
-            .select(geo_region.alias("geo_region"), time_period.alias("time_period"),
-                    *[F.col(f"`{m}`") for m in members], *more, F.col(TOTAL_COLUMN)))
+
+def _row_labels(time: str, year: int | None) -> list[Column]:
+    """geo_region and time_period from the members and flags ``_gg``, ``_gt``."""
+    return [F.when(F.col("_gg") == 1, TOTAL_ROW).otherwise(F.col("_g")).alias("geo_region"),
+            F.when(F.col("_gg") == 1, "").when(F.col("_gt") == 1, TOTAL_ROW)
+            .otherwise(_time_label(time, year)).alias("time_period")]
 
 
 def cross_table(source, geo: str = "region", time: str = "quarter",
-                product: str = "productGroup", year: int | None = 2019,
-                metric: str = "total_quantity", max_columns: int | None = 8,
-                checkpoint_cells: bool = True) -> DataFrame:
+                product: str = "productGroup", year: int | None = None,
+                metric: str = "total_quantity") -> DataFrame:
+    """The long form: geo_region, time_period, product_member, value and the
+    flags geo_total, time_total, product_total (1: summed over)."""
     validate_metric(metric)
-    cols = resolve_levels(geo, time, product)
-    cells = metric_cuboid(source.frame(year), cols, metric)
-    if checkpoint_cells:
-        # The cuboid feeds two jobs (member choice, then the table): write
-        # it once to the shared checkpoint folder instead of recomputing the
-        # star twice.
-        cells = materialize(cells)
-    members, capped = product_members(cells, max_columns)
-    return cross_table_from_cells(cells, members, capped, time, year, metric)
+    cells = metric_cuboid(source.frame(year), resolve_levels(geo, time, product), metric)
+    table = cells.groupingSets([list(s) for s in SETS], "_g", "_t", "_p").agg(
+        F.grouping("_g").alias("_gg"), F.grouping("_t").alias("_gt"),
+        F.grouping("_p").alias("_gp"), F.sum("_v").alias("_v"))
+    return table.select(
+        *_row_labels(time, year),
+        F.when(F.col("_gp") == 1, TOTAL_COLUMN).otherwise(F.col("_p")).alias("product_member"),
+        F.col("_v").cast(_METRIC_TYPE[metric]).alias("value"),
+        *[F.col(c).cast("int").alias(f) for c, f in (
+            ("_gg", "geo_total"), ("_gt", "time_total"), ("_gp", "product_total"))])
+
+
+def cross_table_wide(source, members: list[str | None], geo: str = "region",
+                     time: str = "quarter", product: str = "productGroup",
+                     year: int | None = None, metric: str = "total_quantity") -> DataFrame:
+    """geo_region, time_period, one column per entry of ``members`` and TOTAL.
+
+    Only the named members get a column (None: the NULL member, column
+    ``NULL``), but TOTAL sums all members on every row.  Columns are built
+    under positional names and renamed last, so members may have any name,
+    also equal ones but for case, or that of another column.
+    """
+    validate_metric(metric)
+    cells = metric_cuboid(source.frame(year), resolve_levels(geo, time, product), metric)
+    out_type = _METRIC_TYPE[metric]
+
+    def total(value: Column, name: str) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0)).cast(out_type).alias(name)
+
+    rolled = cells.rollup("_g", "_t").agg(
+        F.grouping("_g").alias("_gg"), F.grouping("_t").alias("_gt"),
+        *[total(F.when(F.col("_p").eqNullSafe(F.lit(m)), F.col("_v")), f"_c{i}")
+          for i, m in enumerate(members)], total(F.col("_v"), "_c"))
+    wide = rolled.select(*_row_labels(time, year), *[f"_c{i}" for i in range(len(members))], "_c")
+    return wide.toDF("geo_region", "time_period", *["NULL" if m is None else m for m in members],
+                     TOTAL_COLUMN)
 
 
 def insights(source, geo: str = "region", time: str = "quarter",
-             product: str = "productGroup", year: int | None = 2019,
+             product: str = "productGroup", year: int | None = None,
              metric: str = "total_quantity", top: int = 3) -> DataFrame:
     """First ``top`` geographic totals in label order (not by value) and the
     grand total of the metric: rows (insight, label, value)."""
@@ -135,22 +137,17 @@ def insights(source, geo: str = "region", time: str = "quarter",
 
 
 def table_shape(source, geo: str = "region", time: str = "quarter",
-                product: str = "productGroup", year: int | None = 2019,
-                max_columns: int | None = 8) -> DataFrame:
-    """geo members, time periods, product members and the table size."""
-    cols = resolve_levels(geo, time, product)
-    cells = metric_cuboid(source.frame(year), cols, "transaction_count")
-    counts = cells.agg(
-        F.count_distinct("_g").alias("geo_members"),
-        F.count_distinct("_t").alias("time_periods"),
-        F.count_distinct("_p").alias("product_members"),
-        F.count_distinct("_g", "_t").alias("_pairs"))
-    shown = (F.least(F.col("product_members"), F.lit(max_columns))
-             if max_columns is not None else F.col("product_members"))
-    more = (F.when(F.col("product_members") > max_columns, 1).otherwise(0)
-            if max_columns is not None else F.lit(0))
+                product: str = "productGroup", year: int | None = None) -> DataFrame:
+    """geo members, time periods, product members (NULL members count) and
+    the size of the table laid out wide."""
+    cells = metric_cuboid(source.frame(year), resolve_levels(geo, time, product),
+                          "transaction_count")
+    # A struct of a NULL is not NULL, so NULL members are counted too.
+    counts = cells.agg(*[F.count_distinct(F.struct(*keys)).alias(name) for keys, name in (
+        (["_g"], "geo_members"), (["_t"], "time_periods"), (["_p"], "product_members"),
+        (["_g", "_t"], "_pairs"))])
     return counts.select(
         F.col("geo_members").cast("long"), F.col("time_periods").cast("long"),
         F.col("product_members").cast("long"),
         (F.col("_pairs") + F.col("geo_members") + 1).cast("long").alias("table_rows"),
-        (shown + more + 1).cast("long").alias("table_columns"))
+        (F.col("product_members") + 1).cast("long").alias("table_columns"))

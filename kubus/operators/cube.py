@@ -175,19 +175,23 @@ def _finish(agg: DataFrame, cols: tuple[str, str, str], label_name: str, labels:
     return order_levels(out) if ordered else out
 
 
-def order_levels(df: DataFrame) -> DataFrame:
+def order_levels(df: DataFrame, numeric_time_order: bool = False) -> DataFrame:
     """GROUPING flags ascending, then the member labels as text.
 
     Within one flag combination an aggregated-away member is constant, so
     sorting on the labels equals the source's COALESCE(.., 'ZZZZ') order.
-    Text order means months sort 1, 10, 11, 12, 2, ...
+    Text order means months sort 1, 10, 11, 12, 2, ...; with
+    ``numeric_time_order`` they sort by number.  A global sort shuffles every
+    row, so results are ordered only on request.
     """
-    return df.orderBy(*FLAGS, *DIMENSIONS)
+    number = [F.expr("try_cast(time_dimension AS INT)")] if numeric_time_order else []
+    geo, time, product = DIMENSIONS
+    return df.orderBy(*FLAGS, geo, *number, time, product)
 
 
 def analysis(source, geo: str = "region", time: str = "quarter",
              product: str = "productGroup", year: int | None = None, *,
-             via_base_cuboid: bool = True, ordered: bool = True,
+             via_base_cuboid: bool = True, ordered: bool = False,
              strategy: str = DEFAULT_STRATEGY) -> DataFrame:
     """GROUP BY CUBE(geo, time, product): all 8 aggregation levels.
 
@@ -203,7 +207,7 @@ def analysis(source, geo: str = "region", time: str = "quarter",
 
 def cube_level(source, level: str, geo: str = "region", time: str = "quarter",
                product: str = "productGroup", year: int | None = None, *,
-               ordered: bool = True) -> DataFrame:
+               ordered: bool = False) -> DataFrame:
     """Only the rows of one CUBE level, e.g. ``'Detail Level'``.
 
     Equal to ``analysis(...)`` filtered on ``aggregation_level``, but
@@ -221,7 +225,7 @@ def cube_level(source, level: str, geo: str = "region", time: str = "quarter",
 
 def grouping_sets(source, geo: str = "region", time: str = "quarter",
                   product: str = "productGroup", year: int | None = None, *,
-                  via_base_cuboid: bool = True, ordered: bool = True,
+                  via_base_cuboid: bool = True, ordered: bool = False,
                   strategy: str = DEFAULT_STRATEGY) -> DataFrame:
     """GROUPING SETS ((g,t,p), (g,t), (g,p), (g), ()) for the cross table."""
     cols = resolve_levels(geo, time, product)

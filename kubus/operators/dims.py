@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, iso_weekday, month_name, quarter_name
-from ..plans.broadcast import broadcast_if_bounded
 
 DIM_DATE_COLUMNS = ("date_key", "full_date", "year", "quarter", "month", "day",
                     "day_of_week", "month_name", "quarter_name")
@@ -34,10 +33,11 @@ def _date_attributes(full_date: Column) -> list[Column]:
 
 
 def _explode_years(bounds: DataFrame, lo: Column, hi: Column) -> DataFrame:
-    days = F.sequence(F.make_date(lo, F.lit(1), F.lit(1)),
-                      F.make_date(hi, F.lit(12), F.lit(31)),
-                      F.expr("INTERVAL 1 DAY"))
-    return bounds.select(F.explode(days).alias("full_date")).select(
+    """First the years, dealt out over the tasks, then each year's days."""
+    years = bounds.select(F.explode(F.sequence(lo, hi)).alias("y")).repartition(8, "y")
+    days = F.sequence(F.make_date(F.col("y"), F.lit(1), F.lit(1)),
+                      F.make_date(F.col("y"), F.lit(12), F.lit(31)), F.expr("INTERVAL 1 DAY"))
+    return years.select(F.explode(days).alias("full_date")).select(
         *_date_attributes(F.col("full_date")))
 
 
@@ -55,8 +55,9 @@ def calendar(spark: SparkSession, start_year: int = 2019, end_year: int = 2020)
 def calendar_covering(dates: DataFrame, column: str, extra_years: int = 0) -> DataFrame:
     """Calendar spanning the whole years of ``dates[column]`` (lazy).
 
-    The bounds come from a one-row distributed aggregate, so nothing is
-    collected to the driver; the result has at most 366 rows per year.
+    For data whose period is not known beforehand; where it is, ``calendar``
+    with its first and last year keeps stray dates out.  The bounds come from
+    a one-row distributed aggregate, so nothing is collected to the driver.
     """
     bounds = dates.agg(F.min(F.year(column)).alias("lo"),
                        (F.max(F.year(column)) + F.lit(extra_years)).alias("hi"))
@@ -78,13 +79,13 @@ def flatten_chain(leaf: DataFrame, parents: list[tuple[DataFrame, str, str]],
     """Leaf -> parent -> grandparent ... inner equi-joins, denormalised.
 
     ``parents`` is a list of ``(table, fk_in_current, pk_in_table)``; every
-    table must already carry distinct column names.  Parent levels are
-    broadcast when their checked size allows; the leaf streams.  DISTINCT
-    mirrors the source system and is a shuffle of the dimension only.
+    table must already carry distinct column names.  The optimizer broadcasts
+    parents below its threshold.  DISTINCT mirrors the source system and is a
+    shuffle of the dimension only.
     """
     out = leaf
     for parent, fk, pk in parents:
-        out = out.join(broadcast_if_bounded(parent), out[fk] == parent[pk], "inner")
+        out = out.join(parent, out[fk] == parent[pk], "inner")
     return out.distinct() if distinct else out
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, parse_german_date
 from ..functions.parsing import parse_decimal_comma, parse_int
-from ..plans.broadcast import DEFAULT_BROADCAST_ROWS, bounded_broadcast, broadcast_if_bounded
+from ..session import written
 
 REASONS = ("bad_date", "unknown_shop", "unknown_article", "bad_revenue", "bad_sold",
            "date_out_of_range")
@@ -34,28 +34,21 @@ def name_lookup(dim: DataFrame, name_col: str, key_col: str) -> DataFrame:
 
 
 def classify_sales(text: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
-                   dim_date: DataFrame, broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-                   shop_probe: DataFrame | None = None,
-                   product_probe: DataFrame | None = None) -> DataFrame:
+                   dim_date: DataFrame) -> DataFrame:
     """Raw columns + parsed columns + ``reject_reason`` (NULL when accepted).
 
     Parsed columns: sale_date, sale_date_key, sold_quantity, sale_revenue,
     shop_key, product_key (raw and parsed names differ beyond case, since
     column names are case-insensitive).
 
-    The name lookups are left joins on the name.  A lookup is broadcast
-    after checking that its dimension has at most ``broadcast_rows`` rows
-    (a lookup never has more rows than its dimension); larger lookups are
-    shuffle joins on the name, where AQE splits a hot shop or article.
-    ``*_probe`` may name a cheaper frame with at least as many rows (the
-    leaf table a flattened dimension was joined from) for that check.
-    The calendar is bounded (<= 366 rows per year) and broadcast.
+    The lookups are left joins with written name and key tables.  While such
+    a table is below the optimizer's broadcast threshold the lines are not
+    shuffled at all; beyond it both join sides are plain shuffles, in which
+    AQE splits a hot shop, article or day.
     """
-    shops = broadcast_if_bounded(name_lookup(dim_shop, "shop_name", "shop_key"),
-                                 broadcast_rows, probe=shop_probe or dim_shop)
-    articles = broadcast_if_bounded(name_lookup(dim_product, "article_name", "product_key"),
-                                    broadcast_rows, probe=product_probe or dim_product)
-    calendar = dim_date.select(F.col("date_key").alias("_cal_key"))
+    shops = written(name_lookup(dim_shop, "shop_name", "shop_key"), "shop-names")
+    articles = written(name_lookup(dim_product, "article_name", "product_key"), "article-names")
+    calendar = written(dim_date.select(F.col("date_key").alias("_cal_key")), "calendar-keys")
     sale_date = parse_german_date(F.col("Date"))
     parsed = text.select(
         *[F.col(c) for c in ("Date", "Shop", "Article", "Sold", "Revenue")],
@@ -66,8 +59,7 @@ def classify_sales(text: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
     joined = (parsed
               .join(shops, parsed["Shop"] == shops["shop_name"], "left")
               .join(articles, parsed["Article"] == articles["article_name"], "left")
-              .join(bounded_broadcast(calendar), F.col("sale_date_key") == F.col("_cal_key"),
-                    "left"))
+              .join(calendar, F.col("sale_date_key") == F.col("_cal_key"), "left"))
     reason = (F.when(F.col("sale_date").isNull(), F.lit("bad_date"))
               .when(F.col("shop_key").isNull(), F.lit("unknown_shop"))
               .when(F.col("product_key").isNull(), F.lit("unknown_article"))

@@ -9,19 +9,18 @@ from pyspark.sql import functions as F
 def orphan_counts(fact: DataFrame, dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """(dimension, orphan_rows): fact rows whose key has no dimension row.
 
-    ``dims`` maps a name to ``(dimension, key column)``.  Each check is an
-    anti join on the key; the optimizer broadcasts the key column when it
-    is small enough and shuffles otherwise.
+    ``dims`` maps a name to ``(dimension, key column)``.  One pass over the
+    fact's keys: a left join with each key set, then one conditional count
+    per dimension.  A null key has no dimension row either.
     """
-    parts = []
+    rows = fact.select(*{key: None for _, key in dims.values()})
     for name, (dim, key) in dims.items():
-        missing = fact.select(key).join(dim.select(key), key, "left_anti")
-        parts.append(missing.agg(F.count(F.lit(1)).cast("long").alias("orphan_rows"))
-                     .select(F.lit(name).alias("dimension"), "orphan_rows"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        keys = dim.select(F.col(key).alias(f"_{name}")).distinct()
+        rows = rows.join(keys, rows[key] == keys[f"_{name}"], "left")
+    counts = rows.agg(*[F.count_if(F.col(f"_{name}").isNull()).alias(name) for name in dims])
+    return counts.select(F.inline(F.array(*[
+        F.struct(F.lit(name).alias("dimension"), F.col(name).cast("long").alias("orphan_rows"))
+        for name in dims])))
 
 
 def duplicate_keys(dims: dict[str, tuple[DataFrame, str]]) -> DataFrame:

@@ -12,8 +12,9 @@ CUBE over that cuboid instead of a new pass over the fact; it is rebuilt
 ``lookahead`` levels below the current position.  Keeping the
 coarser columns (year next to month, region next to city) is what makes
 every roll-up additive, since a level is a single column.  The cuboid is
-checkpointed into the shared checkpoint folder; above ``max_rows`` rows it
-is not used and steps read the source directly.
+checkpointed into the shared checkpoint folder.  A caller whose cuboid would
+not be much smaller than the fact sets ``keep_cuboid=False``: every step then
+reads the source.
 """
 
 from __future__ import annotations
@@ -52,52 +53,38 @@ def sample(source, position: CubePosition, year: int | None = 2019, n: int = 10)
     return C.detail_sample(detail(source, position, year), n)
 
 
-def walk(source, moves: list[tuple[str, str]], start: CubePosition | None = None,
-         year: int | None = 2019) -> tuple[CubePosition, DataFrame]:
-    """Apply ``[("down"|"up", dim), ...]`` and return the final position and
-    its CUBE.  Moves are validated before any plan is built."""
-    pos = start or CubePosition()
-    for op, dim in moves:
-        pos = pos.drill_down(dim) if op == "down" else pos.roll_up(dim)
-    return pos, navigate(source, pos, year)
-
-
 class Navigator:
     """Stateful navigation session with a reusable cuboid (see module doc)."""
 
     def __init__(self, source, year: int | None = 2019,
-                 position: CubePosition | None = None, max_rows: int = 100_000_000,
-                 lookahead: int = 1):
+                 position: CubePosition | None = None, lookahead: int = 1,
+                 keep_cuboid: bool = True):
         self.source = source
         self.year = year
         self.position = position or CubePosition()
-        self.max_rows = max_rows
         self.lookahead = lookahead
+        self.keep_cuboid = keep_cuboid
         self._depth: tuple[int, int, int] | None = None
         self._cuboid: DataFrame | None = None
-        self._too_big = False
 
     def _columns(self, depth: tuple[int, int, int]) -> list[str]:
         return [col for h, d in zip((GEO, TIME, PRODUCT), depth) for _, col in h.levels[:d + 1]]
 
     def _ensure(self, pos: CubePosition) -> DataFrame | None:
+        if not self.keep_cuboid:
+            return None
         need = (pos.geo, pos.time, pos.product)
         if self._depth and all(n <= d for n, d in zip(need, self._depth)):
             return self._cuboid
-        if self._too_big:
-            return None
         # Build ``lookahead`` levels below the position, so the usual next
         # drill-down is served without another pass over the fact.
         ahead = tuple(min(n + self.lookahead, len(h) - 1)
                       for n, h in zip(need, (GEO, TIME, PRODUCT)))
         depth = tuple(max(a, b) for a, b in zip(ahead, self._depth or ahead))
-        cuboid = materialize(C.state_cuboid(self.source.frame(self.year),
-                                            self._columns(depth)))
-        if cuboid.limit(self.max_rows + 1).count() > self.max_rows:
-            self._too_big = True
-            return None
-        self._depth, self._cuboid = depth, cuboid
-        return cuboid
+        self._cuboid = materialize(C.state_cuboid(self.source.frame(self.year),
+                                                  self._columns(depth)))
+        self._depth = depth
+        return self._cuboid
 
     def analysis(self, position: CubePosition | None = None, **kw) -> DataFrame:
         pos = position or self.position

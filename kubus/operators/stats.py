@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.broadcast import bounded_broadcast
 
 
 def _key_to_date(c):
@@ -21,15 +20,15 @@ def summary_statistics(fact: DataFrame, dim_date: DataFrame | None = None) -> Da
 
     ``fact`` has FACT_COLUMNS.  One pass over the fact: the date range is
     taken over facts whose key is in the calendar (the source joins the
-    calendar for it), flagged by a left join with the broadcast calendar
-    (bounded: <= 366 rows per year); without a calendar every fact counts.
+    calendar for it), flagged by a left join with the calendar, which is best
+    a written table so that its size is known; without one every fact counts.
     Exact distinct counts: Spark plans both COUNT(DISTINCT) in the same
     aggregate (an Expand of the key columns with partial aggregation).
     """
     dated = F.lit(True)
     if dim_date is not None:
         cal = dim_date.select("date_key", F.lit(True).alias("_in_calendar"))
-        fact = fact.join(bounded_broadcast(cal), "date_key", "left")
+        fact = fact.join(cal, "date_key", "left")
         dated = F.col("_in_calendar").isNotNull()
     stats = fact.agg(
         F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"),
@@ -50,7 +49,7 @@ def warehouse_status(fact: DataFrame, dim_date: DataFrame | None = None) -> Data
     s = summary_statistics(fact, dim_date)
     empty = F.coalesce(F.col("total_transactions"), F.lit(0)) == 0
     return s.select("*", empty.alias("is_empty"),
-                    F.when(empty, F.lit("Data warehouse is empty, please run ETL process first."))
+                    F.when(empty, F.lit("no facts loaded yet: build the warehouse first"))
                     .otherwise(F.lit("ok")).alias("status"))
 
 
@@ -78,15 +77,15 @@ def sales_summary(star: DataFrame) -> DataFrame:
         (F.sum("_rows") if pre else F.count(F.lit(1))).cast("long").alias("transaction_count"))
 
 
-def register_sales_summary_view(star: DataFrame, name: str = "v_sales_summary") -> DataFrame:
+def register_sales_summary_view(star: DataFrame, name: str = "sales_summary") -> DataFrame:
     view = sales_summary(star)
     view.createOrReplaceTempView(name)
     return view
 
 
 def sales_summary_for_year(spark, star: DataFrame, year: int,
-                           name: str = "v_sales_summary") -> DataFrame:
+                           name: str = "sales_summary") -> DataFrame:
     """The view queried through SQL with a bound parameter (no string
-    building): ``SELECT * FROM v_sales_summary WHERE year = :year``."""
+    building): ``SELECT * FROM sales_summary WHERE year = :year``."""
     register_sales_summary_view(star, name)
     return spark.sql(f"SELECT * FROM {name} WHERE year = :year", args={"year": year})

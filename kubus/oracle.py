@@ -160,6 +160,25 @@ DIM_PRODUCT_SQL = f"""SELECT p.p_partkey AS product_key, p.p_partkey AS article_
   p.p_type AS product_category_name
 FROM part p"""
 
+DIM_SHOP_CHAIN_SQL = """SELECT s.s_suppkey AS shop_key, CAST(s.s_suppkey AS INTEGER) AS shop_id,
+  s.s_name AS shop_name, CAST(n.n_nationkey AS INTEGER) AS city_id, n.n_name AS city_name,
+  CAST(r.r_regionkey AS INTEGER) AS region_id, r.r_name AS region_name,
+  1 AS country_id, 'WORLD' AS country_name
+FROM supplier s
+JOIN nation n ON s.s_nationkey = n.n_nationkey
+JOIN region r ON n.n_regionkey = r.r_regionkey"""
+
+DIM_PRODUCT_CHAIN_SQL = f"""SELECT p.p_partkey AS product_key,
+  CAST(p.p_partkey AS INTEGER) AS article_id, {ARTICLE} AS article_name,
+  CAST(p.p_retailprice AS DECIMAL(10,2)) AS price,
+  CAST(min(p.p_partkey) OVER (PARTITION BY p_type, p_brand, p_name) AS INTEGER) AS product_group_id,
+  {GROUP} AS product_group_name,
+  CAST(min(p.p_partkey) OVER (PARTITION BY p_type, p_brand) AS INTEGER) AS product_family_id,
+  {FAMILY} AS product_family_name,
+  CAST(min(p.p_partkey) OVER (PARTITION BY p_type) AS INTEGER) AS product_category_id,
+  p.p_type AS product_category_name
+FROM part p"""
+
 FACT_SQL = f"""SELECT {DATE_KEY} AS date_key, l.l_suppkey AS shop_key, l.l_partkey AS product_key,
   CAST(l.l_quantity AS INTEGER) AS quantity_sold,
   CAST(l.l_extendedprice AS DECIMAL(10,2)) AS revenue
@@ -263,44 +282,51 @@ _METRIC_SQL = {"total_quantity": ("CAST(quantity_sold AS BIGINT)", "BIGINT"),
                "transaction_count": ("CAST(1 AS BIGINT)", "BIGINT")}
 
 
-def crosstab_sql(geo: str, time: str, product: str, year: int, metric: str,
-                 max_columns: int | None = 8, source: dict | None = None) -> str:
-    """Dynamic-column cross table: the shown members are the first
-    ``max_columns`` labels in text order; DuckDB's PIVOT names the columns."""
+def _crosstab_labels(time: str, year: int | None) -> str:
+    suffix = "" if year is None else f" || ', {year}'"
+    return f"""CASE WHEN GROUPING(_g) = 1 THEN 'total' ELSE _g END AS geo_region,
+  CASE WHEN GROUPING(_g) = 1 THEN '' WHEN GROUPING(_t) = 1 THEN 'total'
+       ELSE '{time} ' || _t{suffix} END AS time_period"""
+
+
+def _crosstab_cells(geo: str, time: str, product: str, year: int | None, metric: str,
+                    source: dict | None) -> str:
     g, t, p = resolve_levels(geo, time, product)
-    value, typ = _METRIC_SQL[metric]
-    cells = (f"SELECT CAST({_q(g)} AS VARCHAR) AS _g, CAST({_q(t)} AS VARCHAR) AS _t, "
-             f"CAST({_q(p)} AS VARCHAR) AS _p, SUM({value}) AS _v FROM star "
-             f"WHERE {_q(p)} IS NOT NULL GROUP BY 1, 2, 3")
-    limit = f" LIMIT {int(max_columns)}" if max_columns is not None else ""
-    star = (ctes(**source)[5:] if source else star_cte(year))
-    member_rows = (f"(WITH {star}, cells AS ({cells}), "
-                   f"shown AS (SELECT _p FROM (SELECT DISTINCT _p FROM cells) ORDER BY _p{limit}) "
-                   f"SELECT GROUPING(_g) AS _gg, GROUPING(_t) AS _gt, coalesce(_g, '') AS _gk, "
-                   f"coalesce(_t, '') AS _tk, _p, SUM(_v) AS _v FROM cells "
-                   f"WHERE _p IN (SELECT _p FROM shown) "
-                   f"GROUP BY GROUPING SETS ((_g, _t, _p), (_g, _p), (_p)))")
-    # With a cap the caller knows the members exceed it: the marker column.
-    more = "'...' AS \"...\", " if max_columns is not None else ""
-    sql = f"""WITH {star},
-cells AS ({cells}),
-rolled AS (SELECT _g, _t, GROUPING(_g) AS _gg, GROUPING(_t) AS _gt,
-                  CAST(COALESCE(SUM(_v), 0) AS {typ}) AS "TOTAL"
-           FROM cells GROUP BY ROLLUP (_g, _t))
-SELECT CASE WHEN a._gg = 1 THEN 'total' ELSE a._g END AS geo_region,
-       CASE WHEN a._gg = 1 THEN '' WHEN a._gt = 1 THEN 'total'
-            ELSE '{time} ' || a._t || ', {year}' END AS time_period,
-       COALESCE(COLUMNS(piv.* EXCLUDE (_gg, _gt, _gk, _tk)), 0),
-       {more}a."TOTAL"
-FROM rolled a
-LEFT JOIN (PIVOT {member_rows} ON _p USING CAST(SUM(_v) AS {typ})
-           GROUP BY _gg, _gt, _gk, _tk) piv
-  ON a._gg = piv._gg AND a._gt = piv._gt
- AND coalesce(a._g, '') = piv._gk AND coalesce(a._t, '') = piv._tk"""
-    return sql
-
-
-def insights_sql(geo: str, time: str, product: str, year: int, metric: str, top: int = 3) -> str:
+    value, _ = _METRIC_SQL[metric]
+    star = ctes(**source)[5:] if source else star_cte(year)
+    return (f"WITH {star},\ncells AS (SELECT CAST({_q(g)} AS VARCHAR) AS _g, "
+            f"CAST({_q(t)} AS VARCHAR) AS _t, CAST({_q(p)} AS VARCHAR) AS _p, "
+            f"SUM({value}) AS _v FROM star GROUP BY 1, 2, 3)")
+
+
+def crosstab_sql(geo: str, time: str, product: str, year: int | None, metric: str,
+                 source: dict | None = None) -> str:
+    """Long form: plain GROUPING SETS over the cells."""
+    return f"""{_crosstab_cells(geo, time, product, year, metric, source)}
+SELECT {_crosstab_labels(time, year)},
+  CASE WHEN GROUPING(_p) = 1 THEN 'TOTAL' ELSE _p END AS product_member,
+  CAST(SUM(_v) AS {_METRIC_SQL[metric][1]}) AS value,
+  CAST(GROUPING(_g) AS INTEGER) AS geo_total, CAST(GROUPING(_t) AS INTEGER) AS time_total,
+  CAST(GROUPING(_p) AS INTEGER) AS product_total
+FROM cells
+GROUP BY GROUPING SETS ((_g, _t, _p), (_g, _t), (_g, _p), (_g), (_p), ())"""
+
+
+def crosstab_wide_sql(members: list[str], geo: str, time: str, product: str, year: int | None,
+                      metric: str) -> str:
+    """Wide form: one literal CASE per named member."""
+    typ = _METRIC_SQL[metric][1]
+    columns = ",\n  ".join(
+        f"CAST(COALESCE(SUM(CASE WHEN _p = '{m}' THEN _v END), 0) AS {typ}) AS {_q(m)}"
+        for m in members)
+    return f"""{_crosstab_cells(geo, time, product, year, metric, None)}
+SELECT {_crosstab_labels(time, year)},
+  {columns},
+  CAST(COALESCE(SUM(_v), 0) AS {typ}) AS "TOTAL"
+FROM cells GROUP BY ROLLUP (_g, _t)"""
+
+
+def insights_sql(geo: str, time: str, product: str, year: int | None, metric: str, top: int = 3) -> str:
     g, _, _ = resolve_levels(geo, time, product)
     value, typ = _METRIC_SQL[metric]
     return f"""WITH {star_cte(year)},
@@ -311,20 +337,14 @@ UNION ALL
 SELECT 'grand_total' AS insight, 'total' AS label, CAST(SUM(_v) AS {typ}) AS value FROM per_geo"""
 
 
-def shape_sql(geo: str, time: str, product: str, year: int, max_columns: int = 8) -> str:
+def shape_sql(geo: str, time: str, product: str, year: int | None) -> str:
     g, t, p = resolve_levels(geo, time, product)
     return f"""WITH {star_cte(year)},
-cells AS (SELECT CAST({_q(g)} AS VARCHAR) AS _g, CAST({_q(t)} AS VARCHAR) AS _t,
-                 CAST({_q(p)} AS VARCHAR) AS _p
-          FROM star WHERE {_q(p)} IS NOT NULL GROUP BY 1, 2, 3),
-c AS (SELECT count(DISTINCT _g) AS geo_members, count(DISTINCT _t) AS time_periods,
-             count(DISTINCT _p) AS product_members,
-             (SELECT count(*) FROM (SELECT DISTINCT _g, _t FROM cells)) AS pairs
-      FROM cells)
-SELECT CAST(geo_members AS BIGINT) AS geo_members, CAST(time_periods AS BIGINT) AS time_periods,
-       CAST(product_members AS BIGINT) AS product_members,
-       CAST(pairs + geo_members + 1 AS BIGINT) AS table_rows,
-       CAST(least(product_members, {int(max_columns)})
-            + CASE WHEN product_members > {int(max_columns)} THEN 1 ELSE 0 END + 1 AS BIGINT)
-         AS table_columns
+cells AS (SELECT DISTINCT {_q(g)} AS _g, {_q(t)} AS _t, {_q(p)} AS _p FROM star),
+c AS (SELECT (SELECT count(*) FROM (SELECT DISTINCT _g FROM cells)) AS geo_members,
+             (SELECT count(*) FROM (SELECT DISTINCT _t FROM cells)) AS time_periods,
+             (SELECT count(*) FROM (SELECT DISTINCT _p FROM cells)) AS product_members,
+             (SELECT count(*) FROM (SELECT DISTINCT _g, _t FROM cells)) AS pairs)
+SELECT geo_members, time_periods, product_members,
+       pairs + geo_members + 1 AS table_rows, product_members + 1 AS table_columns
 FROM c"""

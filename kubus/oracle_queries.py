@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from . import oracle as O
 from .functions.labels import CUBE_LEVEL_LABELS
-from .queries import YEAR, YEAR_CITY, YEAR_FINE
+from .queries import CROSSTAB_MEMBERS, YEAR
 
 
 def _counts(inner: str, label: str, name: str = "records") -> str:
@@ -25,6 +25,8 @@ def registry() -> dict[str, str]:
     q["dim_date"] = O.dim_date_sql()
     q["dim_shop"] = O.DIM_SHOP_SQL
     q["dim_product"] = O.DIM_PRODUCT_SQL
+    q["dim_shop_chain"] = O.DIM_SHOP_CHAIN_SQL
+    q["dim_product_chain"] = O.DIM_PRODUCT_CHAIN_SQL
     q["insert_if_absent"] = (f"{O.ctes(new=O.dim_date_sql(1), old=O.dim_date_sql())}\n"
                              "SELECT * FROM new WHERE date_key NOT IN (SELECT date_key FROM old)")
 
@@ -49,9 +51,14 @@ def registry() -> dict[str, str]:
     q["cube_parsed_preaggregated"] = O.cube_over({**load, "star": O.PARSED_STAR_SQL},
                                                  "region", "quarter", "productFamily")
     q["crosstab_parsed_preaggregated"] = O.crosstab_sql(
-        "city", "month", "productCategory", None, "transaction_count", None,
+        "city", "month", "productCategory", None, "transaction_count",
         source={**load, "star": O.PARSED_STAR_SQL})
     q["sales_csv"] = O.SALES_TEXT_SQL
+    q["warehouse_row_counts"] = f"{O.ctes(**load)}\n" + " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {table}" for name, table in (
+            ("dim_date", "dim_date"), ("dim_shop", "dim_shop"), ("dim_product", "dim_product"),
+            ("fact_sales", "classified WHERE reject_reason IS NULL"),
+            ("rejects", "classified WHERE reject_reason IS NOT NULL")))
     q["warehouse_cube"] = O.cube_over(
         {**load, "star": O.PARSED_STAR_SQL + f' AND c."year" = {YEAR}'},
         "region", "quarter", "productFamily")
@@ -76,7 +83,9 @@ def registry() -> dict[str, str]:
         f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {src}"
         for t, src in (("dim_date", "dim_date"), ("dim_shop", "dim_shop"),
                        ("dim_product", "dim_product"), ("fact_sales", "fact"))))
-    stats = (f"{O.ctes(**dims)},\n"
+    loaded = (f"SELECT sale_date_key AS date_key, shop_key, product_key, sold_quantity AS "
+              "quantity_sold, sale_revenue AS revenue FROM classified WHERE reject_reason IS NULL")
+    stats = (",\n"
              "s AS (SELECT CAST(SUM(revenue) AS DECIMAL(38,2)) AS total_revenue, "
              "CAST(COUNT(*) AS BIGINT) AS total_transactions, "
              "CAST(COUNT(DISTINCT product_key) AS BIGINT) AS unique_products, "
@@ -86,12 +95,14 @@ def registry() -> dict[str, str]:
              "st AS (SELECT total_revenue, total_transactions, start_date, end_date, "
              "CAST(start_date AS VARCHAR) || ' to ' || CAST(end_date AS VARCHAR) AS date_range, "
              "unique_products, unique_shops FROM s CROSS JOIN d)\n")
-    q["summary_statistics"] = stats + "SELECT * FROM st"
-    q["warehouse_status"] = stats + (
+    status = (
         "SELECT *, COALESCE(total_transactions, 0) = 0 AS is_empty, "
         "CASE WHEN COALESCE(total_transactions, 0) = 0 THEN "
-        "'Data warehouse is empty, please run ETL process first.' ELSE 'ok' END AS status "
+        "'no facts loaded yet: build the warehouse first' ELSE 'ok' END AS status "
         "FROM st")
+    q["summary_statistics"] = O.ctes(**dims) + stats + "SELECT * FROM st"
+    q["warehouse_status"] = O.ctes(**dims) + stats + status
+    q["warehouse_statistics"] = O.ctes(**load, fact=loaded) + stats + status
     q["sales_summary_view"] = (f"WITH {O.star_cte()}\n"
                                "SELECT \"year\", \"quarter\", \"month\", region_name, city_name, "
                                "product_category_name, product_family_name, "
@@ -108,39 +119,40 @@ def registry() -> dict[str, str]:
     q["cube_year_direct"] = q["cube_year"]
     q["cube_all_years"] = O.cube_sql("region", "quarter", "productCategory")
     q["cube_base_cuboid"] = q["cube_year"]
-    q["cube_city_month_category"] = O.cube_sql("city", "month", "productCategory", YEAR)
-    q["cube_city_month_family"] = O.cube_sql("city", "month", "productFamily", YEAR_CITY)
+    q["cube_city_month_category"] = O.cube_sql("city", "month", "productCategory")
+    q["cube_city_month_family"] = O.cube_sql("city", "month", "productFamily")
     q["cube_coarsest"] = O.cube_sql("country", "year", "productCategory")
-    q["cube_finest"] = O.cube_sql("shop", "day", "article", YEAR_FINE)
+    q["cube_finest"] = O.cube_sql("shop", "day", "article")
     q["cube_lattice"] = O.cube_sql("region", "month", "productFamily")
     q["cube_sql_views"] = O.cube_sql("region", "quarter", "productFamily", YEAR)
     q["cube_level_detail"] = O.cube_level_sql("Detail Level", "region", "quarter",
-                                              "productGroup", YEAR)
+                                              "productGroup", None)
     q["cube_level_geo_time"] = O.cube_level_sql("By Geo + Time", "region", "quarter",
-                                                "productGroup", YEAR)
+                                                "productGroup", None)
     q["cube_level_filter"] = O.cube_level_sql("By Time + Product", "region", "quarter",
-                                              "productCategory", YEAR)
-    q["cube_level_counts"] = _counts(O.cube_sql("region", "quarter", "productGroup", YEAR),
+                                              "productCategory", None)
+    q["cube_level_counts"] = _counts(O.cube_sql("region", "quarter", "productGroup"),
                                      "aggregation_level")
-    q["cube_presentation"] = _presentation(q["cube_year"])
+    q["cube_presentation"] = _presentation(q["cube_all_years"])
 
     # -- GROUPING SETS ------------------------------------------------------
     q["grouping_sets_default"] = O.grouping_sets_sql("region", "quarter", "productGroup")
     q["grouping_sets_year"] = O.grouping_sets_sql("region", "quarter", "productCategory", YEAR)
-    q["grouping_sets_finest"] = O.grouping_sets_sql("shop", "day", "article", YEAR_FINE)
+    q["grouping_sets_finest"] = O.grouping_sets_sql("shop", "day", "article")
     q["grouping_type_counts"] = _counts(
-        O.grouping_sets_sql("region", "quarter", "productGroup", YEAR), "aggregation_type")
+        O.grouping_sets_sql("region", "quarter", "productGroup"), "aggregation_type")
 
     # -- cross table ----------------------------------------------------------
-    # Six product categories: fewer than the 8-column cap, so no marker column.
     for metric, name in (("total_quantity", "crosstab_quantity"),
                          ("total_revenue", "crosstab_revenue"),
                          ("transaction_count", "crosstab_transactions")):
-        q[name] = O.crosstab_sql("region", "quarter", "productCategory", YEAR, metric, None)
+        q[name] = O.crosstab_sql("region", "quarter", "productCategory", YEAR, metric)
     q["crosstab_default"] = O.crosstab_sql("region", "quarter", "productGroup", YEAR,
-                                           "total_quantity", 8)
-    q["crosstab_capped"] = O.crosstab_sql("region", "quarter", "productFamily", YEAR,
-                                          "total_revenue", 8)
+                                           "total_quantity")
+    q["crosstab_capped"] = O.crosstab_wide_sql(CROSSTAB_MEMBERS, "region", "quarter",
+                                               "productCategory", YEAR, "total_revenue")
+    q["crosstab_all_years"] = O.crosstab_sql("city", "month", "productFamily", None,
+                                             "total_quantity")
     q["crosstab_insights"] = O.insights_sql("region", "quarter", "productGroup", YEAR,
                                             "total_quantity")
     q["crosstab_shape"] = O.shape_sql("region", "quarter", "productGroup", YEAR)

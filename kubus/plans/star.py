@@ -23,15 +23,16 @@ fact is partitioned by ``sale_year`` so a year filter prunes directories.
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import year_range_predicate
 from ..model import STAR_COLUMNS
+from ..operators.facts import accepted, rejected
 from ..sources.tables import read_table
-from .broadcast import DEFAULT_BROADCAST_ROWS, bounded_broadcast, broadcast_if_bounded
+from .warehouse import REJECT_YEAR, SALES_SCHEMA, SALES_TABLE
 
 WORLD = "WORLD"
 FACT_COLUMNS = ("date_key", "shop_key", "product_key", "quantity_sold", "revenue")
@@ -43,8 +44,6 @@ STATE_COLUMNS = ("_qty", "_rev", "_rows", "_ratio_sum", "_ratio_n")
 class TpchStar:
     spark: SparkSession
     sf_dir: str
-    broadcast_rows: int | None = None
-    _cache: dict = field(default_factory=dict, repr=False)
 
     def table(self, name: str) -> DataFrame:
         return read_table(self.spark, self.sf_dir, name)
@@ -133,26 +132,30 @@ class TpchStar:
                                  f"'{WORLD}' AS country_name").select(*STAR_COLUMNS)
 
 
-def star_join(fact: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
-              broadcast_rows: int | None = None) -> DataFrame:
+def with_date_parts(fact: DataFrame) -> DataFrame:
+    """full_date, year, quarter, month and day, all functions of ``date_key``,
+    so the calendar need not be joined."""
+    key = "date_key"
+    return fact.selectExpr(
+        "*", f"make_date({key} DIV 10000, {key} DIV 100 % 100, {key} % 100) AS full_date",
+        f"CAST({key} DIV 10000 AS INT) AS year",
+        f"CAST(({key} DIV 100 % 100 + 2) DIV 3 AS INT) AS quarter",
+        f"CAST({key} DIV 100 % 100 AS INT) AS month", f"CAST({key} % 100 AS INT) AS day")
+
+
+def star_join(fact: DataFrame, dim_shop: DataFrame, dim_product: DataFrame) -> DataFrame:
     """Inner equi-joins of the fact with shop and product dimensions.
 
     Shop and product dimensions grow with the data (one row per supplier /
-    part), so they carry no broadcast hint by default.  The size check is
-    the optimizer's own: a side is broadcast only while its estimated size
-    is under ``spark.sql.autoBroadcastJoinThreshold``; otherwise the join is
-    a sort-merge join on the surrogate key, which AQE may still turn into a
-    broadcast from runtime sizes and whose hot keys AQE's skew handling
-    splits.  With ``broadcast_rows`` set, each dimension's row count is
-    checked explicitly instead (one cheap ``limit().count()`` job each).
+    part), so they carry no broadcast hint.  The optimizer broadcasts a side
+    while it is under ``spark.sql.autoBroadcastJoinThreshold``; pass written
+    tables, whose size it knows.  Otherwise the join is a sort-merge join on
+    the surrogate key, whose hot keys AQE splits.
     """
     shop = dim_shop.select("shop_key", "shop_name", "city_name", "region_name",
                            "country_name")
     product = dim_product.select("product_key", "article_name", "product_group_name",
                                  "product_family_name", "product_category_name")
-    if broadcast_rows:
-        shop = broadcast_if_bounded(shop, broadcast_rows)
-        product = broadcast_if_bounded(product, broadcast_rows)
     joined = fact.join(shop, "shop_key").join(product, "product_key")
     if STATE_COLUMNS[0] in fact.columns:
         return joined.select(*[c for c in STAR_COLUMNS if c not in MEASURE_COLUMNS],
@@ -180,7 +183,6 @@ class WarehouseStar:
 
     spark: SparkSession
     root: str
-    broadcast_rows: int | None = None
     preaggregate: bool = False
 
     def read(self, name: str) -> DataFrame:
@@ -195,24 +197,23 @@ class WarehouseStar:
     def dim_product(self) -> DataFrame:
         return self.read("dim_product")
 
+    def sales(self) -> DataFrame:
+        """All classified lines, accepted and rejected."""
+        return self.spark.read.schema(SALES_SCHEMA).parquet(os.path.join(self.root, SALES_TABLE))
+
     def fact(self, year: int | None = None) -> DataFrame:
-        fact = self.read("fact_sales")
-        if year is not None:
-            fact = fact.where(F.col("sale_year") == year)  # partition pruning
-        return fact.select(*FACT_COLUMNS)
+        # Partition pruning: rejects are a partition of their own.
+        keep = F.col("sale_year") != REJECT_YEAR if year is None else F.col("sale_year") == year
+        return accepted(self.sales().where(keep))
+
+    def rejects(self) -> DataFrame:
+        return rejected(self.sales().where(F.col("sale_year") == REJECT_YEAR))
 
     def frame(self, year: int | None = None) -> DataFrame:
-        dates = self.dim_date()
-        if year is not None:
-            dates = dates.where(F.col("year") == year)
         fact = self.fact(year)
         if self.preaggregate:
             fact = preaggregate_fact(fact)
-        # Calendar: <= 366 rows per covered year, a bounded broadcast.
-        fact = fact.join(
-            bounded_broadcast(dates.select("date_key", "full_date", "year", "quarter",
-                                           "month", "day")), "date_key")
-        return star_join(fact, self.dim_shop(), self.dim_product(), self.broadcast_rows)
+        return star_join(with_date_parts(fact), self.dim_shop(), self.dim_product())
 
 
 @dataclass
@@ -227,26 +228,17 @@ class FrameStar:
 
 @dataclass
 class FactStar:
-    """A fact DataFrame (FACT_COLUMNS) plus dimension DataFrames."""
+    """A fact DataFrame (FACT_COLUMNS, dates from the calendar) plus dimensions."""
 
     fact_df: DataFrame
-    dim_date: DataFrame
     dim_shop: DataFrame
     dim_product: DataFrame
-    # Dimensions here may be derived frames whose size the optimizer cannot
-    # estimate, so their row counts are checked explicitly.
-    broadcast_rows: int | None = DEFAULT_BROADCAST_ROWS
     preaggregate: bool = False
 
     def frame(self, year: int | None = None) -> DataFrame:
-        dates = self.dim_date
-        if year is not None:
-            dates = dates.where(F.col("year") == year)
         fact = self.fact_df.select(*FACT_COLUMNS)
+        if year is not None:
+            fact = fact.where(F.col("date_key").between(year * 10000, year * 10000 + 9999))
         if self.preaggregate:
             fact = preaggregate_fact(fact)
-        # Calendar: <= 366 rows per covered year, a bounded broadcast.
-        fact = fact.join(
-            bounded_broadcast(dates.select("date_key", "full_date", "year", "quarter",
-                                           "month", "day")), "date_key")
-        return star_join(fact, self.dim_shop, self.dim_product, self.broadcast_rows)
+        return star_join(with_date_parts(fact), self.dim_shop, self.dim_product)

@@ -1,47 +1,43 @@
-"""Build a warehouse: dimensions + fact (+ rejects) as Parquet tables.
-
-``build_warehouse`` is the ETL run: flattened dimensions and the calendar
-are written as small tables; the sales text is parsed and classified in
-one pass; accepted rows become ``fact_sales`` partitioned by ``sale_year``
-(a year filter then prunes directories) and sorted by ``date_key`` inside
-each task so Parquet row-group statistics on the key are tight.  There is
-deliberately no repartition by year: one year can hold a large share of
-all rows and would land in one task.  Every table is overwritten, so a
-re-run is idempotent.
-
-The classified rows are persisted (memory, spilling to disk) because
-three outputs read them; if an executor is lost its blocks are recomputed
-from the lineage.
+"""Build a warehouse: dimensions, fact and rejects as Parquet tables.
+
+``build_warehouse`` is the ETL run: flattened dimensions and the calendar are
+written as small tables; the sales text is parsed and classified in one pass
+and written once, partitioned by year with the rejects in a partition of
+their own.  The rows are rebalanced on that partition before the write, so
+the number of files follows the size of a year, not the number of tasks, and
+AQE splits a year that is larger than a file should be.  Every table is
+overwritten, so a re-run gives the same content.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import facts as FT
 
-FACT_TABLE = "fact_sales"
-REJECT_TABLE = "sales_rejects"
+SALES_TABLE = "sales"
+REJECT_YEAR = 0  # the partition of rejected lines
+# An empty load writes no file to read the schema from.
+SALES_SCHEMA = ("Date string, Shop string, Article string, Sold string, Revenue string, "
+                "sale_date date, sale_date_key int, shop_key bigint, product_key bigint, "
+                "sold_quantity int, sale_revenue decimal(10,2), reject_reason string, sale_year int")
 
 
-def with_sale_year(fact: DataFrame) -> DataFrame:
-    return fact.withColumn("sale_year", F.expr("CAST(date_key DIV 10000 AS INT)"))
-
-
-def write_fact(fact: DataFrame, path: str, max_records_per_file: int = 5_000_000) -> None:
-    (with_sale_year(fact).sortWithinPartitions("sale_year", "date_key")
-     .write.mode("overwrite").partitionBy("sale_year")
-     .option("maxRecordsPerFile", max_records_per_file).parquet(path))
+def write_classified(classified: DataFrame, path: str) -> None:
+    year = F.when(F.col("reject_reason").isNull(),
+                  F.expr("CAST(sale_date_key DIV 10000 AS INT)")).otherwise(REJECT_YEAR)
+    (classified.withColumn("sale_year", year).hint("rebalance", "sale_year")
+     .sortWithinPartitions("sale_year", "sale_date_key")
+     .write.mode("overwrite").partitionBy("sale_year").parquet(path))
 
 
 def build_warehouse(out: str, dim_date: DataFrame, dim_shop: DataFrame,
-                    dim_product: DataFrame, sales_text: DataFrame) -> dict:
-    """Write dim_date, dim_shop, dim_product, fact_sales and sales_rejects
-    under ``out``; return the load summary (one collected row)."""
+                    dim_product: DataFrame, sales_text: DataFrame) -> None:
+    """Write dim_date, dim_shop, dim_product and the classified sales under
+    ``out``; ``WarehouseStar`` reads them."""
     for name, df in (("dim_date", dim_date), ("dim_shop", dim_shop),
                      ("dim_product", dim_product)):
         df.write.mode("overwrite").parquet(os.path.join(out, name))
@@ -50,12 +46,5 @@ def build_warehouse(out: str, dim_date: DataFrame, dim_shop: DataFrame,
     spark = sales_text.sparkSession
     dims = {n: spark.read.parquet(os.path.join(out, n))
             for n in ("dim_date", "dim_shop", "dim_product")}
-    classified = FT.classify_sales(sales_text, dims["dim_shop"], dims["dim_product"],
-                                   dims["dim_date"]).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_fact(FT.accepted(classified), os.path.join(out, FACT_TABLE))
-        FT.rejected(classified).write.mode("overwrite").parquet(os.path.join(out, REJECT_TABLE))
-        summary = FT.load_summary(classified).first().asDict()
-    finally:
-        classified.unpersist()
-    return summary
+    write_classified(FT.classify_sales(sales_text, dims["dim_shop"], dims["dim_product"],
+                                       dims["dim_date"]), os.path.join(out, SALES_TABLE))

@@ -21,17 +21,18 @@ from .operators import facts as FT
 from .operators import integrity as I
 from .operators import navigate as N
 from .operators import stats as S
+from .plans.normalised import normalised_products, normalised_shops
 from .plans.star import FactStar, TpchStar, WarehouseStar
 from .plans.views import register_star_views, sql_analysis
 from .plans.warehouse import build_warehouse
-from .session import materialize, scratch_path
+from .session import scratch_path, written
 from .sources.sales_text import read_sales_csv, tpch_sales_text, write_sales_csv
 
 # The input orders span 1995-2001; 1997 plays the role of the source
 # system's default analysis year.
 YEAR = 1997
-YEAR_FINE = 1999
-YEAR_CITY = 1998
+# The caller's columns of the wide cross table.
+CROSSTAB_MEMBERS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,10 +66,8 @@ def dim_shop_flattened(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def classified_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = star(spark, sf_dir)
-    # Each dimension has at most as many rows as its leaf table.
     return FT.classify_sales(tpch_sales_text(st), st.dim_shop(), st.dim_product(),
-                             dim_date(spark, sf_dir), shop_probe=st.table("supplier"),
-                             product_probe=st.table("part"))
+                             dim_date(spark, sf_dir))
 
 
 def parsed_star(spark: SparkSession, sf_dir: str, preaggregate: bool = False) -> FactStar:
@@ -78,9 +77,9 @@ def parsed_star(spark: SparkSession, sf_dir: str, preaggregate: bool = False) ->
     table), so the analysis reads loaded rows instead of re-parsing text.
     """
     st = star(spark, sf_dir)
-    fact = materialize(FT.accepted(classified_sales(spark, sf_dir)))
-    return FactStar(fact, dim_date(spark, sf_dir), st.dim_shop(), st.dim_product(),
-                    preaggregate=preaggregate)
+    fact = written(FT.accepted(classified_sales(spark, sf_dir)), "fact-sales")
+    return FactStar(fact, written(st.dim_shop(), "dim-shop"),
+                    written(st.dim_product(), "dim-product"), preaggregate=preaggregate)
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -104,6 +103,20 @@ def warehouse(spark: SparkSession, sf_dir: str) -> WarehouseStar:
     return WarehouseStar(spark, out)
 
 
+def warehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts of the tables of a built warehouse."""
+    w = warehouse(spark, sf_dir)
+    return S.table_row_counts({"dim_date": w.dim_date(), "dim_shop": w.dim_shop(),
+                               "dim_product": w.dim_product(), "fact_sales": w.fact(),
+                               "rejects": w.rejects()})
+
+
+def warehouse_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Status report over a built warehouse."""
+    w = warehouse(spark, sf_dir)
+    return S.warehouse_status(w.fact(), w.dim_date())
+
+
 def navigator_walk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Drill down geo, then product, then roll time up to year: the last
     step is answered from the navigation cuboid, not from the fact."""
@@ -128,6 +141,8 @@ def registry() -> dict[str, Query]:
     q["dim_date"] = lambda s, d: dim_date(s, d)
     q["dim_shop"] = lambda s, d: dim_shop_flattened(s, d)
     q["dim_product"] = lambda s, d: star(s, d).dim_product()
+    q["dim_shop_chain"] = lambda s, d: D.shop_dimension(*normalised_shops(star(s, d)))
+    q["dim_product_chain"] = lambda s, d: D.product_dimension(*normalised_products(star(s, d)))
     q["insert_if_absent"] = lambda s, d: D.insert_if_absent(
         dim_date(s, d, extra_years=1), dim_date(s, d), "date_key")
 
@@ -145,13 +160,15 @@ def registry() -> dict[str, Query]:
         parsed_star(s, d, preaggregate=True), "city", "month", "productCategory", None,
         "transaction_count")
     q["sales_csv"] = sales_csv
+    q["warehouse_row_counts"] = warehouse_counts
+    q["warehouse_statistics"] = warehouse_statistics
     q["warehouse_cube"] = lambda s, d: C.analysis(warehouse(s, d), "region", "quarter",
                                                   "productFamily", YEAR)
 
     # -- fact and integrity ---------------------------------------------------
     q["fact_sales"] = lambda s, d: star(s, d).fact()
     q["fact_orphans"] = lambda s, d: I.orphan_counts(star(s, d).fact(), {
-        "date": (dim_date(s, d), "date_key"),
+        "date": (written(dim_date(s, d), "calendar"), "date_key"),
         "shop": (star(s, d).dim_shop(), "shop_key"),
         "product": (star(s, d).dim_product(), "product_key")})
     q["dimension_duplicates"] = lambda s, d: I.duplicate_keys({
@@ -163,9 +180,10 @@ def registry() -> dict[str, Query]:
     q["table_row_counts"] = lambda s, d: S.table_row_counts({
         "dim_date": dim_date(s, d), "dim_shop": star(s, d).dim_shop(),
         "dim_product": star(s, d).dim_product(), "fact_sales": star(s, d).fact()})
-    q["summary_statistics"] = lambda s, d: S.summary_statistics(star(s, d).fact(),
-                                                                dim_date(s, d))
-    q["warehouse_status"] = lambda s, d: S.warehouse_status(star(s, d).fact(), dim_date(s, d))
+    q["summary_statistics"] = lambda s, d: S.summary_statistics(
+        star(s, d).fact(), written(dim_date(s, d), "calendar"))
+    q["warehouse_status"] = lambda s, d: S.warehouse_status(
+        star(s, d).fact(), written(dim_date(s, d), "calendar"))
     q["sales_summary_view"] = lambda s, d: S.sales_summary(star(s, d).frame())
     q["sales_summary_sql"] = lambda s, d: S.sales_summary_for_year(s, star(s, d).frame(), YEAR)
 
@@ -180,38 +198,34 @@ def registry() -> dict[str, Query]:
     q["cube_base_cuboid"] = lambda s, d: C.analysis(
         star(s, d), "region", "quarter", "productCategory", YEAR, via_base_cuboid=True)
     q["cube_city_month_category"] = lambda s, d: C.analysis(star(s, d), "city", "month",
-                                                            "productCategory", YEAR)
+                                                            "productCategory")
     q["cube_city_month_family"] = lambda s, d: C.analysis(star(s, d), "city", "month",
-                                                          "productFamily", YEAR_CITY)
+                                                          "productFamily")
     q["cube_coarsest"] = lambda s, d: C.analysis(star(s, d), "country", "year",
                                                  "productCategory")
-    q["cube_finest"] = lambda s, d: C.analysis(star(s, d), "shop", "day", "article",
-                                               YEAR_FINE)
+    q["cube_finest"] = lambda s, d: C.analysis(star(s, d), "shop", "day", "article")
     q["cube_lattice"] = lambda s, d: C.analysis(star(s, d), "region", "month", "productFamily",
                                                 strategy="lattice")
     q["cube_sql_views"] = sql_cube
     q["cube_level_detail"] = lambda s, d: C.cube_level(star(s, d), "Detail Level", "region",
-                                                       "quarter", "productGroup", YEAR)
+                                                       "quarter", "productGroup")
     q["cube_level_geo_time"] = lambda s, d: C.cube_level(star(s, d), "By Geo + Time",
-                                                         "region", "quarter", "productGroup",
-                                                         YEAR)
-    q["cube_level_filter"] = lambda s, d: C.filter_level(
-        C.analysis(star(s, d), "region", "quarter", "productCategory", YEAR),
-        "By Time + Product")
+                                                         "region", "quarter", "productGroup")
+    q["cube_level_filter"] = lambda s, d: C.cube_level(
+        star(s, d), "By Time + Product", "region", "quarter", "productCategory")
     q["cube_level_counts"] = lambda s, d: C.level_counts(
-        C.analysis(star(s, d), "region", "quarter", "productGroup", YEAR, ordered=False))
+        C.analysis(star(s, d), "region", "quarter", "productGroup"))
     q["cube_presentation"] = lambda s, d: C.presentation(
-        C.analysis(star(s, d), "region", "quarter", "productCategory", YEAR))
+        C.analysis(star(s, d), "region", "quarter", "productCategory"))
 
     # -- GROUPING SETS ----------------------------------------------------------
     q["grouping_sets_default"] = lambda s, d: C.grouping_sets(star(s, d))
     q["grouping_sets_year"] = lambda s, d: C.grouping_sets(star(s, d), "region", "quarter",
                                                            "productCategory", YEAR)
     q["grouping_sets_finest"] = lambda s, d: C.grouping_sets(star(s, d), "shop", "day",
-                                                             "article", YEAR_FINE)
+                                                             "article")
     q["grouping_type_counts"] = lambda s, d: C.level_counts(
-        C.grouping_sets(star(s, d), "region", "quarter", "productGroup", YEAR, ordered=False),
-        "aggregation_type")
+        C.grouping_sets(star(s, d), "region", "quarter", "productGroup"), "aggregation_type")
 
     # -- cross table --------------------------------------------------------------
     for metric, name in (("total_quantity", "crosstab_quantity"),
@@ -220,8 +234,11 @@ def registry() -> dict[str, Query]:
         q[name] = (lambda m: lambda s, d: X.cross_table(
             star(s, d), "region", "quarter", "productCategory", YEAR, m))(metric)
     q["crosstab_default"] = lambda s, d: X.cross_table(star(s, d), year=YEAR)
-    q["crosstab_capped"] = lambda s, d: X.cross_table(star(s, d), "region", "quarter",
-                                                      "productFamily", YEAR, "total_revenue")
+    q["crosstab_capped"] = lambda s, d: X.cross_table_wide(
+        star(s, d), list(CROSSTAB_MEMBERS), "region", "quarter", "productCategory", YEAR,
+        "total_revenue")
+    q["crosstab_all_years"] = lambda s, d: X.cross_table(star(s, d), "city", "month",
+                                                         "productFamily")
     q["crosstab_insights"] = lambda s, d: X.insights(star(s, d), "region", "quarter",
                                                      "productGroup", YEAR, "total_quantity")
     q["crosstab_shape"] = lambda s, d: X.table_shape(star(s, d), "region", "quarter",

@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the library relies on.  AQE re-plans joins from runtime sizes
 # (a sort-merge join whose side turns out small becomes a broadcast) and
@@ -69,7 +70,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting points at shared storage and is respected as
-    is.  Only when it is unset (local tests) do we choose a scratch folder.
+    is.  Where it is unset, a scratch folder is chosen in local mode, in which
+    all tasks share one machine; elsewhere that is an error, since executors
+    would each write to a disk of their own.
     """
     try:
         sc = spark.sparkContext
@@ -80,6 +83,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="kubus-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", configured)
@@ -97,6 +102,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, name) if "://" not in base else f"{base.rstrip('/')}/{name}"
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet into the shared folder and read it back.
+
+    Cuts the lineage, gives later plans real sizes (the optimizer's own
+    threshold then decides what is broadcast), and makes both sides of a join
+    plain scans, which AQE can split when a key is hot.
+    """
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex[:12]}")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df):
     """Reliable checkpoint into the shared checkpoint folder (eager).
 

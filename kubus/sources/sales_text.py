@@ -27,9 +27,9 @@ SALES_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in SAL
 def read_sales_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
     """Splittable CSV scan (no multiLine), fixed all-string schema.
 
-    Like a plain CSV reader, an empty field is the empty string, not NULL
-    (``nullValue`` is set to a NUL character, which text exports never
-    contain); short lines still give NULL for the missing fields.
+    A quoted empty field is the empty string; an unquoted one, like the
+    missing fields of a short line, is NULL.  Either fails to parse and
+    rejects the line.
     """
     return (spark.read.schema(SALES_SCHEMA)
             .option("header", True).option("sep", ";").option("encoding", encoding)

@@ -26,40 +26,9 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_SCANS: dict = {}
-
-
-def _version(path: str):
-    try:
-        return os.stat(path).st_mtime_ns
-    except OSError:  # remote file systems: listed once per session
-        return None
-
-
-def _app_id(spark: SparkSession):
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
-        return None
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str,
                columns: tuple[str, ...] | None = None) -> DataFrame:
-    """Parquet scan of ``<sf_dir>/<name>.parquet`` projected to ``columns``.
-
-    The relation (schema + file listing) is reused within a session while
-    the path is unchanged, so repeated queries do not re-list and re-read
-    footers; DataFrames are immutable, so sharing them is safe.
-    """
-    path = table_path(sf_dir, name)
+    """Parquet scan of ``<sf_dir>/<name>.parquet`` projected to ``columns``."""
+    df = spark.read.parquet(table_path(sf_dir, name))
     cols = columns if columns is not None else TPCH_COLUMNS.get(name)
-    key = (id(spark), _app_id(spark), path, _version(path), cols)
-    if any(k[:2] != key[:2] for k in _SCANS):
-        _SCANS.clear()  # another session: drop relations bound to the old one
-    df = _SCANS.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(path)
-        if cols:
-            df = df.select(*cols)
-        _SCANS[key] = df
-    return df
+    return df.select(*cols) if cols else df

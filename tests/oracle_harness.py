@@ -72,7 +72,8 @@ def compare(spark, con, name: str, sf_dir: str, query, sql: str | None) -> dict:
     if sql is None:
         res["status"] = "no-oracle"
         return res
-    cur = con.execute(sql)
+    con.execute(f"CREATE OR REPLACE VIEW oracle AS {sql}")  # as the driver runs it
+    cur = con.execute("SELECT * FROM oracle")
     dcols = [d[0] for d in cur.description]
     dtypes = {d[0]: str(d[1]) for d in cur.description}
     stypes = {f.name: _spark_type(f.dataType.simpleString()) for f in sdf.schema.fields}

@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as E
+from kubus import oracle_queries, queries
 from oracle_harness import compare, duck
 
-NAMES = sorted(E.queries())
+NAMES = sorted(queries.registry())
 
 
 @pytest.fixture(scope="module")
@@ -14,7 +15,7 @@ def con(sf_small):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(oracle_queries.registry()) == set(queries.registry())
 
 
 @pytest.mark.parametrize("name", NAMES)
