@@ -11,7 +11,10 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import scratch_path, written
+
+__all__ = ["ROOT", "crc32_mod", "filesystem", "read_table", "shared_folder", "ship", "word_blocks",
+           "written"]
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 _SPACE = re.compile(rb"[\x20\x09-\x0d]")
@@ -35,19 +38,6 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet into the shared folder and read it back.
-
-    Cuts the lineage (a lost executor costs no recomputation of finished
-    work) and makes both sides of a later join plain scans, which AQE can
-    split when a key is hot.
-    """
-    spark = df.sparkSession
-    path = shared_folder(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of a text, about ``size`` bytes at a time,
     so that a very long text never becomes one huge word list."""
