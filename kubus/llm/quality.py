@@ -188,13 +188,6 @@ def fences(sketch: DataFrame) -> DataFrame:
                             (F.col("q3") + room).alias("high"))
 
 
-def _limits(fence: DataFrame, keys: list[str]) -> DataFrame:
-    return fence.groupBy(*keys).agg(
-        F.max("docs").alias("docs"),
-        F.map_from_entries(F.collect_list(F.struct("metric", F.struct("low", "high"))))
-        .alias("limits"))
-
-
 def thresholds(measured: DataFrame, min_docs: int = 100) -> DataFrame:
     """(lang, source, limits): the fences that hold for every group present.
 
@@ -202,25 +195,22 @@ def thresholds(measured: DataFrame, min_docs: int = 100) -> DataFrame:
     language's merged sketch, and that of the whole corpus where the language
     is as rare.
     """
-    fence = written(fences(sketches(measured)), "quality-fences")
-    own = _limits(fence.where("source is not null"), ["lang", "source"])
-    by_lang = _limits(fence.where("source is null and lang is not null"), ["lang"])
-    corpus = _limits(fence.where("lang is null").withColumn("all", F.lit(1)), ["all"])
+    every = F.lit("*")  # stands for all; real groups begin with "=" or are "null"
+    limits = written(
+        fences(sketches(measured))
+        .groupBy(F.coalesce("lang", every).alias("of_lang"), F.coalesce("source", every).alias("of_source"))
+        .agg(F.max("docs").alias("docs"),
+             F.map_from_entries(F.collect_list(F.struct("metric", F.struct("low", "high"))))
+             .alias("limits")), "quality-fences")
     # The table has a row for every group, also one whose documents all failed.
-    groups = measured.select(_group("lang").alias("lang"), _group("source").alias("source")) \
-        .distinct().withColumn("all", F.lit(1))
-
-    def renamed(frame: DataFrame, level: str) -> DataFrame:
-        return frame.withColumnsRenamed({"docs": f"{level}_docs", "limits": f"{level}_limits"})
-
-    enough = lambda level: F.coalesce(F.col(f"{level}_docs"), F.lit(0)) >= min_docs
-    return (groups.join(renamed(own, "own"), ["lang", "source"], "left")
-            .join(renamed(by_lang, "lang"), "lang", "left")
-            .join(F.broadcast(renamed(corpus, "all")), "all", "left")  # one row
-            .select("lang", "source",
-                    F.when(enough("own"), F.col("own_limits"))
-                    .when(enough("lang"), F.col("lang_limits"))
-                    .otherwise(F.col("all_limits")).alias("limits")))
+    groups = measured.select(_group("lang").alias("lang"), _group("source").alias("source")).distinct()
+    levels = groups.select("lang", "source", F.inline(F.array(*[
+        F.struct(F.lit(i).alias("level"), lang.alias("of_lang"), source.alias("of_source"))
+        for i, (lang, source) in enumerate(((F.col("lang"), F.col("source")), (F.col("lang"), every),
+                                            (every, every)))])))
+    return (levels.join(limits, ["of_lang", "of_source"])
+            .where((F.col("docs") >= min_docs) | (F.col("level") == 2))
+            .groupBy("lang", "source").agg(F.min_by("limits", "level").alias("limits")))
 
 
 def verdicts(docs: DataFrame, min_docs: int = 100) -> DataFrame:
