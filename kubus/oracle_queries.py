@@ -54,6 +54,7 @@ def registry() -> dict[str, str]:
         "city", "month", "productCategory", None, "transaction_count",
         source={**load, "star": O.PARSED_STAR_SQL})
     q["sales_csv"] = O.SALES_TEXT_SQL
+    q["warehouse_rebuilt"] = q["sales_parsed"]
     q["warehouse_row_counts"] = f"{O.ctes(**load)}\n" + " UNION ALL ".join(
         f"SELECT '{name}' AS table_name, COUNT(*) AS row_count FROM {table}" for name, table in (
             ("dim_date", "dim_date"), ("dim_shop", "dim_shop"), ("dim_product", "dim_product"),
