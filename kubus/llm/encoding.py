@@ -17,24 +17,32 @@ from tokenizers import Tokenizer
 ID_TYPE = np.dtype("<u4")
 # White space as the tokenizers' own patterns see it.
 _W = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+# Letters for certain, and ASCII that is none: tokenizers cut between them,
+# which spares the words that differ only in the mark that follows.
+_L, _MARK = "A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff", "!-@\\[-`{-~"
 # kind: (pieces of a text, a separator that is always one token of its own)
 _KINDS = {
     # A single blank belongs to the word after it; other white space stands alone.
-    "leading": (re.compile(rf" ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]"), "\n"),
+    "leading": (re.compile(rf" ?[{_L}]+(?=[{_MARK}])| ?[^{_W}]+|[{_W}]+(?![^{_W}])|[{_W}]"), "\n"),
     # White space only separates.
-    "dropped": (re.compile(rf"[^{_W}]+"), " \u2605 "),
+    "dropped": (re.compile(rf"[{_L}]+(?=[{_MARK}])|[^{_W}]+"), " \u2605 "),
 }
 _CUT = re.compile(rf"(?<=[^{_W}])(?=[{_W}])")
 _BATCH = 2000
 
 
 class Encoder:
-    """Encodes texts with one tokenizer file; ``cache_size`` bounds the pieces
-    kept, ``slice_chars`` how much of a long text is held as pieces at once."""
+    """Encodes texts with one tokenizer file.
 
-    def __init__(self, path: str, kind: str, cache_size: int = 500_000,
+    ``cache_size`` bounds the pieces kept in each of two generations (a full
+    young one becomes the old one; pieces still in use return from it),
+    ``slice_chars`` how much of a long text is held as pieces at once.
+    """
+
+    def __init__(self, path: str, kind: str, cache_size: int = 300_000,
                  slice_chars: int = 1 << 20) -> None:
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.model._resize_cache(0)  # every piece reaches the library once
         self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
         self.pieces, self.separator = _KINDS[kind]
         self.mark = self._encode([self.separator])[0]
@@ -42,16 +50,24 @@ class Encoder:
             raise ValueError("the separator must be one token")
         self.cache_size, self.slice_chars = cache_size, slice_chars
         self.known: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, ID_TYPE)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        new = [p for p in pieces if p not in self.known]
-        if len(self.known) + len(new) > self.cache_size:
-            self.known.clear()
-            new = list(pieces)
+    def _learn(self, held: list[list[str]]) -> None:
+        pieces = set().union(*held).difference(self.known)
+        if len(self.known) + len(pieces) > self.cache_size:
+            self.old, self.known = self.known, {}
+            pieces = set().union(*held)
+        new = []
+        for piece in pieces:
+            ids = self.old.get(piece)
+            if ids is None:
+                new.append(piece)
+            else:
+                self.known[piece] = ids
         # A piece that could merge with the separator is encoded by itself.
         sign = self.separator.strip(" ")
         alone = [p for p in new if sign in p or p.isspace()]
@@ -85,7 +101,7 @@ class Encoder:
         held, chars = [], 0
 
         def flush() -> None:
-            self._learn(set().union(*(p for _, p in held)))
+            self._learn([p for _, p in held])
             for i, pieces in held:
                 out[i].append(b"".join(map(self.known.__getitem__, pieces)))
             held.clear()
