@@ -3,6 +3,7 @@
 import re
 import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -10,8 +11,8 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from kubus.llm import (decontaminate, langid, licenses, packing, quality, registry, secrets, simhash,
-                       token_files)
+from kubus.llm import (decontaminate, encoding, langid, licenses, packing, quality, registry, secrets,
+                       simhash, token_files)
 from .conftest import prose
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -87,9 +88,15 @@ def test_quality_keeps_columns_and_repeated_rows(odd_docs):
 # -- token files -------------------------------------------------------------
 
 
-def encode_all(name, texts):
+@cache
+def tokenizer(name):
     t = Tokenizer.from_file(public_tokenizers.path(name))
     t.encode_special_tokens = True
+    return t
+
+
+def encode_all(name, texts):
+    t = tokenizer(name)
     return [e.ids for e in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
@@ -97,6 +104,20 @@ def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
 
+@pytest.mark.parametrize("name, kind", [("byte_bpe_50k.json", "leading"), ("word_bpe_49k.json", "dropped")])
+def test_pieces_encode_like_whole_texts(name, kind):
+    parts = ["don't", "I'll", " ", "  ", "\n", "\t", "\x1c", "\xa0", "\u00e9", "\u00c9COLE", "\u2167",
+             "a\u00b2b", "\u0141\u00f3d\u017a", "\u043f\u0440\u0438", "\u65e5\u672c", "'s", "''t",
+             "_a_", "3.14", "100km", "...", "\u2605", "a\u2605", "e\u0301", "\u0130", "\u0391\u03a3.",
+             "\U0001f600", "<|endoftext|>", "word", "Word,", "the.", "\r\n", "\0", "\u200b", "\x85",
+             "\u0663", "\u00aa", "-"]
+    r = np.random.default_rng(7)
+    code = encoding.Encoder(public_tokenizers.path(name), kind, cache_size=500, slice_chars=60)
+    for _ in range(200):
+        texts = ["".join(r.choice(parts, r.integers(0, 40))) for _ in range(8)]
+        assert code.encode(texts) == [np.array(x, "<u4").tobytes() for x in encode_all(name, texts)]
+
+
 def test_token_files_round_trip(odd_docs, no_docs):
     path = registry.vocabulary("byte_bpe_50k.json")
     found = token_files.token_files(odd_docs, path, "leading", 2).collect()
