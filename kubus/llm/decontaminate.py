@@ -38,7 +38,9 @@ UNITS = frozenset(
     "kb mb gb tb".split())
 _EDGES = re.compile(r"^\W+|\W+$")
 _SIGNS = re.compile(r"[^\w]+")
-_CACHE = 400_000
+_CLOSING = "\"')]\u00bb\u201d\u2019"
+_STOPS = frozenset(".!?:")
+_CACHE = 300_000
 
 
 class _Vocabulary:
@@ -58,26 +60,29 @@ class _Vocabulary:
         if len(self.index) + len(new) > _CACHE:
             self.clear()
             new = list(dict.fromkeys(words))
-        size = len(self.index) + len(new)
+        if new:
+            self._add(new)
+        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+
+    def _add(self, new: list[bytes]) -> None:
+        first, rows = len(self.bare), []
+        for i, raw in enumerate(new, first):
+            self.index[raw] = i
+            word = raw.decode("utf-8", "replace")
+            plain = word.isalnum()  # the usual word needs no pattern
+            bare = word if plain else _EDGES.sub("", word)
+            literal = bare.lower() if plain else _SIGNS.sub("", bare).lower()
+            number = not literal.isalpha() and any(map(str.isdigit, literal))
+            self.bare.append(bare)
+            rows.append((xxhash.xxh64_intdigest(literal.encode("utf-8", "replace")), number,
+                         literal in UNITS, bare[:1].isupper() and not number,
+                         not plain and word.rstrip(_CLOSING)[-1:] in _STOPS))
+        size = first + len(new)
         if size > len(self.columns[0]):
             self.columns = tuple(np.concatenate((c, np.zeros(max(size, len(c)), c.dtype)))
                                  for c in self.columns)
-        for word in new:
-            self._add(word)
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
-
-    def _add(self, raw: bytes) -> None:
-        word, i = raw.decode("utf-8", "replace"), len(self.bare)
-        bare = _EDGES.sub("", word)
-        literal = _SIGNS.sub("", bare).lower()
-        number = any(c.isdigit() for c in literal)
-        self.index[raw] = i
-        self.bare.append(bare)
-        values = (xxhash.xxh64_intdigest(literal.encode("utf-8", "replace")), number,
-                  literal in UNITS, bare[:1].isupper() and not number,
-                  word.rstrip("\"')]\u00bb\u201d\u2019")[-1:] in (".", "!", "?", ":"))
-        for column, value in zip(self.columns, values):
-            column[i] = value
+        for column, values in zip(self.columns, zip(*rows)):
+            column[first:size] = np.array(values, column.dtype)
 
 
 _words = _Vocabulary()
