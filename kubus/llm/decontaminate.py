@@ -5,9 +5,11 @@ A text's words become a template: numbers, units after numbers and names
 words into their lower-case letters.  Windows of five template words are
 hash-joined between documents and benchmark items, so a question asked with
 other numbers or names still meets its item.  The placeholders' fillings then
-have to agree: within a document, each filling of the item must map to one
-filling of the document, and windows that break the majority's mapping do not
-count.  A document with at least ``min_share`` of an item's windows holds it.
+have to agree: where the item lies in the document (document position minus
+item position, give or take a few words), each filling of the item must map to
+one filling of the document.  An item's window counts if any place of the
+document holds it with the item's own fillings or with the majority's mapping
+there.  A document with at least ``min_share`` of an item's windows holds it.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, word_blocks, written
@@ -27,6 +29,7 @@ from .common import ship, word_blocks, written
 WINDOW = 5
 MIN_LITERALS = 3
 MIN_SHARE = 0.5
+BAND = 8  # alignments that vote together; two bands overlap by half
 FILTER_BITS = 22
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 UNITS = frozenset(
@@ -90,10 +93,11 @@ _KIND_HASHES = np.array([xxhash.xxh64_intdigest(k) for k in (NUMBER, UNIT, NAME)
 
 
 def windows(data: bytes | None,
-            bits: np.ndarray | None = None) -> Iterator[tuple[int, str, tuple[str, ...]]]:
-    """(slot, template, fillings) of a text's windows that have at least
+            bits: np.ndarray | None = None) -> Iterator[tuple[int, int, str, tuple[str, ...]]]:
+    """(slot, position, template, fillings) of a text's windows that have at least
     ``MIN_LITERALS`` ordinary words and, if given, whose slot is in ``bits``."""
     tail: list[bytes] = []
+    before = 0  # words before ``words``
     for block in word_blocks(data or b""):
         words = tail + block
         skip = 1 if tail else 0  # the window at 0 was the last one of the block before
@@ -121,26 +125,28 @@ def windows(data: bytes | None,
                 bare = [_words.bare[j] for j in own]
                 template = " ".join((NUMBER, UNIT, NAME)[k - 1] if k else
                                     _SIGNS.sub("", b).lower() for k, b in zip(kinds, bare))
-                yield int(slots[i]), template, tuple(b for k, b in zip(kinds, bare) if k)
+                yield int(slots[i]), before + i, template, tuple(b for k, b in zip(kinds, bare) if k)
         tail = words[-WINDOW:]
+        before += len(words) - len(tail)
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(item, slot, t, list(f))
-                for item, text in zip(*(c.to_pylist() for c in batch.columns))
-                for slot, t, f in windows(text)]
-        yield _batch(rows, [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())],
-                     ["item_id", "slot", "template", "fillings"])
+        rows = [(item_id, item, slot, at, t, list(f))
+                for item_id, item, text in zip(*(c.to_pylist() for c in batch.columns))
+                for slot, at, t, f in windows(text)]
+        yield _batch(rows, [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(),
+                            pa.list_(pa.string())],
+                     ["item_id", "item", "slot", "at", "template", "fillings"])
 
 
 def _document_windows(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(doc, text_hash, t, list(f))
+        rows = [(doc, text_hash, at, t, list(f))
                 for doc, text_hash, text in zip(*(c.to_pylist() for c in batch.columns))
-                for _, t, f in dict.fromkeys(windows(text, bits))]
-        yield _batch(rows, [pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())],
-                     ["doc_id", "text_hash", "template", "fillings"])
+                for _, at, t, f in windows(text, bits)]
+        yield _batch(rows, [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())],
+                     ["doc_id", "text_hash", "place", "template", "fillings"])
 
 
 def _batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
@@ -149,20 +155,31 @@ def _batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
 
 
 def _consistent(met: DataFrame) -> DataFrame:
-    """The rows of ``met`` whose fillings follow their document's mapping."""
-    slots = met.select("doc", "item_id", "template", "fillings", F.explode_outer(
-        F.arrays_zip(F.col("item_fillings").alias("a"), F.col("fillings").alias("b"))).alias("p")) \
-        .select("doc", "item_id", "template", "fillings",
-                F.col("p.a").alias("of_item"), F.col("p.b").alias("of_doc"))
+    """(doc, item, at, lies, exact): the item windows of ``met`` and where the
+    item ``lies`` in the document, if their fillings are the item's or follow
+    the mapping of the alignments around.  A pairing votes with the number of
+    windows on its alignment, so crossed pairings of an item that repeats a
+    template weigh less than the item's own course."""
+    pairing = ["doc", "item", "at", "lies", "template"]
+    weight = F.count("*").over(Window.partitionBy("doc", "item", "lies"))
+    bands = F.explode(F.array(*[F.concat_ws(":", F.lit(k), F.floor((F.col("lies") + k) / BAND))
+                                for k in (0, BAND // 2)]))
+    slots = met.select(*pairing, (F.col("fillings") == F.col("item_fillings")).alias("exact"),
+                       "fillings", "item_fillings", weight.alias("weight")) \
+        .select("*", bands.alias("band")) \
+        .select(*pairing, "exact", "weight", "band", F.explode_outer(
+            F.arrays_zip(F.col("item_fillings").alias("a"), F.col("fillings").alias("b"))).alias("p")) \
+        .select(*pairing, "exact", "weight", "band", F.col("p.a").alias("of_item"),
+                F.col("p.b").alias("of_doc"))
     mapping = (slots.where("of_item is not null")
-               .groupBy("doc", "item_id", "of_item", "of_doc").agg(F.count("*").alias("n"))
-               .groupBy("doc", "item_id", "of_item")
+               .groupBy("doc", "item", "band", "of_item", "of_doc").agg(F.sum("weight").alias("n"))
+               .groupBy("doc", "item", "band", "of_item")
                .agg(F.max_by("of_doc", F.struct("n", "of_doc")).alias("chosen")))
-    return (slots.join(mapping, ["doc", "item_id", "of_item"], "left")
-            .groupBy("doc", "item_id", "template", "fillings")
-            .agg(F.bool_and(F.expr("of_item is null or of_doc = chosen")).alias("agrees"),
-                 F.bool_and(F.expr("of_item is null or of_doc = of_item")).alias("exact"))
-            .where("agrees"))
+    return (slots.join(mapping, ["doc", "item", "band", "of_item"], "left")
+            .groupBy(*pairing, "exact", "band")
+            .agg(F.bool_and(F.expr("of_item is null or of_doc = chosen")).alias("agrees"))
+            .where("exact or agrees")
+            .groupBy("doc", "item", "at", "lies").agg(F.bool_or("exact").alias("exact")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
@@ -170,15 +187,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_S
     hold a benchmark item; ``exact`` tells that all fillings are the item's.
 
     Null and empty texts and items of fewer than five words hold nothing and
-    match nothing; repeated rows of a document count as one; rows that repeat
-    an item_id share its windows; empty tables give an empty result; other
-    columns are not read.
+    match nothing; repeated rows of a document count as one; different texts
+    under one item_id are items of their own, of which the best met one is
+    given; empty tables give an empty result; other columns are not read.
     """
     ship(docs.sparkSession)
+    # Null ids take part like any other under their text form.
+    key = "concat_ws(':', coalesce(cast({0} as string), 'null'), {1})"
     items = written(benchmark.select(F.col("item_id").cast("long").alias("item_id"),
+                                     F.expr(key.format("item_id", "xxhash64(text)")).alias("item"),
                                      F.col("text").cast("binary").alias("text"))
-                    .mapInArrow(_item_windows, "item_id long, slot long, template string, "
-                                               "fillings array<string>").distinct(),
+                    .mapInArrow(_item_windows, "item_id long, item string, slot long, at long, "
+                                               "template string, fillings array<string>").distinct(),
                     "bench-items")
     # One bit per slot of a fixed 2^22, so at most that many numbers, whatever
     # the benchmark's size; the join below decides.
@@ -189,23 +209,25 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_S
                     F.xxhash64("text").alias("text_hash"),
                     F.col("text").cast("binary").alias("text"))
         .mapInArrow(partial(_document_windows, bits=bits),
-                    "doc_id long, text_hash long, template string, fillings array<string>"),
+                    "doc_id long, text_hash long, place long, template string, "
+                    "fillings array<string>"),
         "bench-found")
-    # Null ids take part like any other under their text form.
-    doc = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), "text_hash")
-    met = written(found.withColumn("doc", doc).join(
-        items.select("item_id", "template", F.col("fillings").alias("item_fillings")),
-        "template").distinct(), "bench-met")
-    sizes = items.groupBy("item_id").agg(F.countDistinct("template").alias("size"))
-    shares = (_consistent(met).groupBy("doc", "item_id")
-              .agg(F.countDistinct("template").alias("n_windows"), F.bool_and("exact").alias("exact"))
-              .join(sizes, "item_id")
-              .select("doc", "item_id", "n_windows", (F.col("n_windows") / F.col("size")).alias("share"),
+    met = written(found.withColumn("doc", F.expr(key.format("doc_id", "text_hash"))).join(
+        items.select("item_id", "item", "at", "template", F.col("fillings").alias("item_fillings")),
+        "template").withColumn("lies", F.expr("place - at")).drop("place").distinct(), "bench-met")
+    sizes = items.groupBy("item").agg(F.countDistinct("at").alias("size"))
+    shares = (_consistent(met)
+              .groupBy("doc", "item", "at").agg(F.bool_or("exact").alias("exact"))
+              .groupBy("doc", "item").agg(F.count("*").alias("n_windows"),
+                                          F.bool_and("exact").alias("exact"))
+              .join(sizes, "item")
+              .select("doc", "item", "n_windows", (F.col("n_windows") / F.col("size")).alias("share"),
                       "exact")
               .where(F.col("share") >= min_share))
-    ids = met.select("doc", "doc_id", "text_hash").distinct()
-    return shares.join(ids, "doc").select("doc_id", "text_hash", "item_id", "n_windows", "share",
-                                          "exact")
+    ids = met.select("doc", "doc_id", "text_hash", "item", "item_id").distinct()
+    best = F.max(F.struct("share", "n_windows", "exact")).alias("best")
+    return (shares.join(ids, ["doc", "item"]).groupBy("doc_id", "text_hash", "item_id").agg(best)
+            .select("doc_id", "text_hash", "item_id", "best.n_windows", "best.share", "best.exact"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:

@@ -281,6 +281,25 @@ def test_decontamination(spark, odd_docs, no_docs):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
+def found_items(spark, items, texts):
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(docs, bench).collect()}
+
+
+def test_decontamination_of_parallel_sentences(spark):
+    names = ["Tom", "Ann", "Joe", "Eve"]
+    item = " ".join(f"now we saw {n} buy {i} red apples and {i + 4} ripe pears." for i, n in
+                    enumerate(names, 1))
+    other = re.sub(r"\d", lambda m: str(30 - int(m[0])), item)
+    mixed = item.replace("1", "6").replace("buy 2", "buy 9").replace("Joe", "Ann")
+    found = found_items(spark, [item], ["Read this first: " + item, prose(64, 30) + ". " + other, mixed,
+                                        prose(65, 60)])
+    assert found[0, 0]["share"] == 1 and found[0, 0]["exact"]
+    assert found[1, 0]["share"] == 1 and not found[1, 0]["exact"]
+    assert set(found) <= {(0, 0), (1, 0), (2, 0)}
+
+
 def test_windows_of_long_texts_do_not_depend_on_blocks(monkeypatch):
     text = (prose(70, 400) + " 5 km 7 Mary " + prose(71, 400)).encode()
     whole = list(decontaminate.windows(text))
