@@ -9,7 +9,10 @@ have to agree: where the item lies in the document (document position minus
 item position, give or take a few words), each filling of the item must map to
 one filling of the document.  An item's window counts if any place of the
 document holds it with the item's own fillings or with the majority's mapping
-there.  A document with at least ``min_share`` of an item's windows holds it.
+there.  A window with fewer than three ordinary words would meet too much as a
+template; it is widened to the right and to the left until it holds three, and
+its plain words are a window of their own, met only by the same words.  An item
+of fewer than five words is one such window.  A document with at least ``min_share`` of an item's windows holds it.
 """
 
 from __future__ import annotations
@@ -29,6 +32,7 @@ from .common import ship, word_blocks, written
 WINDOW = 5
 MIN_LITERALS = 3
 MIN_SHARE = 0.5
+WIDEST = 16  # words of a widened window
 BAND = 8  # alignments that vote together; two bands overlap by half
 FILTER_BITS = 22
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
@@ -92,59 +96,119 @@ _words = _Vocabulary()
 _KIND_HASHES = np.array([xxhash.xxh64_intdigest(k) for k in (NUMBER, UNIT, NAME)], np.uint64)
 
 
-def windows(data: bytes | None,
-            bits: np.ndarray | None = None) -> Iterator[tuple[int, int, str, tuple[str, ...]]]:
-    """(slot, position, template, fillings) of a text's windows that have at least
-    ``MIN_LITERALS`` ordinary words and, if given, whose slot is in ``bits``."""
-    tail: list[bytes] = []
-    before = 0  # words before ``words``
+_POWERS = np.cumprod(np.full(WIDEST, 0xD6E8FEB86659FD93, np.uint64))
+
+
+def _spans(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Hashes of spans of at most ``WIDEST`` words."""
+    at = np.arange(WIDEST)
+    own = codes[np.minimum(starts[:, None] + at, len(codes) - 1)] * _POWERS
+    return (own * (at < sizes[:, None])).sum(axis=1, dtype=np.uint64)
+
+
+def windows(data: bytes | None, bits: np.ndarray | None = None, short: tuple[int, ...] = ()
+            ) -> Iterator[tuple[int, int, int, str, tuple[str, ...]]]:
+    """(slot, position, start, template, fillings) of a text's windows whose
+    slot, if ``bits`` are given, is in them.  Each position has its five words'
+    template or, with fewer than ``MIN_LITERALS`` ordinary words, the widened
+    windows that begin or end with them (from ``start``) and the plain words.
+    The text's first window and those that begin with a name have plain words
+    too, as the first word's kind depends on what stands before.  Spans of the
+    ``short`` numbers of words are given once each, as plain words."""
+    seen: set[str] = set()
+    words: list[bytes] = []
+    before = skip = 0  # words before ``words``; positions there that are done or lack context
+    blocks = word_blocks(data or b"")
+    block = next(blocks, None)
+    while block is not None:
+        words, block = words + block, next(blocks, None)
+        # Positions up to ``last`` see all words they may need.
+        last = len(words) - (WIDEST if block is not None else 0)
+        if last <= skip:
+            continue
+        index = _words.lookup(words)
+        hashes, number, unit, name, ends = (c[index] for c in _words.columns)
+        kind = np.zeros(len(words), np.int8)
+        kind[1:][name[1:] & ~ends[:-1]] = 3
+        kind[1:][unit[1:] & number[:-1]] = 2
+        kind[number] = 1
+        codes = np.where(kind > 0, _KIND_HASHES[kind - 1], hashes)
+        n = max(0, min(last, len(words) - WINDOW + 1))
+        rolled = np.zeros(n, np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(WINDOW):
+                rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + codes[i:i + n]
+        literals = np.concatenate(([0], np.cumsum(kind == 0)))
+        good = (literals[WINDOW:] - literals[:-WINDOW])[:n] >= MIN_LITERALS
+        own = np.arange(skip, max(n, skip))
+        usual, heavy = own[good[skip:]], own[~good[skip:]]
+        # (positions, starts, words, hashes, plain words) of each sort of window.
+        sorts = [(usual, usual, np.full(len(usual), WINDOW), rolled[usual], False)]
+        if len(heavy):
+            stop = np.searchsorted(literals, literals[heavy] + MIN_LITERALS)
+            begin = np.searchsorted(literals, literals[heavy + WINDOW] - MIN_LITERALS, "right") - 1
+            for at, start, size in ((heavy, heavy, stop - heavy),
+                                    (heavy, begin, heavy + WINDOW - begin)):
+                fits = (size <= WIDEST) & (start >= 0) & (start + size <= len(words))
+                at, start, size = at[fits], start[fits], size[fits]
+                sorts.append((at, start, size, _spans(codes, start, size), False))
+        bare_too = own[~good[skip:] | (kind[skip:n] == 3) | (before + own == 0)]
+        for size, at in [(WINDOW, bare_too), *((k, np.arange(skip, max(
+                skip, min(last, len(words) - k + 1)))) for k in short)]:
+            if len(at):
+                sizes = np.full(len(at), size)
+                sorts.append((at, at, sizes, _spans(hashes, at, sizes) ^ np.uint64(size << 44), True))
+        met = []
+        for k, (positions, _, _, spans, _) in enumerate(sorts):
+            slots = (spans >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+            hits = np.arange(len(slots)) if bits is None else np.flatnonzero(bits[slots])
+            met += zip(positions[hits].tolist(), [k] * len(hits), hits.tolist(), slots[hits].tolist())
+        for position, k, j, slot in sorted(met):
+            start, size, plain = int(sorts[k][1][j]), int(sorts[k][2][j]), sorts[k][4]
+            kinds = kind[start:start + size].tolist()
+            bare = [_words.bare[w] for w in index[start:start + size]]
+            if plain:
+                template, fillings = f"={size} " + " ".join(b.lower() for b in bare), ()
+                if size < WINDOW and template in seen:
+                    continue
+                seen.update([template] if size < WINDOW else [])
+            else:
+                template = " ".join((NUMBER, UNIT, NAME)[f - 1] if f else
+                                    _SIGNS.sub("", b).lower() for f, b in zip(kinds, bare))
+                fillings = tuple(b for f, b in zip(kinds, bare) if f)
+            yield slot, before + position, before + start, template, fillings
+        # The words before a position may widen its window and tell its kind.
+        keep = max(0, last - WIDEST - 1)
+        words, before, skip = words[keep:], before + keep, last - keep
+
+
+def _short(data: bytes | None) -> tuple[int, ...]:
+    """The number of words of an item of fewer than five, if they say anything."""
+    n = 0
     for block in word_blocks(data or b""):
-        words = tail + block
-        skip = 1 if tail else 0  # the window at 0 was the last one of the block before
-        n = len(words) - WINDOW + 1
-        if n > skip:
-            index = _words.lookup(words)
-            hashes, number, unit, name, ends = (c[index] for c in _words.columns)
-            kind = np.zeros(len(words), np.int8)
-            kind[1:][name[1:] & ~ends[:-1]] = 3
-            kind[1:][unit[1:] & number[:-1]] = 2
-            kind[number] = 1
-            codes = np.where(kind > 0, _KIND_HASHES[kind - 1], hashes)
-            with np.errstate(over="ignore"):
-                rolled = np.zeros(n, np.uint64)
-                for i in range(WINDOW):
-                    rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + codes[i:i + n]
-            slots = (rolled >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
-            literals = np.concatenate(([0], np.cumsum(kind == 0)))
-            good = literals[WINDOW:] - literals[:-WINDOW] >= MIN_LITERALS
-            good[:skip] = False
-            if bits is not None:
-                good &= bits[slots]
-            for i in np.flatnonzero(good).tolist():
-                own, kinds = index[i:i + WINDOW], kind[i:i + WINDOW].tolist()
-                bare = [_words.bare[j] for j in own]
-                template = " ".join((NUMBER, UNIT, NAME)[k - 1] if k else
-                                    _SIGNS.sub("", b).lower() for k, b in zip(kinds, bare))
-                yield int(slots[i]), before + i, template, tuple(b for k, b in zip(kinds, bare) if k)
-        tail = words[-WINDOW:]
-        before += len(words) - len(tail)
+        n += len(block)
+        if n >= WINDOW:
+            return ()
+    return (n,) if n and re.search(r"[^\W_]", data.decode("utf-8", "replace")) else ()
 
 
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(item_id, item, slot, at, t, list(f))
+        rows = [(item_id, item, slot, at, start, sum(short), t, list(f))
                 for item_id, item, text in zip(*(c.to_pylist() for c in batch.columns))
-                for slot, at, t, f in windows(text)]
-        yield _batch(rows, [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(),
+                for short in [_short(text)]
+                for slot, at, start, t, f in windows(text, short=short)]
+        yield _batch(rows, [pa.int64(), pa.string(), *[pa.int64()] * 4, pa.string(),
                             pa.list_(pa.string())],
-                     ["item_id", "item", "slot", "at", "template", "fillings"])
+                     ["item_id", "item", "slot", "at", "start", "short", "template", "fillings"])
 
 
-def _document_windows(batches: Iterator[pa.RecordBatch], bits: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _document_windows(batches: Iterator[pa.RecordBatch], bits: np.ndarray,
+                      short: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(doc, text_hash, at, t, list(f))
+        rows = [(doc, text_hash, start, t, list(f))
                 for doc, text_hash, text in zip(*(c.to_pylist() for c in batch.columns))
-                for _, at, t, f in windows(text, bits)]
+                for _, _, start, t, f in windows(text, bits, short)]
         yield _batch(rows, [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())],
                      ["doc_id", "text_hash", "place", "template", "fillings"])
 
@@ -186,8 +250,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_S
     """(doc_id, text_hash, item_id, n_windows, share, exact): documents that
     hold a benchmark item; ``exact`` tells that all fillings are the item's.
 
-    Null and empty texts and items of fewer than five words hold nothing and
-    match nothing; repeated rows of a document count as one; different texts
+    Null and empty texts and texts without a letter or digit hold nothing and
+    match nothing; items of fewer than five words are held wherever these words
+    follow each other; repeated rows of a document count as one; different texts
     under one item_id are items of their own, of which the best met one is
     given; empty tables give an empty result; other columns are not read.
     """
@@ -198,23 +263,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_S
                                      F.expr(key.format("item_id", "xxhash64(text)")).alias("item"),
                                      F.col("text").cast("binary").alias("text"))
                     .mapInArrow(_item_windows, "item_id long, item string, slot long, at long, "
-                                               "template string, fillings array<string>").distinct(),
+                                               "start long, short long, template string, "
+                                               "fillings array<string>").distinct(),
                     "bench-items")
     # One bit per slot of a fixed 2^22, so at most that many numbers, whatever
     # the benchmark's size; the join below decides.
     bits = np.zeros(1 << FILTER_BITS, bool)
     bits[[r["slot"] for r in items.select("slot").distinct().collect()]] = True
+    short = tuple(sorted(r["short"] for r in items.select("short").distinct().collect() if r["short"]))
     found = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                     F.xxhash64("text").alias("text_hash"),
                     F.col("text").cast("binary").alias("text"))
-        .mapInArrow(partial(_document_windows, bits=bits),
+        .mapInArrow(partial(_document_windows, bits=bits, short=short),
                     "doc_id long, text_hash long, place long, template string, "
                     "fillings array<string>"),
         "bench-found")
     met = written(found.withColumn("doc", F.expr(key.format("doc_id", "text_hash"))).join(
-        items.select("item_id", "item", "at", "template", F.col("fillings").alias("item_fillings")),
-        "template").withColumn("lies", F.expr("place - at")).drop("place").distinct(), "bench-met")
+        items.select("item_id", "item", "at", "start", "template",
+                     F.col("fillings").alias("item_fillings")),
+        "template").withColumn("lies", F.expr("place - start")).drop("place", "start").distinct(), "bench-met")
     sizes = items.groupBy("item").agg(F.countDistinct("at").alias("size"))
     shares = (_consistent(met)
               .groupBy("doc", "item", "at").agg(F.bool_or("exact").alias("exact"))

@@ -300,6 +300,27 @@ def test_decontamination_of_parallel_sentences(spark):
     assert set(found) <= {(0, 0), (1, 0), (2, 0)}
 
 
+def test_decontamination_of_numbers_names_and_short_items(spark):
+    items = ["In 1969 Neil Armstrong and Buzz Aldrin landed Apollo 11 on July 20, 1969.",
+             "Paris 1900 London 1908 Stockholm 1912 Antwerp 1920 Berlin 1936 Helsinki 1952",
+             "Who wrote Faust first?"]
+    texts = [prose(66, 40) + ". " + i + " " + prose(67, 40) for i in items]
+    moved = items[0].replace("1969", "1972").replace("Neil", "Gene")
+    texts += [prose(68, 40) + ". " + moved, items[1].replace("19", "20"), "Who wrote Hamlet first?",
+              "who wrote, faust first"]
+    found = found_items(spark, items, texts)
+    assert set(found) == {(0, 0), (1, 1), (2, 2), (3, 0), (6, 2)}
+    assert all(found[k, k]["exact"] and found[k, k]["share"] >= 0.8 for k in range(3))
+
+
+def test_heavy_windows_of_long_texts_do_not_depend_on_blocks(monkeypatch):
+    text = (" 5 km 7 Mary of the 3 4 5 " * 3 + "9 Bo " * 30 + prose(71, 40) + " 8 9 a Jo") .encode() * 3
+    whole = sorted(decontaminate.windows(text, short=(2,)))
+    blocks = decontaminate.word_blocks
+    monkeypatch.setattr(decontaminate, "word_blocks", lambda data: blocks(data, 50))
+    assert sorted(decontaminate.windows(text, short=(2,))) == whole
+
+
 def test_windows_of_long_texts_do_not_depend_on_blocks(monkeypatch):
     text = (prose(70, 400) + " 5 km 7 Mary " + prose(71, 400)).encode()
     whole = list(decontaminate.windows(text))
