@@ -12,7 +12,9 @@ document holds it with the item's own fillings or with the majority's mapping
 there.  A window with fewer than three ordinary words would meet too much as a
 template; it is widened to the right and to the left until it holds three, and
 its plain words are a window of their own, met only by the same words.  An item
-of fewer than five words is one such window.  A document with at least ``min_share`` of an item's windows holds it.
+of fewer than five words is one such window.  A document with at least
+``min_share`` of an item's windows, or with ``MIN_RUN`` of them in a row, holds
+it.
 """
 
 from __future__ import annotations
@@ -32,6 +34,7 @@ from .common import ship, word_blocks, written
 WINDOW = 5
 MIN_LITERALS = 3
 MIN_SHARE = 0.5
+MIN_RUN = 9  # windows, hence 13 words in a row
 WIDEST = 16  # words of a widened window
 BAND = 8  # alignments that vote together; two bands overlap by half
 FILTER_BITS = 22
@@ -248,7 +251,8 @@ def _consistent(met: DataFrame) -> DataFrame:
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, share, exact): documents that
-    hold a benchmark item; ``exact`` tells that all fillings are the item's.
+    hold a benchmark item: ``min_share`` of its windows, or ``MIN_RUN`` of them
+    in a row.  ``exact`` tells that all fillings met are the item's.
 
     Null and empty texts and texts without a letter or digit hold nothing and
     match nothing; items of fewer than five words are held wherever these words
@@ -284,14 +288,19 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_S
                      F.col("fillings").alias("item_fillings")),
         "template").withColumn("lies", F.expr("place - start")).drop("place", "start").distinct(), "bench-met")
     sizes = items.groupBy("item").agg(F.countDistinct("at").alias("size"))
-    shares = (_consistent(met)
-              .groupBy("doc", "item", "at").agg(F.bool_or("exact").alias("exact"))
+    agreed = written(_consistent(met), "bench-agreed")
+    # Windows in a row: position minus rank stays the same along one alignment.
+    rank = F.row_number().over(Window.partitionBy("doc", "item", "lies").orderBy("at"))
+    runs = (agreed.withColumn("run", F.col("at") - rank)
+            .groupBy("doc", "item", "lies", "run").agg(F.count("*").alias("n"))
+            .groupBy("doc", "item").agg(F.max("n").alias("longest")))
+    shares = (agreed.groupBy("doc", "item", "at").agg(F.bool_or("exact").alias("exact"))
               .groupBy("doc", "item").agg(F.count("*").alias("n_windows"),
                                           F.bool_and("exact").alias("exact"))
-              .join(sizes, "item")
+              .join(sizes, "item").join(runs, ["doc", "item"])
               .select("doc", "item", "n_windows", (F.col("n_windows") / F.col("size")).alias("share"),
-                      "exact")
-              .where(F.col("share") >= min_share))
+                      "exact", "longest")
+              .where((F.col("share") >= min_share) | (F.col("longest") >= MIN_RUN)))
     ids = met.select("doc", "doc_id", "text_hash", "item", "item_id").distinct()
     best = F.max(F.struct("share", "n_windows", "exact")).alias("best")
     return (shares.join(ids, ["doc", "item"]).groupBy("doc_id", "text_hash", "item_id").agg(best)

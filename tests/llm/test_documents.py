@@ -313,6 +313,21 @@ def test_decontamination_of_numbers_names_and_short_items(spark):
     assert all(found[k, k]["exact"] and found[k, k]["share"] >= 0.8 for k in range(3))
 
 
+def test_decontamination_of_a_long_quoted_part(spark):
+    item = prose(72, 300).lower().split()
+    ask = ITEM + " while " + " ".join(item[:40])
+
+    def inside(words):
+        return prose(73, 50).lower() + ". " + " ".join(words) + " " + prose(74, 50).lower()
+
+    cut = [item[at:at + 12] for at in range(0, 300, 60)]  # five quotes of 12 words
+    texts = [inside(item[100:120]), inside(item[100:112]), " ".join(map(inside, cut)),
+             inside(ask.replace("12", "19").replace("Mary", "Eve").split()[:18])]
+    found = found_items(spark, [" ".join(item), ask], texts)
+    assert set(found) == {(0, 0), (3, 1)}
+    assert found[0, 0]["exact"] and found[0, 0]["share"] < 0.1 and not found[3, 1]["exact"]
+
+
 def test_heavy_windows_of_long_texts_do_not_depend_on_blocks(monkeypatch):
     text = (" 5 km 7 Mary of the 3 4 5 " * 3 + "9 Bo " * 30 + prose(71, 40) + " 8 9 a Jo") .encode() * 3
     whole = sorted(decontaminate.windows(text, short=(2,)))
