@@ -1,12 +1,13 @@
 """License scans by a positional index of rare words, in DataFrame functions.
 
 The words of all license templates form a small fixed vocabulary.  One pass
-over the files counts in how many of them each vocabulary word occurs; a
-template's words of highest inverse document frequency become its anchors,
-with their positions in the template as postings.  In each file the anchors'
-positions are looked up, every position minus its posting proposes a start of
-the template, starts are kept where the other anchors agree on the relative
-position, and the template's mandatory key phrases are verified word by word.
+over the files counts in how many of them each vocabulary word occurs.  In each
+file the words of highest inverse document frequency among those it holds of a
+template, and the rarest word of its key phrase, are its anchors: their
+positions minus their positions in the template propose starts.  A start is
+kept where the mandatory key phrases stand word by word and at least half of
+the template's words stand in their places.  A file that lacks a word of a key
+phrase cannot hold the template and is not looked at further.
 Everything after the counts happens inside a file's own row: no shuffle.
 """
 
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 ANCHORS = 3
+MIN_SHARE = 0.5
 
 
 @dataclass(frozen=True)
@@ -99,10 +101,12 @@ def document_frequencies(docs: DataFrame, vocabulary: list[str]) -> tuple[int, d
     return found.pop("", 0), found
 
 
-def anchors(template: Template, files: int, frequencies: dict[str, int]) -> list[str]:
-    """The template's words of highest inverse document frequency."""
-    idf = {w: math.log((files + 1) / (frequencies.get(w, 0) + 1)) for w in template.words}
-    return sorted(idf, key=lambda w: (-idf[w], w))[:ANCHORS]
+def ranked(template: Template, files: int, frequencies: dict[str, int]) -> list[str]:
+    """The template's words that any file holds, of highest inverse document
+    frequency first."""
+    idf = {w: math.log((files + 1) / (frequencies[w] + 1))
+           for w in template.words if frequencies.get(w)}
+    return sorted(idf, key=lambda w: (-idf[w], w))
 
 
 def _near(word: Column, at: Column, slack: int) -> Column:
@@ -124,43 +128,49 @@ def _stands_at(phrase: list[str], at: Column, slack: int) -> Column:
     return F.exists(F.sequence(at - slack, at + slack), exact)
 
 
-def _starts(template: Template, own: list[str]) -> Column:
-    """Verified starts of a template in a file (``words``, ``hits``)."""
+def _starts(template: Template, order: list[str]) -> Column:
+    """Verified starts of a template in a file (``words``, ``held``)."""
+    nothing = F.array().cast("array<int>")
+    needed = sorted({w for k in template.keys for w in k.split()})
+    if not set(needed) <= set(order):  # no file holds the key phrases
+        return nothing
     postings = defaultdict(list)
     for i, w in enumerate(template.words):
-        if w in own:
-            postings[w].append(i)
-    # An exact phrase holds its rarest word; an edited notice may lack one.
-    proposing = own[:1 if template.slack == 0 else 2]
-
-    def proposals(word: str, i: int) -> Column:
-        return F.transform(F.filter("hits", lambda p: F.get("words", p) == word), lambda p: p - i)
-
-    proposed = [proposals(w, i) for w in proposing for i in postings[w]]
-
-    def agree(start: Column) -> Column:
-        votes = sum((F.greatest(*[_near(F.lit(w), start + i, template.slack).cast("int")
-                                  for i in postings[w]], F.lit(0)) for w in own), F.lit(0))
-        return votes >= (len(own) if template.slack == 0 else math.ceil(0.6 * len(own)))
-
-    starts = F.filter(F.array_distinct(F.concat(*proposed)), agree)
+        postings[w].append(i)
+    rarest = F.lit(next(w for w in order if w in needed))
+    # An exact phrase holds its rarest word.  Every start has its key phrase's
+    # rarest word too; the file's own rare words add starts beside it.
+    own = F.array(rarest) if template.slack == 0 else F.array_union(F.slice(
+        F.filter(_literals(order), lambda w: F.array_contains("held", w)), 1, ANCHORS), F.array(rarest))
+    places = F.create_map(*[c for w in order for c in (F.lit(w), F.array(*map(F.lit, postings[w])))])
+    spots = F.filter(F.transform("words", lambda w, i: F.when(
+        F.array_contains(own, w), F.struct(w.alias("word"), i.alias("at")))), lambda s: s.isNotNull())
+    starts = F.array_distinct(F.flatten(F.transform(spots, lambda s: F.transform(
+        F.element_at(places, s["word"]), lambda i: s["at"] - i))))
 
     def verified(found: Column, at: int, phrase: list[str]) -> Column:
         return F.filter(found, lambda s: _stands_at(phrase, s + at, template.slack))
 
     for at, phrase in template.key_positions():
         starts = verified(starts, at, phrase)
-    return starts
+    if template.slack:
+        starts = F.filter(starts, lambda s: _in_place(template, s) >= MIN_SHARE)
+    return F.when(F.size(F.array_except(_literals(needed), "held")) == 0, starts).otherwise(nothing)
+
+
+def _in_place(template: Template, start: Column) -> Column:
+    """Share of the template's words that stand in place."""
+    own = template.words
+    return F.size(F.filter(
+        F.sequence(F.lit(0), F.lit(len(own) - 1)),
+        lambda j: _near(F.get(_literals(own), j), start + j, template.slack))) / F.lit(len(own))
 
 
 def _share(template: Template, starts: Column) -> Column:
     """Largest share of the template's words found in place; null: no start."""
-    own = template.words
     if template.slack == 0:
         return F.when(F.size(starts) > 0, 1.0)
-    return F.array_max(F.transform(starts, lambda s: F.size(F.filter(
-        F.sequence(F.lit(0), F.lit(len(own) - 1)),
-        lambda j: _near(F.get(_literals(own), j), s + j, template.slack))) / F.lit(len(own))))
+    return F.array_max(F.transform(starts, lambda s: _in_place(template, s)))
 
 
 def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFrame:
@@ -173,17 +183,11 @@ def scan(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> DataFr
     """
     vocabulary = sorted({w for t in templates for w in t.words})
     files, frequencies = document_frequencies(docs, vocabulary)
-    own = [anchors(t, files, frequencies) for t in templates]
-    every = sorted({w for a in own for w in a})
     read = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        words(F.col("text")).alias("words"))
-    hits = F.filter(F.transform("words", lambda w, i: F.when(w.isin(every), i)),
-                    lambda p: p.isNotNull())
-    read = read.withColumn("hits", hits)
-    some = F.size("hits") > 0
+    read = read.withColumn("held", F.array_intersect("words", _literals(vocabulary)))
     found = read.select("doc_id", "words", F.size("words").cast("long").alias("n_words"), *[
-        F.when(some, _starts(t, a)).otherwise(F.array().cast("array<int>")).alias(f"s{k}")
-        for k, (t, a) in enumerate(zip(templates, own))])
+        _starts(t, ranked(t, files, frequencies)).alias(f"s{k}") for k, t in enumerate(templates)])
     base = [k for k, t in enumerate(templates) if t.base]
     places = F.concat(*[F.col(f"s{k}") for k in base])
 

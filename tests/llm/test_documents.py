@@ -404,6 +404,17 @@ def test_licenses(spark, odd_docs, no_docs):
     assert licenses.scan(no_docs).count() == 0
 
 
+def test_edited_license_notices(spark):
+    edited = ("This library is software; you may redistribute it and/or modify it under the terms of the "
+              "GNU General Public License as published by the FSF")
+    texts = [edited, "The foundation can be free. " + prose(82, 200) + " " + edited,
+             "It names the GNU General Public License only.", prose(83, 50)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r["doc_id"]: r["labels"] for r in licenses.scan(docs).collect()} == {
+        0: "gpl", 1: "gpl", 2: "", 3: ""}
+    assert licenses.scan(docs.where("doc_id = 0")).first()["labels"] == "gpl"
+
+
 # -- simhash -------------------------------------------------------------------
 
 
