@@ -8,9 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontaminate, langid, licenses, packing, quality, secrets, simhash,
-               token_files, warc)
-from .common import read_table, written
+from . import (chat, decontaminate, langid, licenses, merkle, mixing, packing, quality, secrets,
+               simhash, token_files, trie, warc)
+from .common import crc32_mod, read_table, written
+from .oracle import OP11_SQL, OP12_SQL, OP13_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -120,6 +121,34 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "component_id")
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    tampered = F.coalesce(crc32_mod("doc_id", 7) == 0, F.lit(False))
+    columns = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    changed = [F.col("n_chars") + 1 if i == 3 else c for i, c in enumerate(columns)]
+    proofs = merkle.manifest(docs.select(
+        "doc_id", "lang", merkle.leaf_hash(*columns).alias("leaf"),
+        F.when(tampered, merkle.leaf_hash(*changed)).alias("tampered")))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root",
+        F.sha2(merkle.siblings(F.col("witness")), 256).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "leaf"), F.col("witness")).alias("folded_root")) \
+        .withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op13_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = read_table(spark, sf_dir, "conversations")
+    splices = turns.select("conv_id").distinct().select(
+        "conv_id", (F.col("conv_id") - F.col("conv_id") % 20).alias("base_id"),
+        crc32_mod("conv_id", 4).alias("head"))
+    return trie.prefix_trie(turns, splices)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_quality": op1_quality,
@@ -132,8 +161,12 @@ def queries() -> dict[str, Query]:
         "op8_packing": op8_packing,
         "op9_licenses": op9_licenses,
         "op10_simhash": op10_simhash,
+        "op11_merkle": op11_merkle,
+        "op12_mixing": op12_mixing,
+        "op13_trie": op13_trie,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_chat": OP3_SQL, "op7_warc": OP7_SQL}
+    return {"op3_chat": OP3_SQL, "op7_warc": OP7_SQL, "op11_merkle": OP11_SQL,
+            "op12_mixing": OP12_SQL, "op13_trie": OP13_SQL}
