@@ -19,7 +19,10 @@ from pyspark.sql import functions as F
 from ..functions.dates import date_key, parse_german_date
 from ..functions.parsing import parse_decimal_comma, parse_int
 from ..session import written
+from ..sources.located_csv import FILE, LINE
 
+RAW = ("Date", "Shop", "Article", "Sold", "Revenue")
+LOCATION = (FILE, LINE)
 REASONS = ("bad_date", "unknown_shop", "unknown_article", "bad_revenue", "bad_sold",
            "date_out_of_range")
 
@@ -35,7 +38,8 @@ def name_lookup(dim: DataFrame, name_col: str, key_col: str) -> DataFrame:
 
 def classify_sales(text: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
                    dim_date: DataFrame) -> DataFrame:
-    """Raw columns + parsed columns + ``reject_reason`` (NULL when accepted).
+    """Raw columns, where they stand in their file if the text tells, parsed
+    columns and ``reject_reason`` (NULL when accepted).
 
     Parsed columns: sale_date, sale_date_key, sold_quantity, sale_revenue,
     shop_key, product_key (raw and parsed names differ beyond case, since
@@ -50,8 +54,9 @@ def classify_sales(text: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
     articles = written(name_lookup(dim_product, "article_name", "product_key"), "article-names")
     calendar = written(dim_date.select(F.col("date_key").alias("_cal_key")), "calendar-keys")
     sale_date = parse_german_date(F.col("Date"))
+    raw = [*RAW, *(c for c in LOCATION if c in text.columns)]
     parsed = text.select(
-        *[F.col(c) for c in ("Date", "Shop", "Article", "Sold", "Revenue")],
+        *raw,
         sale_date.alias("sale_date"),
         date_key(sale_date).alias("sale_date_key"),
         parse_int(F.col("Sold")).alias("sold_quantity"),
@@ -66,9 +71,8 @@ def classify_sales(text: DataFrame, dim_shop: DataFrame, dim_product: DataFrame,
               .when(F.col("sale_revenue").isNull(), F.lit("bad_revenue"))
               .when(F.col("sold_quantity").isNull(), F.lit("bad_sold"))
               .when(F.col("_cal_key").isNull(), F.lit("date_out_of_range")))
-    return joined.select("Date", "Shop", "Article", "Sold", "Revenue", "sale_date",
-                         "sale_date_key", "shop_key", "product_key", "sold_quantity",
-                         "sale_revenue", reason.alias("reject_reason"))
+    return joined.select(*raw, "sale_date", "sale_date_key", "shop_key", "product_key",
+                         "sold_quantity", "sale_revenue", reason.alias("reject_reason"))
 
 
 def accepted(classified: DataFrame) -> DataFrame:
@@ -79,8 +83,9 @@ def accepted(classified: DataFrame) -> DataFrame:
 
 
 def rejected(classified: DataFrame) -> DataFrame:
+    """Rejected lines as they stand in the file, why, and where if known."""
     return classified.where(F.col("reject_reason").isNotNull()).select(
-        "Date", "Shop", "Article", "Sold", "Revenue", "reject_reason")
+        *RAW, "reject_reason", *(c for c in LOCATION if c in classified.columns))
 
 
 def reject_counts(classified: DataFrame) -> DataFrame:

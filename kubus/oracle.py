@@ -191,7 +191,7 @@ def ctes(**named: str) -> str:
 
 # -- sales text and load ---------------------------------------------------------
 
-SALES_TEXT_SQL = f"""SELECT
+_SALES_TEXT = f"""SELECT
   CASE WHEN h % 101 = 7 THEN '31.02.' || CAST(year(d) AS VARCHAR)
        WHEN h % 103 = 5 THEN strftime(d, '%d.%m.') || CAST(year(d) + 40 AS VARCHAR)
        WHEN h % 7 = 3 THEN CAST(day(d) AS VARCHAR) || '.' || CAST(month(d) AS VARCHAR) || '.'
@@ -205,9 +205,10 @@ SALES_TEXT_SQL = f"""SELECT
        ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS "Sold",
   CASE WHEN h % 131 = 23 THEN '1.' || amt
        WHEN h % 137 = 29 THEN amt || '5'
-       ELSE amt END AS "Revenue"
+       ELSE amt END AS "Revenue"{{located}}
 FROM (
-  SELECT l.l_orderkey * 8 + l.l_linenumber AS h, CAST(o.o_orderdate AS DATE) AS d,
+  SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_extendedprice,
+         l.l_orderkey * 8 + l.l_linenumber AS h, CAST(o.o_orderdate AS DATE) AS d,
          s.s_name AS shop_name, {ARTICLE} AS article_name, l.l_quantity,
          replace(CAST(CAST(CAST(l.l_extendedprice AS DECIMAL(10,2)) AS DECIMAL(18,2)) AS VARCHAR),
                  '.', ',') AS amt
@@ -216,6 +217,12 @@ FROM (
   JOIN supplier s ON l.l_suppkey = s.s_suppkey
   JOIN part p ON l.l_partkey = p.p_partkey
 ) lines"""
+SALES_TEXT_SQL = _SALES_TEXT.format(located="")
+# One file a year, its lines in key order below the header.
+LOCATED_TEXT_SQL = _SALES_TEXT.format(located=""",
+  'y=' || CAST(year(d) AS VARCHAR) AS source_file,
+  1 + row_number() OVER (PARTITION BY year(d) ORDER BY l_orderkey, l_linenumber,
+                             l_partkey, l_suppkey, l_extendedprice) AS source_line""")
 
 CLASSIFIED_SQL = """SELECT x.*,
   CASE WHEN x.sale_date IS NULL THEN 'bad_date'

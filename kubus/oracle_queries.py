@@ -35,8 +35,9 @@ def registry() -> dict[str, str]:
     q["sales_parsed"] = (f"{O.ctes(**load)}\nSELECT sale_date_key AS date_key, shop_key, "
                          "product_key, sold_quantity AS quantity_sold, sale_revenue AS revenue "
                          "FROM classified WHERE reject_reason IS NULL")
-    q["sales_rejects"] = (f"{O.ctes(**load)}\nSELECT \"Date\", \"Shop\", \"Article\", \"Sold\", "
-                          "\"Revenue\", reject_reason FROM classified "
+    q["sales_rejects"] = (f"{O.ctes(**load | {'sales_text': O.LOCATED_TEXT_SQL})}\n"
+                          "SELECT \"Date\", \"Shop\", \"Article\", \"Sold\", \"Revenue\", "
+                          "reject_reason, source_file, source_line FROM classified "
                           "WHERE reject_reason IS NOT NULL")
     q["sales_reject_counts"] = (f"{O.ctes(**load)}\nSELECT reject_reason, "
                                 "CAST(COUNT(*) AS BIGINT) AS rows FROM classified "

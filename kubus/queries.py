@@ -26,7 +26,8 @@ from .plans.star import FactStar, TpchStar, WarehouseStar
 from .plans.views import register_star_views, sql_analysis
 from .plans.warehouse import build_warehouse
 from .session import scratch_path, written
-from .sources.sales_text import read_sales_csv, tpch_sales_text, write_sales_csv
+from .sources.sales_text import (SALES_COLUMNS, read_sales_csv, tpch_sales_text,
+                                 write_sales_csv)
 
 # The input orders span 1995-2001; 1997 plays the role of the source
 # system's default analysis year.
@@ -87,11 +88,35 @@ def scratch(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"kubus-{name}-{uuid.uuid4().hex[:12]}")
 
 
-def sales_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rendered sales text written as ISO-8859-1 ``;`` CSV and scanned back."""
+# The usual order of a sales file's columns and that of another system's export.
+LINE_KEYS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+CSV_ORDERS = (SALES_COLUMNS, ("Shop", "Revenue", "Date", "Sold", "Article"))
+
+
+def sales_files(spark: SparkSession, sf_dir: str) -> str:
+    """Rendered sales text as one CSV file an order year, in order of the
+    lines' keys; every other year has its columns in another order."""
     path = scratch(spark, "sales-csv")
-    write_sales_csv(tpch_sales_text(star(spark, sf_dir)), path)
-    return read_sales_csv(spark, path)
+    text = tpch_sales_text(star(spark, sf_dir), ("o_orderdate", *LINE_KEYS))
+    text = written(text.withColumn("y", F.year("o_orderdate")), "sales-lines")
+    for i, columns in enumerate(CSV_ORDERS):
+        years = text.where(F.col("y") % 2 == i).repartition("y") \
+            .sortWithinPartitions("y", *LINE_KEYS)
+        write_sales_csv(years, path, columns=columns, mode="append", partition_by="y")
+    return path
+
+
+def sales_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales files with mixed headers, scanned back by column name."""
+    return read_sales_csv(spark, sales_files(spark, sf_dir))
+
+
+def located_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines of the sales files with file (its folder) and line."""
+    st = star(spark, sf_dir)
+    rejects = FT.rejected(FT.classify_sales(sales_csv(spark, sf_dir), st.dim_shop(), st.dim_product(),
+                                            dim_date(spark, sf_dir)))
+    return rejects.withColumn("source_file", F.regexp_extract("source_file", "(y=[0-9]+)/[^/]*$", 1))
 
 
 def warehouse(spark: SparkSession, sf_dir: str, runs: int = 1) -> WarehouseStar:
@@ -150,7 +175,7 @@ def registry() -> dict[str, Query]:
     # -- load: sales text -> fact with rejects --------------------------------
     q["sales_text"] = lambda s, d: tpch_sales_text(star(s, d))
     q["sales_parsed"] = lambda s, d: FT.accepted(classified_sales(s, d))
-    q["sales_rejects"] = lambda s, d: FT.rejected(classified_sales(s, d))
+    q["sales_rejects"] = located_rejects
     q["sales_reject_counts"] = lambda s, d: FT.reject_counts(classified_sales(s, d))
     q["load_summary"] = lambda s, d: FT.load_summary(classified_sales(s, d))
     q["cube_parsed_sales"] = lambda s, d: C.analysis(parsed_star(s, d), "city", "month",
@@ -160,7 +185,7 @@ def registry() -> dict[str, Query]:
     q["crosstab_parsed_preaggregated"] = lambda s, d: X.cross_table(
         parsed_star(s, d, preaggregate=True), "city", "month", "productCategory", None,
         "transaction_count")
-    q["sales_csv"] = sales_csv
+    q["sales_csv"] = lambda s, d: sales_csv(s, d).select(*SALES_COLUMNS)
     q["warehouse_row_counts"] = warehouse_counts
     q["warehouse_statistics"] = warehouse_statistics
     q["warehouse_rebuilt"] = lambda s, d: warehouse(s, d, runs=2).fact()

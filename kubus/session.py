@@ -96,6 +96,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+def ship(spark: SparkSession) -> None:
+    """Let Python workers import this package from the driver's path.
+
+    Only fills in a worker environment that names no path of its own; on a
+    cluster the package is installed or shipped with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    spark.sparkContext.environment.setdefault("PYTHONPATH", root)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)

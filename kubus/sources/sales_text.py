@@ -1,9 +1,9 @@
 """Semicolon-separated, German-format sales text.
 
 ``read_sales_csv`` reads the real file format: header row, ``;``
-separator, ISO-8859-1, columns ``Date;Shop;Article;Sold;Revenue``; every
-field is read as text and parsed later, so a bad field rejects one row
-instead of failing the file.
+separator, ISO-8859-1, columns Date, Shop, Article, Sold and Revenue, found
+by the names in each file's header; every field is read as text and parsed
+later, so a bad field rejects one row instead of failing the file.
 
 ``render_sales_text`` derives the same text from the TPC-H style tables
 (one line per lineitem, all lines kept) so the load path can be checked at
@@ -19,30 +19,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from .located_csv import read_located_csv
 
 SALES_COLUMNS = ("Date", "Shop", "Article", "Sold", "Revenue")
 SALES_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in SALES_COLUMNS])
 
 
 def read_sales_csv(spark: SparkSession, path: str, encoding: str = "ISO-8859-1") -> DataFrame:
-    """Splittable CSV scan (no multiLine), fixed all-string schema.
-
-    A quoted empty field is the empty string; an unquoted one, like the
-    missing fields of a short line, is NULL.  Either fails to parse and
-    rejects the line.
-    """
-    return (spark.read.schema(SALES_SCHEMA)
-            .option("header", True).option("sep", ";").option("encoding", encoding)
-            .option("nullValue", "\u0000").option("mode", "PERMISSIVE").csv(path))
+    """SALES_COLUMNS by header name, plus ``source_file`` and ``source_line``
+    (see ``located_csv`` for odd files).  A field that is missing or empty
+    fails to parse later and rejects its line."""
+    return read_located_csv(spark, path, SALES_COLUMNS, encoding)
 
 
-def write_sales_csv(text: DataFrame, path: str, encoding: str = "ISO-8859-1") -> None:
-    """Write sales text as the source format; fields are kept verbatim
-    (the CSV writer would otherwise trim blanks around ``Sold``)."""
-    (text.select(*SALES_COLUMNS).write.mode("overwrite")
-     .option("header", True).option("sep", ";").option("encoding", encoding)
-     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-     .csv(path))
+def write_sales_csv(text: DataFrame, path: str, encoding: str = "ISO-8859-1",
+                    columns: tuple[str, ...] = SALES_COLUMNS, mode: str = "overwrite",
+                    partition_by: str | None = None) -> None:
+    """Write sales text as the source format, with the columns in the given
+    order; fields are kept verbatim (the CSV writer would otherwise trim blanks
+    around ``Sold``)."""
+    writer = text.select(*columns, *([partition_by] if partition_by else [])).write.mode(mode)
+    for name, value in (("header", True), ("sep", ";"), ("encoding", encoding), ("escape", '"'),
+                        ("ignoreLeadingWhiteSpace", False), ("ignoreTrailingWhiteSpace", False)):
+        writer = writer.option(name, value)
+    (writer.partitionBy(partition_by) if partition_by else writer).csv(path)
 
 
 # Moduli and residues of the line hash h = l_orderkey * 8 +
@@ -65,9 +65,10 @@ def _hit(rule) -> str:
     return f"pmod(l_orderkey * 8 + l_linenumber, {m}) = {r}"
 
 
-def render_sales_text(lines: DataFrame) -> DataFrame:
+def render_sales_text(lines: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """German sales text from a frame with ``l_orderkey, l_linenumber,
-    o_orderdate, shop_name, article_name, l_quantity, l_extendedprice``.
+    o_orderdate, shop_name, article_name, l_quantity, l_extendedprice``, and
+    the columns to ``keep``.
 
     One SQL projection (a single JVM round trip to build)."""
     d = "CAST(o_orderdate AS DATE)"
@@ -88,10 +89,10 @@ def render_sales_text(lines: DataFrame) -> DataFrame:
                  ELSE {qty} END AS Sold""",
         f"""CASE WHEN {_hit(THOUSANDS_DOT)} THEN concat('1.', {amount})
                  WHEN {_hit(THIRD_DECIMAL)} THEN concat({amount}, '5')
-                 ELSE {amount} END AS Revenue""")
+                 ELSE {amount} END AS Revenue""", *keep)
 
 
-def tpch_sales_text(star) -> DataFrame:
+def tpch_sales_text(star, keep: tuple[str, ...] = ()) -> DataFrame:
     """Rendered sales text for every lineitem of a ``TpchStar``.
 
     Names come straight from ``supplier`` and ``part`` (plain scans, so the
@@ -101,4 +102,4 @@ def tpch_sales_text(star) -> DataFrame:
     shops = star.table("supplier").selectExpr("s_suppkey AS l_suppkey", "s_name AS shop_name")
     articles = star.dim_product().selectExpr("product_key AS l_partkey", "article_name")
     named = lines.join(shops, "l_suppkey").join(articles, "l_partkey")
-    return render_sales_text(named)
+    return render_sales_text(named, keep)

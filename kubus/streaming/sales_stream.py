@@ -20,7 +20,10 @@ from ..sources.sales_text import SALES_SCHEMA
 
 def read_sales_stream(spark: SparkSession, folder: str, encoding: str = "ISO-8859-1",
                       max_files_per_trigger: int | None = None) -> DataFrame:
+    """Files with the header ``Date;Shop;Article;Sold;Revenue``; any other
+    header fails the query instead of filling the wrong columns."""
     reader = (spark.readStream.schema(SALES_SCHEMA).option("header", True)
+              .option("enforceSchema", False).option("escape", '"')
               .option("sep", ";").option("encoding", encoding))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
