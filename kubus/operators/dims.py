@@ -1,18 +1,20 @@
 """Dimension builders: calendar, flattened hierarchies, surrogate keys.
 
-Surrogate keys reuse the natural integer id of the leaf (shop id, article
-id).  The source system's SERIAL keys are assigned in arbitrary order, so
-no result depends on their values; a natural key is deterministic,
-needs no global ordering (a single-task ``row_number`` would not scale)
-and survives re-computation after an executor loss.
+The flattened dimensions reuse the natural integer id of the leaf (shop id,
+article id) as surrogate key, which survives any re-computation.  Where
+members have no such id, ``assign_keys`` numbers them densely and keeps the
+keys of members it has seen.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key, iso_weekday, month_name, quarter_name
+from .ordering import numbered
 
 DIM_DATE_COLUMNS = ("date_key", "full_date", "year", "quarter", "month", "day",
                     "day_of_week", "month_name", "quarter_name")
@@ -67,11 +69,35 @@ def calendar_covering(dates: DataFrame, column: str, extra_years: int = 0) -> Da
 def insert_if_absent(new: DataFrame, existing: DataFrame, key: str | list[str]) -> DataFrame:
     """Rows of ``new`` whose key is not yet in ``existing`` (ON CONFLICT DO NOTHING).
 
-    Append the result to the existing table.  The anti join shuffles on the
-    key only; duplicates inside ``new`` are removed first.
+    ``plans.warehouse.append_dimension`` appends them to a written table.  The
+    anti join shuffles on the key only; duplicates inside ``new`` are removed
+    first; null is a key like others.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    return new.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
+    known = existing.select(*[F.col(k).alias(f"_known_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_known_{k}")) for k in keys])
+    return new.dropDuplicates(keys).join(known, same, "left_anti")
+
+
+def assign_keys(members: DataFrame, known: DataFrame | None, natural: list[str], key: str,
+                name: str = "keys") -> DataFrame:
+    """(``natural``..., ``key``): dense surrogate keys 1, 2, 3, ... that stay.
+
+    Members of ``known`` keep their key; the others are numbered on from its
+    largest, in order of ``natural`` (nulls first).  Repeated members get one
+    key, nulls are values like others.  Numbering is two passes: a range sort
+    over all tasks, then each partition's rows counted and the counts summed
+    up, one row a partition.
+    """
+    distinct = members.select(*natural).distinct()
+    first = 1
+    if known is not None:
+        known = known.select(*natural, F.col(key).cast("long").alias(key))
+        distinct = insert_if_absent(distinct, known, natural)
+        first += known.agg(F.max(key).alias("last")).first()["last"] or 0
+    numbers = numbered(distinct, [], natural, name).select(
+        *natural, (F.col("pos") + F.lit(first)).cast("long").alias(key))
+    return numbers if known is None else known.unionByName(numbers)
 
 
 def flatten_chain(leaf: DataFrame, parents: list[tuple[DataFrame, str, str]],

@@ -82,10 +82,10 @@ def accepted(classified: DataFrame) -> DataFrame:
         F.col("sold_quantity").alias("quantity_sold"), F.col("sale_revenue").alias("revenue"))
 
 
-def rejected(classified: DataFrame) -> DataFrame:
+def rejected(classified: DataFrame, *more: str) -> DataFrame:
     """Rejected lines as they stand in the file, why, and where if known."""
     return classified.where(F.col("reject_reason").isNotNull()).select(
-        *RAW, "reject_reason", *(c for c in LOCATION if c in classified.columns))
+        *RAW, "reject_reason", *(c for c in LOCATION if c in classified.columns), *more)
 
 
 def reject_counts(classified: DataFrame) -> DataFrame:

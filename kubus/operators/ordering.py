@@ -32,7 +32,11 @@ def in_order(rows: DataFrame, order: list[str], name: str) -> DataFrame:
 
 def part_sums(ordered: DataFrame, group: list[str], sums: dict[str, Column], name: str) -> DataFrame:
     """(group, part, first, <sum>, <sum>_before): the first ``_id`` of each
-    group's part, the sums there and those of the group's parts before."""
+    group's part, the sums there and those of the group's parts before.
+
+    The window holds one row a partition and group; without a group that is one
+    row a partition in all.
+    """
     before = Window.partitionBy(*group).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = ordered.groupBy(*group, part().alias("part")).agg(
         F.min("_id").alias("first"), *[F.sum(c).cast("long").alias(s) for s, c in sums.items()])

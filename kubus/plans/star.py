@@ -207,7 +207,9 @@ class WarehouseStar:
         return accepted(self.sales().where(keep))
 
     def rejects(self) -> DataFrame:
-        return rejected(self.sales().where(F.col("sale_year") == REJECT_YEAR))
+        """Rejected lines of all batches, with file and line and the batch."""
+        lines = self.sales().where(F.col("sale_year") == REJECT_YEAR)
+        return rejected(lines, "load_batch")
 
     def frame(self, year: int | None = None) -> DataFrame:
         fact = self.fact(year)
