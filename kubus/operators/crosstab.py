@@ -15,18 +15,22 @@ members is possible.  What is a total is decided by the GROUPING flags, so
 NULL members stay in the table like all others.
 
 ``cross_table_wide`` lays the same table out with one column per member the
-caller names.
+caller names, or for the first members in label order.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..model import resolve_levels, validate_metric
+from ..session import written
 
 TOTAL_COLUMN = "TOTAL"
 TOTAL_ROW = "total"
+REST_COLUMN = "..."
 
 # Cells, row totals, region subtotals (by member and overall), column totals, grand total.
 SETS = (("_g", "_t", "_p"), ("_g", "_t"), ("_g", "_p"), ("_g",), ("_p",), ())
@@ -91,30 +95,47 @@ def cross_table(source, geo: str = "region", time: str = "quarter",
             ("_gg", "geo_total"), ("_gt", "time_total"), ("_gp", "product_total"))])
 
 
-def cross_table_wide(source, members: list[str | None], geo: str = "region",
+def first_members(cells: DataFrame, first: int) -> tuple[list[str | None], bool]:
+    """The ``first`` members of the cells in label order (NULL last), and
+    whether there are more.  Every task keeps its ``first`` + 1 smallest."""
+    rows = cells.select("_p").distinct().orderBy(F.col("_p").asc_nulls_last()).limit(first + 1).collect()
+    return [r["_p"] for r in rows[:first]], len(rows) > first
+
+
+def cross_table_wide(source, members: list[str | None] | None = None, geo: str = "region",
                      time: str = "quarter", product: str = "productGroup",
-                     year: int | None = None, metric: str = "total_quantity") -> DataFrame:
+                     year: int | None = None, metric: str = "total_quantity",
+                     first: int = 8) -> DataFrame:
     """geo_region, time_period, one column per entry of ``members`` and TOTAL.
 
     Only the named members get a column (None: the NULL member, column
-    ``NULL``), but TOTAL sums all members on every row.  Columns are built
-    under positional names and renamed last, so members may have any name,
-    also equal ones but for case, or that of another column.
+    ``NULL``), but TOTAL sums all members on every row.  Without ``members``
+    the ``first`` ones in label order get theirs and, if there are more, a
+    column ``...`` holds the sum of all others.  Columns are built under
+    positional names and renamed last, so members may have any name, also equal
+    ones but for case, or that of another column.
     """
     validate_metric(metric)
     cells = metric_cuboid(source.frame(year), resolve_levels(geo, time, product), metric)
     out_type = _METRIC_TYPE[metric]
+    rest = False
+    if members is None:
+        cells = written(cells, "cross-cells")  # read twice: for the labels and the table
+        members, rest = first_members(cells, first)
 
     def total(value: Column, name: str) -> Column:
         return F.coalesce(F.sum(value), F.lit(0)).cast(out_type).alias(name)
 
+    chosen = [F.col("_p").eqNullSafe(F.lit(m)) for m in members]
+    values = [F.when(c, F.col("_v")) for c in chosen]
+    if rest:
+        values.append(F.when(~reduce(Column.__or__, chosen, F.lit(False)), F.col("_v")))
     rolled = cells.rollup("_g", "_t").agg(
         F.grouping("_g").alias("_gg"), F.grouping("_t").alias("_gt"),
-        *[total(F.when(F.col("_p").eqNullSafe(F.lit(m)), F.col("_v")), f"_c{i}")
-          for i, m in enumerate(members)], total(F.col("_v"), "_c"))
-    wide = rolled.select(*_row_labels(time, year), *[f"_c{i}" for i in range(len(members))], "_c")
+        *[total(v, f"_c{i}") for i, v in enumerate(values)], total(F.col("_v"), "_c"))
+    wide = rolled.select(*_row_labels(time, year), *[f"_c{i}" for i in range(len(values))], "_c")
     return wide.toDF("geo_region", "time_period", *["NULL" if m is None else m for m in members],
-                     TOTAL_COLUMN)
+                     *[REST_COLUMN] * rest, TOTAL_COLUMN)
 
 
 def insights(source, geo: str = "region", time: str = "quarter",

@@ -320,12 +320,16 @@ GROUP BY GROUPING SETS ((_g, _t, _p), (_g, _t), (_g, _p), (_g), (_p), ())"""
 
 
 def crosstab_wide_sql(members: list[str], geo: str, time: str, product: str, year: int | None,
-                      metric: str) -> str:
-    """Wide form: one literal CASE per named member."""
+                      metric: str, rest: bool = False) -> str:
+    """Wide form: one literal CASE per named member, one for the ``rest``."""
     typ = _METRIC_SQL[metric][1]
     columns = ",\n  ".join(
         f"CAST(COALESCE(SUM(CASE WHEN _p = '{m}' THEN _v END), 0) AS {typ}) AS {_q(m)}"
         for m in members)
+    if rest:
+        named = ", ".join(f"'{m}'" for m in members)
+        columns += (f",\n  CAST(COALESCE(SUM(CASE WHEN _p IS NULL OR _p NOT IN ({named}) THEN _v END), 0) "
+                    f"AS {typ}) AS \"...\"")
     return f"""{_crosstab_cells(geo, time, product, year, metric, None)}
 SELECT {_crosstab_labels(time, year)},
   {columns},

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from . import oracle as O
 from .functions.labels import CUBE_LEVEL_LABELS
-from .queries import CROSSTAB_MEMBERS, YEAR
+from .queries import CROSSTAB_MEMBERS, SECOND_YEAR, YEAR
+
+_KEYS = (("date", "date_key"), ("shop", "shop_key"), ("product", "product_key"))
 
 
 def _counts(inner: str, label: str, name: str = "records") -> str:
@@ -65,6 +67,37 @@ def registry() -> dict[str, str]:
         {**load, "star": O.PARSED_STAR_SQL + f' AND c."year" = {YEAR}'},
         "region", "quarter", "productFamily")
 
+    outcome = "coalesce(reject_reason, 'accepted')"
+    q["load_report"] = (f"{O.ctes(**load)}\nSELECT {outcome} AS outcome, CAST(COUNT(*) AS BIGINT) AS rows "
+                        f"FROM classified GROUP BY {outcome}")
+    q["second_load_years"] = (f"{O.ctes(**load)}\nSELECT CAST(year(sale_date) AS INTEGER) AS \"year\", "
+                              "COUNT(*) AS rows, CAST(SUM(sale_revenue) AS DECIMAL(38,2)) AS revenue "
+                              "FROM classified WHERE reject_reason IS NULL GROUP BY 1")
+    q["second_load_calendar"] = O.dim_date_sql()
+    q["second_load_rejects"] = (
+        f"{O.ctes(**load | {'sales_text': O.LOCATED_TEXT_SQL})}\n" + "\nUNION ALL\n".join(
+            f"SELECT reject_reason, '{batch}' AS load_batch, COUNT(*) AS rows FROM classified "
+            f"WHERE reject_reason IS NOT NULL AND CAST(source_file[3:] AS INTEGER) {years} {SECOND_YEAR} "
+            "GROUP BY reject_reason" for batch, years in (("full", "<="), ("second", ">="))))
+    q["shop_keys_reload"] = f"""{O.ctes(shops=O.DIM_SHOP_SQL)},
+firsts AS (SELECT city_name, shop_name, row_number() OVER (ORDER BY city_name, shop_name) AS first_number
+           FROM (SELECT DISTINCT city_name, shop_name FROM shops WHERE shop_id % 2 = 0)),
+rests AS (SELECT city_name, shop_name, row_number() OVER (ORDER BY city_name, shop_name)
+            + (SELECT count(*) FROM firsts) AS shop_number
+          FROM (SELECT city_name, shop_name FROM shops
+                EXCEPT SELECT city_name, shop_name FROM firsts))
+SELECT city_name, shop_name, first_number AS shop_number, first_number FROM firsts
+UNION ALL SELECT city_name, shop_name, shop_number, NULL FROM rests"""
+    q["warehouse_footers"] = f"{O.ctes(**load)}\n" + "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS table_name, COUNT(*) AS row_count, {column} AS column_name, "
+        f"{least} AS least, {largest} AS largest FROM {table}" for name, table, column, least, largest in (
+            ("dim_date", "dim_date", "'full_date'", *(f"CAST({f}(full_date) AS VARCHAR)" for f in ("MIN", "MAX"))),
+            ("dim_shop", "dim_shop", *["CAST(NULL AS VARCHAR)"] * 3),
+            ("dim_product", "dim_product", *["CAST(NULL AS VARCHAR)"] * 3),
+            *(("fact_sales", "classified WHERE reject_reason IS NULL", f"'{c}'",
+               *(f"CAST({f}({c}) AS VARCHAR)" for f in ("MIN", "MAX"))) for c in ("sale_date_key", "sold_quantity")),
+            ("rejects", "classified WHERE reject_reason IS NOT NULL", *["CAST(NULL AS VARCHAR)"] * 3)))
+
     # -- fact and integrity -------------------------------------------------
     q["fact_sales"] = O.FACT_SQL
     dims = dict(dim_date=O.dim_date_sql(), dim_shop=O.DIM_SHOP_SQL,
@@ -80,6 +113,22 @@ def registry() -> dict[str, str]:
         for n, k, t in (("date", "date_key", "dim_date"), ("shop", "shop_key", "dim_shop"),
                         ("product", "product_key", "dim_product"))))
 
+    # Members whose key leaves 3 by 7 are gone, those that leave 5 by 11 come twice.
+    gone = ", ".join(f"CASE WHEN {k} % 7 = 3 THEN '{n}' END" for n, k in _KEYS)
+    q["loaded_orphan_rows"] = (f"{O.ctes(**load)}\nSELECT sale_date_key AS date_key, shop_key, product_key, "
+                               "sold_quantity AS quantity_sold, sale_revenue AS revenue, "
+                               f"concat_ws(',', {gone.replace('date_key', 'sale_date_key')}) AS missing "
+                               "FROM classified WHERE reject_reason IS NULL AND (sale_date_key % 7 = 3 "
+                               "OR shop_key % 7 = 3 OR product_key % 7 = 3)")
+    q["loaded_orphans"] = f"{O.ctes(**load)}\n" + "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS dimension, COUNT(*) AS orphan_rows FROM classified "
+        f"WHERE reject_reason IS NULL AND {'sale_' if n == 'date' else ''}{k} % 7 = 3" for n, k in _KEYS)
+    q["later_duplicates"] = f"{O.ctes(**dims)}\n" + "\nUNION ALL\n".join(
+        f"SELECT '{n}' AS dimension, COUNT(*) AS duplicate_keys FROM dim_{n} "
+        f"WHERE {k} % 7 <> 3 AND {k} % 11 = 5" for n, k in _KEYS)
+    q["later_duplicate_shops"] = (f"{O.ctes(**dims)}\nSELECT s.*, CAST(2 AS BIGINT) AS copies FROM dim_shop s, "
+                                  "(VALUES (1), (2)) WHERE shop_key % 7 <> 3 AND shop_key % 11 = 5")
+
     # -- statistics ---------------------------------------------------------
     q["table_row_counts"] = (f"{O.ctes(**dims)}\n" + "\nUNION ALL\n".join(
         f"SELECT '{t}' AS table_name, CAST(COUNT(*) AS BIGINT) AS row_count FROM {src}"
@@ -102,6 +151,13 @@ def registry() -> dict[str, str]:
         "CASE WHEN COALESCE(total_transactions, 0) = 0 THEN "
         "'no facts loaded yet: build the warehouse first' ELSE 'ok' END AS status "
         "FROM st")
+    g, t, p = O.resolve_levels("region", "quarter", "productFamily")
+    q["distinct_by_level"] = f"""WITH {O.star_cte()}
+SELECT CAST({g} AS VARCHAR) AS geo_member, CAST("{t}" AS VARCHAR) AS time_member,
+  CAST({p} AS VARCHAR) AS product_member, CAST(GROUPING({g}) AS INTEGER) AS geo_grouping,
+  CAST(GROUPING("{t}") AS INTEGER) AS time_grouping, CAST(GROUPING({p}) AS INTEGER) AS product_grouping,
+  COUNT(DISTINCT product_key) AS unique_products, COUNT(DISTINCT shop_key) AS unique_shops
+FROM star GROUP BY CUBE ({g}, "{t}", {p})"""
     q["summary_statistics"] = O.ctes(**dims) + stats + "SELECT * FROM st"
     q["warehouse_status"] = O.ctes(**dims) + stats + status
     q["warehouse_statistics"] = O.ctes(**load, fact=loaded) + stats + status
@@ -153,6 +209,9 @@ def registry() -> dict[str, str]:
                                            "total_quantity")
     q["crosstab_capped"] = O.crosstab_wide_sql(CROSSTAB_MEMBERS, "region", "quarter",
                                                "productCategory", YEAR, "total_revenue")
+    # The first three product categories of the input in label order.
+    q["crosstab_first_members"] = O.crosstab_wide_sql(("ECONOMY", "LARGE", "MEDIUM"), "region", "quarter",
+                                                      "productCategory", YEAR, "total_revenue", rest=True)
     q["crosstab_all_years"] = O.crosstab_sql("city", "month", "productFamily", None,
                                              "total_quantity")
     q["crosstab_insights"] = O.insights_sql("region", "quarter", "productGroup", YEAR,

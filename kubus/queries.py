@@ -24,7 +24,7 @@ from .operators import stats as S
 from .plans.normalised import normalised_products, normalised_shops
 from .plans.star import FactStar, TpchStar, WarehouseStar
 from .plans.views import register_star_views, sql_analysis
-from .plans.warehouse import build_warehouse
+from .plans.warehouse import append_dimension, build_warehouse, load_period
 from .session import scratch_path, written
 from .sources.sales_text import (SALES_COLUMNS, read_sales_csv, tpch_sales_text,
                                  write_sales_csv)
@@ -32,6 +32,8 @@ from .sources.sales_text import (SALES_COLUMNS, read_sales_csv, tpch_sales_text,
 # The input orders span 1995-2001; 1997 plays the role of the source
 # system's default analysis year.
 YEAR = 1997
+# The second load's first year, and the last one of the input.
+SECOND_YEAR, LAST_YEAR = 1998, 2001
 # The caller's columns of the wide cross table.
 CROSSTAB_MEMBERS = ("ECONOMY", "LARGE", "MEDIUM", "PROMO")
 
@@ -137,6 +139,71 @@ def warehouse_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                "rejects": w.rejects()})
 
 
+def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted lines and rejects by reason, as counted by the write itself."""
+    st = star(spark, sf_dir)
+    report = build_warehouse(scratch(spark, "warehouse"), dim_date(spark, sf_dir), st.dim_shop(),
+                             st.dim_product(), sales_csv(spark, sf_dir))
+    return report.frame(spark)
+
+
+def second_load(spark: SparkSession, sf_dir: str) -> WarehouseStar:
+    """A warehouse of the years up to SECOND_YEAR, then a batch of the years
+    from SECOND_YEAR on, with a calendar that overlaps the first one's."""
+    out, st, text = scratch(spark, "warehouse"), star(spark, sf_dir), sales_csv(spark, sf_dir)
+    file_year = F.regexp_extract("source_file", "y=([0-9]+)/[^/]*$", 1).cast("int")
+    days, year = dim_date(spark, sf_dir), F.col("year")
+    build_warehouse(out, days.where(year <= SECOND_YEAR), st.dim_shop(), st.dim_product(),
+                    text.where(file_year <= SECOND_YEAR))
+    for _ in range(2):  # a batch may be loaded again
+        append_dimension(days.where(year >= SECOND_YEAR), f"{out}/dim_date", "date_key")
+        load_period(out, text.where(file_year >= SECOND_YEAR), list(range(SECOND_YEAR, LAST_YEAR + 1)),
+                    "second")
+    return WarehouseStar(spark, out)
+
+
+def second_load_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and revenue per year after the second load."""
+    return second_load(spark, sf_dir).fact().groupBy(
+        F.expr("CAST(date_key DIV 10000 AS INT)").alias("year")).agg(
+        F.count("*").alias("rows"), F.sum("revenue").cast("decimal(38,2)").alias("revenue"))
+
+
+def shop_keys_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shops numbered by city and name, first those of even ids, then all:
+    the members of the first load keep their key."""
+    shops = star(spark, sf_dir).dim_shop()
+    natural = ["city_name", "shop_name"]
+    first = written(D.assign_keys(shops.where("shop_id % 2 = 0"), None, natural, "shop_number"), "shop-keys")
+    every = D.assign_keys(shops, first, natural, "shop_number")
+    return every.join(first.withColumnRenamed("shop_number", "first_number"), natural, "left")
+
+
+def later_dimensions(spark: SparkSession, sf_dir: str) -> dict[str, tuple[DataFrame, str]]:
+    """Dimensions as a later extract gives them: some members are gone, some
+    come twice."""
+    st, days = star(spark, sf_dir), dim_date(spark, sf_dir)
+    out = {"date": (days, "date_key"), "shop": (st.dim_shop(), "shop_key"),
+           "product": (st.dim_product(), "product_key")}
+    return {n: (dim.where(f"{k} % 7 <> 3").unionByName(dim.where(f"{k} % 11 = 5 AND {k} % 7 <> 3")), k)
+            for n, (dim, k) in out.items()}
+
+
+def loaded_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loaded fact rows that the later dimensions lack a member for."""
+    return I.orphan_rows(warehouse(spark, sf_dir).fact(), later_dimensions(spark, sf_dir))
+
+
+def warehouse_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Row counts and date bounds of a built warehouse from its files' footers."""
+    w = warehouse(spark, sf_dir)
+    names = {n: f"{w.root}/{n}" for n in ("dim_date", "dim_shop", "dim_product")}
+    return S.footer_statistics(
+        spark, {**names, "fact_sales": f"{w.root}/sales", "rejects": f"{w.root}/sales"},
+        {"dim_date": ("full_date",), "fact_sales": ("sale_date_key", "sold_quantity")},
+        {"fact_sales": "sale_year <> 0", "rejects": "sale_year = 0"})
+
+
 def warehouse_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status report over a built warehouse."""
     w = warehouse(spark, sf_dir)
@@ -189,6 +256,13 @@ def registry() -> dict[str, Query]:
     q["warehouse_row_counts"] = warehouse_counts
     q["warehouse_statistics"] = warehouse_statistics
     q["warehouse_rebuilt"] = lambda s, d: warehouse(s, d, runs=2).fact()
+    q["load_report"] = load_report
+    q["second_load_years"] = second_load_years
+    q["second_load_calendar"] = lambda s, d: second_load(s, d).dim_date()
+    q["second_load_rejects"] = lambda s, d: second_load(s, d).rejects().groupBy(
+        "reject_reason", "load_batch").agg(F.count("*").alias("rows"))
+    q["shop_keys_reload"] = shop_keys_reload
+    q["warehouse_footers"] = warehouse_footers
     q["warehouse_cube"] = lambda s, d: C.analysis(warehouse(s, d), "region", "quarter",
                                                   "productFamily", YEAR)
 
@@ -203,10 +277,17 @@ def registry() -> dict[str, Query]:
         "shop": (star(s, d).dim_shop(), "shop_key"),
         "product": (star(s, d).dim_product(), "product_key")})
 
+    q["loaded_orphan_rows"] = loaded_orphans
+    q["loaded_orphans"] = lambda s, d: I.orphan_counts(warehouse(s, d).fact(), later_dimensions(s, d))
+    q["later_duplicates"] = lambda s, d: I.duplicate_keys(later_dimensions(s, d))
+    q["later_duplicate_shops"] = lambda s, d: I.duplicate_rows(*later_dimensions(s, d)["shop"])
+
     # -- statistics -----------------------------------------------------------
     q["table_row_counts"] = lambda s, d: S.table_row_counts({
-        "dim_date": dim_date(s, d), "dim_shop": star(s, d).dim_shop(),
-        "dim_product": star(s, d).dim_product(), "fact_sales": star(s, d).fact()})
+        "dim_date": dim_date(s, d), **{n: star(s, d).table(t) for n, t in (
+            ("dim_shop", "supplier"), ("dim_product", "part"), ("fact_sales", "lineitem"))}})
+    q["distinct_by_level"] = lambda s, d: S.distinct_by_level(
+        star(s, d).frame(), "region", "quarter", "productFamily")
     q["summary_statistics"] = lambda s, d: S.summary_statistics(
         star(s, d).fact(), written(dim_date(s, d), "calendar"))
     q["warehouse_status"] = lambda s, d: S.warehouse_status(
@@ -264,6 +345,8 @@ def registry() -> dict[str, Query]:
     q["crosstab_capped"] = lambda s, d: X.cross_table_wide(
         star(s, d), list(CROSSTAB_MEMBERS), "region", "quarter", "productCategory", YEAR,
         "total_revenue")
+    q["crosstab_first_members"] = lambda s, d: X.cross_table_wide(
+        star(s, d), None, "region", "quarter", "productCategory", YEAR, "total_revenue", first=3)
     q["crosstab_all_years"] = lambda s, d: X.cross_table(star(s, d), "city", "month",
                                                          "productFamily")
     q["crosstab_insights"] = lambda s, d: X.insights(star(s, d), "region", "quarter",
