@@ -143,9 +143,10 @@ def footer_statistics(spark: SparkSession, paths: dict[str, str],
                          F.col(f"largest_{i}").cast("string").alias("largest"))
                 for i, c in enumerate(columns)] or [F.struct(*[F.lit(None).cast("string").alias(c) for c in (
                     "column_name", "least", "largest")])]
-        # Without any file left the pushed count is a sum over nothing.
+        # Without any file left the pushed count is a sum over nothing, hence
+        # null, although the plan holds it for a number (coalesce would go).
         out.append(found.select(F.lit(name).alias("table_name"),
-                                F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"),
+                                F.greatest("row_count", F.lit(0).cast("long")).alias("row_count"),
                                 F.inline(F.array(*rows))))
     return reduce(DataFrame.unionByName, out)
 
