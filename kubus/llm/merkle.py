@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from .common import ship, written
-from .ordered import numbered
+from ..operators.ordering import numbered
 
 BLOCK_BITS = 10
 BLOCK = 1 << BLOCK_BITS

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import written
-from .ordered import numbered, with_running
+from ..operators.ordering import numbered, with_running
 
 WEIGHTS = (5, 2, 1)
 PASSES = 3

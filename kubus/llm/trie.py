@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, written
-from .ordered import in_order, part
+from ..operators.ordering import in_order, part
 
 MODULUS = (1 << 127) - 1
 ROOT = bytes(16)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from kubus.llm import merkle, mixing, registry, trie
 from kubus.llm.common import read_table
-from kubus.llm.ordered import numbered, with_running
+from kubus.operators.ordering import numbered, with_running
 from oracle_harness import compare, duck
 
 
