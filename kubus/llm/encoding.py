@@ -1,18 +1,24 @@
 """Token ids of whole texts, by the tokenizers library.
 
 Both supported kinds of byte-pair tokenizer cut a text at white space before
-any merge, so the ids of a text are the ids of its pieces in order.  Distinct
-pieces are encoded by the library in batches and remembered per worker
-process; texts repeat most of their words.
+any merge, so the ids of a text are the ids of its pieces in order.  The
+texts of a slice lie in one buffer; where pieces begin is found by byte classes
+for all of them at once, equal pieces are brought together by Arrow's
+dictionary encoding, and only distinct pieces are looked up.  A worker process
+remembers the pieces that the library has encoded; texts repeat most of their
+words.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from functools import cache
+from itertools import compress
 
 import numpy as np
-from tokenizers import Tokenizer
+import pyarrow as pa
+from tokenizers import Tokenizer, normalizers
 
 ID_TYPE = np.dtype("<u4")
 # White space as the tokenizers' own patterns see it.
@@ -27,8 +33,47 @@ _KINDS = {
     # White space only separates.
     "dropped": (re.compile(rf"[{_L}]+(?=[{_MARK}])|[^{_W}]+"), " \u2605 "),
 }
-_CUT = re.compile(rf"(?<=[^{_W}])(?=[{_W}])")
-_BATCH = 2000
+_BATCH = 200
+# Classes of bytes; a text with white space beyond ASCII is cut by the patterns above.
+_OTHER, _LETTER, _SIGN, _WHITE = range(4)
+_CLASS = np.zeros(256, np.uint8)
+_CLASS[[*range(0x41, 0x5B), *range(0x61, 0x7B), 0xC3]] = _LETTER
+_CLASS[[*range(0x21, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = _SIGN
+_CLASS[[*range(9, 14), 32]] = _WHITE
+_WIDE_WHITE = re.compile("[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+_WIDE_LEAD = np.zeros(256, bool)  # first bytes of such white space
+_WIDE_LEAD[[0xC2, 0xE1, 0xE2, 0xE3]] = True
+_CUT = re.compile(rb"(?<=[!-~])(?=[\t-\r ])")
+
+
+def _begins(data: np.ndarray, texts: np.ndarray) -> np.ndarray:
+    """Where the pieces of texts that begin at ``texts`` begin in ``data``."""
+    kind = _CLASS[data]
+    # Letters of two bytes: C3 and any but the two signs among them.
+    lead = np.flatnonzero(data == 0xC3)
+    sign = (data[lead + 1] == 0x97) | (data[lead + 1] == 0xB7)
+    kind[lead[sign]] = _OTHER
+    kind[lead[~sign] + 1] = _LETTER
+    white = kind == _WHITE
+    begin = np.zeros(len(data), bool)
+    begin[1:] = white[1:] != white[:-1]
+    begin[texts[texts < len(data)]] = True
+    first = np.zeros(len(data), bool)
+    first[texts[texts < len(data)]] = True
+    words = np.flatnonzero(begin & ~white)
+    # The white space before a word: its last blank belongs to the word, any
+    # other last one stands alone, what is before that is one piece.
+    after = words[~first[words]]
+    begin[after - 1] = True
+    begin[after] = data[after - 1] != 0x20
+    # A word's leading letters end where a sign follows.
+    words = words[kind[words] == _LETTER]
+    stops = np.append(np.flatnonzero(kind != _LETTER), len(data))
+    ends = stops[np.searchsorted(stops, words)]
+    limit = np.append(texts, len(data))[np.searchsorted(texts, words, "right")]
+    ends = ends[ends < limit]
+    begin[ends[kind[ends] == _SIGN]] = True
+    return np.flatnonzero(begin)
 
 
 class Encoder:
@@ -36,58 +81,129 @@ class Encoder:
 
     ``cache_size`` bounds the pieces kept in each of two generations (a full
     young one becomes the old one; pieces still in use return from it),
-    ``slice_chars`` how much of a long text is held as pieces at once.
+    ``slice_bytes`` how much text is held as pieces at once.
     """
 
-    def __init__(self, path: str, kind: str, cache_size: int = 300_000,
-                 slice_chars: int = 1 << 20) -> None:
+    def __init__(self, path: str, kind: str, cache_size: int = 400_000,
+                 slice_bytes: int = 1 << 22) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.model._resize_cache(0)  # every piece reaches the library once
-        self.tokenizer.encode_special_tokens = True  # their strings are ordinary text
+        # Strings of added tokens are cut out before anything else, as the library does.
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content)
+               for t in added):
+            raise ValueError("added tokens must be plain strings without white space")
+        self.added = {t.content for t in added}
+        self.cut_added = re.compile("(" + "|".join(re.escape(t.content) for t in added) + ")")
+        self.find_added = re.compile("|".join(re.escape(t.content) for t in added).encode())
         self.pieces, self.separator = _KINDS[kind]
-        self.mark = self._encode([self.separator])[0]
+        self.bare = kind == "dropped"  # white space is no part of a piece
+        # White space apart, the normaliser of this kind only lower-cases ASCII.
+        self.plain = self.tokenizer
+        if self.bare:
+            self.plain = Tokenizer.from_file(path)
+            self.plain.model._resize_cache(0)
+            self.plain.normalizer = normalizers.Sequence([])
+        self.mark = self._encode(self.tokenizer, [self.separator])[0]
         if len(self.mark) != 1:
             raise ValueError("the separator must be one token")
-        self.cache_size, self.slice_chars = cache_size, slice_chars
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.cache_size, self.slice_bytes = cache_size, slice_bytes
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
 
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
+    @staticmethod
+    def _encode(tokenizer: Tokenizer, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, ID_TYPE)
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, held: list[list[str]]) -> None:
-        pieces = set().union(*held).difference(self.known)
-        if len(self.known) + len(pieces) > self.cache_size:
-            self.old, self.known = self.known, {}
-            pieces = set().union(*held)
-        new = []
-        for piece in pieces:
-            ids = self.old.get(piece)
-            if ids is None:
-                new.append(piece)
-            else:
-                self.known[piece] = ids
+    def _encode_pieces(self, tokenizer: Tokenizer, texts: list[str]) -> Iterator[tuple[str, bytes]]:
         # A piece that could merge with the separator is encoded by itself.
         sign = self.separator.strip(" ")
-        alone = [p for p in new if sign in p or p.isspace()]
-        joined = [p for p in new if not (sign in p or p.isspace())]
-        for piece, ids in zip(alone, self._encode(alone)):
-            self.known[piece] = ids.tobytes()
-        groups = [joined[i:i + _BATCH] for i in range(0, len(joined), _BATCH)]
-        for group, ids in zip(groups, self._encode([self.separator.join(g) for g in groups])):
+        alone = [t for t in texts if sign in t or not t or t.isspace()]
+        yield from zip(alone, [ids.tobytes() for ids in self._encode(tokenizer, alone)])
+        if alone:
+            texts = [t for t in texts if not (sign in t or not t or t.isspace())]
+        groups = [texts[i:i + _BATCH] for i in range(0, len(texts), _BATCH)]
+        for group, ids in zip(groups, self._encode(tokenizer, [self.separator.join(g) for g in groups])):
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(cuts) != len(group) - 1:
                 raise AssertionError("a piece holds the separator's token")
-            data, at = ids.tobytes(), 0
-            for piece, cut in zip(group, [*cuts.tolist(), len(ids)]):
-                self.known[piece] = data[4 * at:4 * cut]
-                at = cut + 1
+            data = ids.tobytes()
+            starts = [0, *((cuts + 1) * 4).tolist()]
+            ends = [*(cuts * 4).tolist(), len(data)]
+            yield from zip(group, [data[i:j] for i, j in zip(starts, ends)])
 
-    def _slices(self, text: str):
+    def _learn(self, pieces: set[bytes]) -> None:
+        """Enter pieces that the young generation lacks."""
+        if len(self.known) + len(pieces) > self.cache_size:
+            self.old, self.known = self.known, {}
+        kept = pieces & self.old.keys()
+        self.known.update(zip(kept, map(self.old.__getitem__, kept)))
+        raw = list(pieces - kept)
+        texts = [p.decode() for p in raw]
+        if self.bare:
+            texts = [t.strip(" \t\n\v\f\r") for t in texts]
+            texts = [t.lower() if t.isascii() and t not in self.added else t for t in texts]
+        plain = [t.isascii() and t not in self.added for t in texts]
+        ids = dict(self._encode_pieces(self.plain, list(dict.fromkeys(compress(texts, plain)))))
+        others = dict.fromkeys(t for t, p in zip(texts, plain) if not p)
+        ids.update(self._encode_pieces(self.tokenizer, list(others)))
+        self.known.update(zip(raw, map(ids.__getitem__, texts)))
+
+    def _look_up(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of every piece; only pieces not known yet cost more than a look."""
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            missing = [i for i, ids in enumerate(found) if ids is None]
+            self._learn({pieces[i] for i in missing})
+            for i in missing:
+                found[i] = self.known[pieces[i]]
+        return found
+
+    def _odd(self, text: str) -> bytes:
+        """Ids of a text with an added token or white space beyond ASCII."""
+        pieces = [p.encode() for i, between in enumerate(self.cut_added.split(text))
+                  for p in ([between] if i % 2 else self.pieces.findall(between))]
+        return b"".join(self._look_up(pieces))
+
+    def _slice(self, parts: list[bytes]) -> list[bytes]:
+        """Ids of each of the ``parts``, together about a slice."""
+        buffer = b"".join(parts)
+        ends = np.cumsum([len(part) for part in parts])
+        wide = np.flatnonzero(_WIDE_LEAD[np.frombuffer(buffer, np.uint8)])
+        odd = {i for i in np.unique(np.searchsorted(ends, wide, "right")).tolist()
+               if _WIDE_WHITE.search(parts[i].decode())}
+        if self.find_added.search(buffer):
+            odd |= {i for i, part in enumerate(parts) if self.find_added.search(part)}
+        if odd:
+            buffer = b"".join([b"" if i in odd else part for i, part in enumerate(parts)])
+        sizes = [0 if i in odd else len(part) for i, part in enumerate(parts)]
+        texts = np.cumsum([0, *sizes])[:-1]
+        out = [b""] * len(parts)
+        if buffer:
+            begins = _begins(np.frombuffer(buffer, np.uint8), texts)
+            offsets = np.append(begins, len(buffer)).astype(np.int32)
+            pieces = pa.BinaryArray.from_buffers(pa.binary(), len(begins), [
+                None, pa.py_buffer(offsets), pa.py_buffer(buffer)]).dictionary_encode()
+            found = self._look_up(pieces.dictionary.to_pylist())
+            which = pieces.indices.to_numpy()
+            counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
+            at = (np.cumsum(counts) - counts)[which]
+            counts = counts[which]
+            ends = np.cumsum(counts)
+            ids = np.frombuffer(b"".join(found), ID_TYPE)[
+                np.repeat(at - ends + counts, counts) + np.arange(ends[-1])].tobytes()
+            # Ids before each text: those of the pieces before its first one.
+            upto = np.append(0, ends)[np.searchsorted(begins, np.append(texts, len(buffer)))] * 4
+            out = [ids[i:j] for i, j in zip(upto[:-1].tolist(), upto[1:].tolist())]
+        for i in odd:
+            out[i] = self._odd(parts[i].decode())
+        return out
+
+    def _slices(self, text: bytes) -> Iterator[bytes]:
         at = 0
-        while len(text) - at > self.slice_chars:
-            cut = _CUT.search(text, at + self.slice_chars)
+        while len(text) - at > self.slice_bytes:
+            cut = _CUT.search(text, at + self.slice_bytes)
             if not cut:
                 break
             yield text[at:cut.start()]
@@ -98,21 +214,21 @@ class Encoder:
         """Per text its ids as little-endian unsigned 32-bit integers; null
         and empty texts have none."""
         out: list[list[bytes]] = [[] for _ in texts]
-        held, chars = [], 0
+        held: list[tuple[int, bytes]] = []
+        size = 0
 
         def flush() -> None:
-            self._learn([p for _, p in held])
-            for i, pieces in held:
-                out[i].append(b"".join(map(self.known.__getitem__, pieces)))
+            for (i, _), ids in zip(held, self._slice([part for _, part in held])):
+                out[i].append(ids)
             held.clear()
 
         for i, text in enumerate(texts):
-            for part in self._slices(text or ""):
-                held.append((i, self.pieces.findall(part)))
-                chars += len(part)
-                if chars >= self.slice_chars:
+            for part in self._slices((text or "").encode()):
+                held.append((i, part))
+                size += len(part)
+                if size >= self.slice_bytes:
                     flush()
-                    chars = 0
+                    size = 0
         if held:
             flush()
         return [b"".join(parts) for parts in out]

@@ -138,9 +138,9 @@ def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str,
         writer = FrameWriter(out)
         for batch in batches:
             texts = batch.column(1)
-            for at in range(0, batch.num_rows, 64):
-                some = code.encode(texts.slice(at, 64).to_pylist())
-                for doc_id, ids in zip(batch.column(0).slice(at, 64).to_pylist(), some):
+            for at in range(0, batch.num_rows, 512):
+                some = code.encode(texts.slice(at, 512).to_pylist())
+                for doc_id, ids in zip(batch.column(0).slice(at, 512).to_pylist(), some):
                     writer.add(doc_id, ids + end)
         writer.close()
     name = f"shard-{shard:07d}.zst"

@@ -90,9 +90,7 @@ def test_quality_keeps_columns_and_repeated_rows(odd_docs):
 
 @cache
 def tokenizer(name):
-    t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(public_tokenizers.path(name))
 
 
 def encode_all(name, texts):
@@ -110,9 +108,10 @@ def test_pieces_encode_like_whole_texts(name, kind):
              "a\u00b2b", "\u0141\u00f3d\u017a", "\u043f\u0440\u0438", "\u65e5\u672c", "'s", "''t",
              "_a_", "3.14", "100km", "...", "\u2605", "a\u2605", "e\u0301", "\u0130", "\u0391\u03a3.",
              "\U0001f600", "<|endoftext|>", "word", "Word,", "the.", "\r\n", "\0", "\u200b", "\x85",
-             "\u0663", "\u00aa", "-"]
+             "\u0663", "\u00aa", "-", "\u00d7", "a\u00f7b", "\u2019s", "\u3000", "<|startoftext|>", "<|", "\x85a",
+             "\u2028", "\x7f", "\u00c3", "caf\u00e9,", "9a", " a", "\n\n ", " \n"]
     r = np.random.default_rng(7)
-    code = encoding.Encoder(public_tokenizers.path(name), kind, cache_size=500, slice_chars=60)
+    code = encoding.Encoder(public_tokenizers.path(name), kind, cache_size=500, slice_bytes=60)
     for _ in range(200):
         texts = ["".join(r.choice(parts, r.integers(0, 40))) for _ in range(8)]
         assert code.encode(texts) == [np.array(x, "<u4").tobytes() for x in encode_all(name, texts)]
