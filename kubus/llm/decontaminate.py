@@ -15,6 +15,11 @@ its plain words are a window of their own, met only by the same words.  An item
 of fewer than five words is one such window.  A document with at least
 ``min_share`` of an item's windows, or with ``MIN_RUN`` of them in a row, holds
 it.
+
+Texts that share or run on with the item's own fillings are settled by joins on
+whole windows and on hashes of ``MIN_RUN`` windows, in which a place does not
+matter.  Only the other pairs that meet enough positions of the item meet place
+by place: at most the text's windows of a template times the item's, per pair.
 """
 
 from __future__ import annotations
@@ -50,6 +55,7 @@ _EDGES = re.compile(r"^\W+|\W+$")
 _SIGNS = re.compile(r"[^\w]+")
 _CLOSING = "\"')]\u00bb\u201d\u2019"
 _STOPS = frozenset(".!?:")
+_ENDINGS = frozenset(".,;:!?")
 _CACHE = 300_000
 
 
@@ -66,27 +72,33 @@ class _Vocabulary:
         self.columns = (np.zeros(1024, np.uint64), *(np.zeros(1024, bool) for _ in range(4)))
 
     def lookup(self, words: list[bytes]) -> np.ndarray:
-        new = [w for w in dict.fromkeys(words) if w not in self.index]
-        if len(self.index) + len(new) > _CACHE:
-            self.clear()
-            new = list(dict.fromkeys(words))
-        if new:
+        found = list(map(self.index.get, words))
+        if None in found:
+            new = list(dict.fromkeys(w for w, i in zip(words, found) if i is None))
+            if len(self.index) + len(new) > _CACHE:
+                self.clear()
+                new = list(dict.fromkeys(words))
             self._add(new)
-        return np.fromiter(map(self.index.__getitem__, words), np.int64, len(words))
+            found = list(map(self.index.__getitem__, words))
+        return np.array(found, np.int64)
 
     def _add(self, new: list[bytes]) -> None:
         first, rows = len(self.bare), []
-        for i, raw in enumerate(new, first):
-            self.index[raw] = i
+        self.index.update(zip(new, range(first, first + len(new))))
+        for raw in new:
             word = raw.decode("utf-8", "replace")
-            plain = word.isalnum()  # the usual word needs no pattern
-            bare = word if plain else _EDGES.sub("", word)
-            literal = bare.lower() if plain else _SIGNS.sub("", bare).lower()
-            number = not literal.isalpha() and any(map(str.isdigit, literal))
+            # The usual word, alone or before one sign, needs no pattern.
+            bare = word if word.isalpha() else word[:-1] if word[-1] in _ENDINGS else ""
+            if bare.isalpha():
+                literal, number = bare.lower(), False
+            else:
+                bare = word if word.isalnum() else _EDGES.sub("", word)
+                literal = _SIGNS.sub("", bare).lower()
+                number = not literal.isalpha() and any(map(str.isdigit, literal))
             self.bare.append(bare)
             rows.append((xxhash.xxh64_intdigest(literal.encode("utf-8", "replace")), number,
                          literal in UNITS, bare[:1].isupper() and not number,
-                         not plain and word.rstrip(_CLOSING)[-1:] in _STOPS))
+                         word[-1] in _STOPS or word[-1] in _CLOSING and word.rstrip(_CLOSING)[-1:] in _STOPS))
         size = first + len(new)
         if size > len(self.columns[0]):
             self.columns = tuple(np.concatenate((c, np.zeros(max(size, len(c)), c.dtype)))
@@ -195,25 +207,40 @@ def _short(data: bytes | None) -> tuple[int, ...]:
     return (n,) if n and re.search(r"[^\W_]", data.decode("utf-8", "replace")) else ()
 
 
+def _run_keys(rows: list[tuple[int, int, str, tuple[str, ...]]]) -> dict[int, str]:
+    """For a position that begins ``MIN_RUN`` windows in a row, which begin
+    where they stand: a hash of these windows with their fillings."""
+    own = {at: f"{template}\0{chr(1).join(fillings)}" for at, start, template, fillings in rows
+           if at == start and not template.startswith("=")}
+    return {at: xxhash.xxh3_128_hexdigest("\0\0".join(own[at + i] for i in range(MIN_RUN)))
+            for at in own if all(at + i in own for i in range(1, MIN_RUN))}
+
+
 def _item_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(item_id, item, slot, at, start, sum(short), t, list(f))
-                for item_id, item, text in zip(*(c.to_pylist() for c in batch.columns))
-                for short in [_short(text)]
-                for slot, at, start, t, f in windows(text, short=short)]
+        rows = []
+        for item_id, item, text in zip(*(c.to_pylist() for c in batch.columns)):
+            short = _short(text)
+            found = list(windows(text, short=short))
+            runs = _run_keys([w[1:] for w in found])
+            rows += [(item_id, item, slot, at, start, sum(short), t, list(f), runs.get(at))
+                     for slot, at, start, t, f in found]
         yield _batch(rows, [pa.int64(), pa.string(), *[pa.int64()] * 4, pa.string(),
-                            pa.list_(pa.string())],
-                     ["item_id", "item", "slot", "at", "start", "short", "template", "fillings"])
+                            pa.list_(pa.string()), pa.string()],
+                     ["item_id", "item", "slot", "at", "start", "short", "template", "fillings", "run"])
 
 
 def _document_windows(batches: Iterator[pa.RecordBatch], bits: np.ndarray,
                       short: tuple[int, ...]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [(doc, text_hash, start, t, list(f))
-                for doc, text_hash, text in zip(*(c.to_pylist() for c in batch.columns))
-                for _, _, start, t, f in windows(text, bits, short)]
-        yield _batch(rows, [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string())],
-                     ["doc_id", "text_hash", "place", "template", "fillings"])
+        rows = []
+        for doc, text_hash, text in zip(*(c.to_pylist() for c in batch.columns)):
+            found = list(windows(text, bits, short))
+            runs = _run_keys([w[1:] for w in found]) if len(found) >= MIN_RUN else {}
+            rows += [(doc, text_hash, start, t, list(f), runs.get(at)) for _, at, start, t, f in found]
+        yield _batch(rows, [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.list_(pa.string()),
+                            pa.string()],
+                     ["doc_id", "text", "place", "template", "fillings", "run"])
 
 
 def _batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
@@ -222,13 +249,13 @@ def _batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
 
 
 def _consistent(met: DataFrame) -> DataFrame:
-    """(doc, item, at, lies, exact): the item windows of ``met`` and where the
-    item ``lies`` in the document, if their fillings are the item's or follow
+    """(text, item, at, lies, exact): the item windows of ``met`` and where the
+    item ``lies`` in the text, if their fillings are the item's or follow
     the mapping of the alignments around.  A pairing votes with the number of
     windows on its alignment, so crossed pairings of an item that repeats a
     template weigh less than the item's own course."""
-    pairing = ["doc", "item", "at", "lies", "template"]
-    weight = F.count("*").over(Window.partitionBy("doc", "item", "lies"))
+    pairing = ["text", "item", "at", "lies", "template"]
+    weight = F.count("*").over(Window.partitionBy("text", "item", "lies"))
     bands = F.explode(F.array(*[F.concat_ws(":", F.lit(k), F.floor((F.col("lies") + k) / BAND))
                                 for k in (0, BAND // 2)]))
     slots = met.select(*pairing, (F.col("fillings") == F.col("item_fillings")).alias("exact"),
@@ -239,20 +266,21 @@ def _consistent(met: DataFrame) -> DataFrame:
         .select(*pairing, "exact", "weight", "band", F.col("p.a").alias("of_item"),
                 F.col("p.b").alias("of_doc"))
     mapping = (slots.where("of_item is not null")
-               .groupBy("doc", "item", "band", "of_item", "of_doc").agg(F.sum("weight").alias("n"))
-               .groupBy("doc", "item", "band", "of_item")
+               .groupBy("text", "item", "band", "of_item", "of_doc").agg(F.sum("weight").alias("n"))
+               .groupBy("text", "item", "band", "of_item")
                .agg(F.max_by("of_doc", F.struct("n", "of_doc")).alias("chosen")))
-    return (slots.join(mapping, ["doc", "item", "band", "of_item"], "left")
+    return (slots.join(mapping, ["text", "item", "band", "of_item"], "left")
             .groupBy(*pairing, "exact", "band")
             .agg(F.bool_and(F.expr("of_item is null or of_doc = chosen")).alias("agrees"))
             .where("exact or agrees")
-            .groupBy("doc", "item", "at", "lies").agg(F.bool_or("exact").alias("exact")))
+            .groupBy("text", "item", "at", "lies").agg(F.bool_or("exact").alias("exact")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
     """(doc_id, text_hash, item_id, n_windows, share, exact): documents that
     hold a benchmark item: ``min_share`` of its windows, or ``MIN_RUN`` of them
-    in a row.  ``exact`` tells that all fillings met are the item's.
+    in a row.  ``exact`` tells that all fillings met are the item's; a pair that
+    these alone settle counts no other windows.
 
     Null and empty texts and texts without a letter or digit hold nothing and
     match nothing; items of fewer than five words are held wherever these words
@@ -268,43 +296,84 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_S
                                      F.col("text").cast("binary").alias("text"))
                     .mapInArrow(_item_windows, "item_id long, item string, slot long, at long, "
                                                "start long, short long, template string, "
-                                               "fillings array<string>").distinct(),
+                                               "fillings array<string>, run string").distinct(),
                     "bench-items")
-    # One bit per slot of a fixed 2^22, so at most that many numbers, whatever
-    # the benchmark's size; the join below decides.
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    bits[[r["slot"] for r in items.select("slot").distinct().collect()]] = True
-    short = tuple(sorted(r["short"] for r in items.select("short").distinct().collect() if r["short"]))
+    bits, short = _slots(items), tuple(sorted(r["short"] for r in items.select(
+        "short").distinct().collect() if r["short"]))
     found = written(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                    F.xxhash64("text").alias("text_hash"),
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"),
                     F.col("text").cast("binary").alias("text"))
         .mapInArrow(partial(_document_windows, bits=bits, short=short),
-                    "doc_id long, text_hash long, place long, template string, "
-                    "fillings array<string>"),
+                    "doc_id long, text long, place long, template string, "
+                    "fillings array<string>, run string"),
         "bench-found")
-    met = written(found.withColumn("doc", F.expr(key.format("doc_id", "text_hash"))).join(
-        items.select("item_id", "item", "at", "start", "template",
-                     F.col("fillings").alias("item_fillings")),
-        "template").withColumn("lies", F.expr("place - start")).drop("place", "start").distinct(), "bench-met")
-    sizes = items.groupBy("item").agg(F.countDistinct("at").alias("size"))
+    # Copies of a text are one from here on.
+    texts = written(found.drop("doc_id").distinct(), "bench-texts")
+    sizes = written(items.groupBy("item").agg(F.countDistinct("at").alias("size")), "bench-sizes")
+
+    def met(on: list[str], name: str) -> DataFrame:
+        """(text, item, name): item positions of which the text has a window, wherever."""
+        pairs = written(texts.select("text", *on).distinct().join(
+            items.select("item", "at", *on).distinct(), on).select("text", "item", "at"), f"bench-{name}")
+        return pairs.groupBy("text", "item").agg(F.countDistinct("at").alias(name))
+
+    runs = written(texts.select("text", "run").where("run is not null").distinct().join(
+        items.select("item", "run").distinct(), "run").select("text", "item"), "bench-runs").distinct()
+    enough = F.col("size") * min_share
+    pairs = written(
+        met(["template"], "n_met").join(sizes, "item")
+        .where(F.col("n_met") >= F.least(enough, F.lit(MIN_RUN)))
+        .join(met(["template", "fillings"], "n_exact"), ["text", "item"], "left")
+        .join(runs.withColumn("run", F.lit(True)), ["text", "item"], "left")
+        .select("text", "item", "size", F.coalesce("n_exact", F.lit(0)).alias("n_exact"),
+                (F.coalesce((F.col("n_exact") >= enough) | F.col("run"), F.lit(False))).alias("settled")),
+        "bench-pairs")
+    settled = pairs.where("settled").select(
+        "text", "item", F.col("n_exact").alias("n_windows"), (F.col("n_exact") / F.col("size")).alias("share"),
+        F.lit(True).alias("exact"))
+    open_pairs = written(pairs.where("not settled").select("text", "item").join(
+        items.select("item", "at", "start", "template", F.col("fillings").alias("item_fillings")), "item"),
+        "bench-open")
+    places = texts.select("text", "place", "template", "fillings").distinct().join(
+        open_pairs, ["text", "template"])
+    shares = settled.unionByName(_by_place(written(
+        places.withColumn("lies", F.expr("place - start")).drop("place", "start"), "bench-met").distinct(),
+        sizes, min_share))
+    names = items.select("item", "item_id").distinct()
+    holders = found.select("doc_id", "text").distinct()
+    best = F.max(F.struct("share", "n_windows", "exact")).alias("best")
+    return (written(shares, "bench-shares").join(names, "item").join(holders, "text")
+            .groupBy("doc_id", F.col("text").alias("text_hash"), "item_id").agg(best)
+            .select("doc_id", "text_hash", "item_id", "best.n_windows", "best.share", "best.exact"))
+
+
+def _slots(items: DataFrame) -> np.ndarray:
+    """One bit per slot of a fixed 2^22 that a window of the benchmark has, so
+    half a megabyte whatever its size; the joins decide."""
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    rows = items.groupBy(F.shiftright("slot", 15).alias("page")).agg(
+        F.bitmap_construct_agg(F.col("slot") % (1 << 15)).alias("bits")).collect()
+    for row in rows:
+        page = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
+        bits[row["page"] << 15:][:1 << 15] = page
+    return bits
+
+
+def _by_place(met: DataFrame, sizes: DataFrame, min_share: float) -> DataFrame:
+    """(text, item, n_windows, share, exact) of pairs that hold enough windows
+    with the item's or consistent fillings, or enough of them in a row."""
     agreed = written(_consistent(met), "bench-agreed")
     # Windows in a row: position minus rank stays the same along one alignment.
-    rank = F.row_number().over(Window.partitionBy("doc", "item", "lies").orderBy("at"))
+    rank = F.row_number().over(Window.partitionBy("text", "item", "lies").orderBy("at"))
     runs = (agreed.withColumn("run", F.col("at") - rank)
-            .groupBy("doc", "item", "lies", "run").agg(F.count("*").alias("n"))
-            .groupBy("doc", "item").agg(F.max("n").alias("longest")))
-    shares = (agreed.groupBy("doc", "item", "at").agg(F.bool_or("exact").alias("exact"))
-              .groupBy("doc", "item").agg(F.count("*").alias("n_windows"),
-                                          F.bool_and("exact").alias("exact"))
-              .join(sizes, "item").join(runs, ["doc", "item"])
-              .select("doc", "item", "n_windows", (F.col("n_windows") / F.col("size")).alias("share"),
-                      "exact", "longest")
-              .where((F.col("share") >= min_share) | (F.col("longest") >= MIN_RUN)))
-    ids = met.select("doc", "doc_id", "text_hash", "item", "item_id").distinct()
-    best = F.max(F.struct("share", "n_windows", "exact")).alias("best")
-    return (shares.join(ids, ["doc", "item"]).groupBy("doc_id", "text_hash", "item_id").agg(best)
-            .select("doc_id", "text_hash", "item_id", "best.n_windows", "best.share", "best.exact"))
+            .groupBy("text", "item", "lies", "run").agg(F.count("*").alias("n"))
+            .groupBy("text", "item").agg(F.max("n").alias("longest")))
+    return (agreed.groupBy("text", "item", "at").agg(F.bool_or("exact").alias("exact"))
+            .groupBy("text", "item").agg(F.count("*").alias("n_windows"), F.bool_and("exact").alias("exact"))
+            .join(sizes, "item").join(runs, ["text", "item"])
+            .select("text", "item", "n_windows", (F.col("n_windows") / F.col("size")).alias("share"),
+                    "exact", "longest")
+            .where((F.col("share") >= min_share) | (F.col("longest") >= MIN_RUN)).drop("longest"))
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
