@@ -4,9 +4,18 @@ Each document is measured once.  For every metric a mergeable quantile
 sketch is kept per (language, source): counts over logarithmic buckets of
 relative width ``ACCURACY``.  The sketch is a table and merging is addition,
 so the same sketches serve every (language, source), every language and the
-whole corpus, in any order and over any number of tasks.  The sketch's
-quartiles give an upper (and for some metrics lower) fence; documents beyond
-a fence of their own group are rejected by a join with the fences.
+whole corpus, in any order and over any number of tasks.
+
+A group's sketch is merged with its language's, scaled to ``PRIOR`` documents,
+and a language's with the corpus's in the same way, so that few documents move
+a fence little and many decide it, without a step in between.  The upper fence
+lies ``REACH`` times the distance from median to upper quartile beyond that
+quartile (for some metrics there is a lower one likewise).  Where the two
+quantiles fall together, as with measures that most documents have none of,
+the metric's ``room`` takes the place of the distance.  A group's fence never
+lies beyond ``GROUP_FACTOR`` times its language's, and that one never beyond
+``LANGUAGE_FACTOR`` times the corpus's: a source that is mostly junk cannot
+open its own fence.  Documents beyond a fence are rejected by a join.
 """
 
 from __future__ import annotations
@@ -18,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ship, word_blocks, written
@@ -35,30 +44,28 @@ _NOT_LETTER = bytes(b for b in range(128) if not chr(b).isalpha()) + bytes(range
 
 @dataclass(frozen=True)
 class Metric:
-    """A document measure and how far beyond the quartiles it may lie.
-
-    The fence is ``reach`` times the spread beyond the quartile, the spread
-    being the distance of the quartiles but at least ``least_spread`` (most
-    documents have no symbols at all, which must not make one a fault).
-    """
+    """A document measure; ``room`` is the distance of the fence from the
+    quartile where median and quartile fall together."""
 
     name: str
     value: str
-    least_spread: float
-    reach: float = 4.0
+    room: float
     lower: bool = False
 
 
 METRICS = (
-    Metric("symbols", "n_symbols / word_chars", 0.01),
-    Metric("upper", "n_upper / greatest(n_letters, 1)", 0.04),
-    Metric("word_length", "word_chars / n_words", 0.75, lower=True),
-    Metric("dup_lines", "n_dup_lines / greatest(n_lines, 1)", 0.12),
-    Metric("repeats", "n_repeat_words / n_words", 0.07),
-    Metric("stutter", "n_stutter / n_words", 0.05),
+    Metric("symbols", "n_symbols / word_chars", 0.04),
+    Metric("upper", "n_upper / greatest(n_letters, 1)", 0.16),
+    Metric("word_length", "word_chars / n_words", 3.0, lower=True),
+    Metric("dup_lines", "n_dup_lines / greatest(n_lines, 1)", 0.48),
+    Metric("repeats", "n_repeat_words / n_words", 0.28),
+    Metric("stutter", "n_stutter / n_words", 0.2),
 )
+REACH = 12.0
+PRIOR = 50.0
+GROUP_FACTOR, LANGUAGE_FACTOR = 1.5, 2.0
 
-ACCURACY = 0.02
+ACCURACY = 0.005
 _GAMMA = math.log1p(ACCURACY)
 _ZERO = -(1 << 30)
 
@@ -153,67 +160,82 @@ def _bucket_value(bucket: Column) -> Column:
 
 
 def sketches(measured: DataFrame) -> DataFrame:
-    """(lang, source, metric, bucket, n) of the documents the base rules pass;
-    a null source stands for all sources, a null lang for all documents."""
+    """(lang, source, metric, bucket, n) of the documents the base rules pass."""
     rows = measured.where(~base_failed()).select(
         _group("lang").alias("lang"), _group("source").alias("source"),
         F.explode(F.array(*[F.struct(F.lit(m.name).alias("metric"),
                                      _bucket(F.expr(m.value)).alias("bucket"))
                             for m in METRICS])).alias("m"))
-    finest = rows.groupBy("lang", "source", "m.metric", "m.bucket").agg(F.count("*").alias("n"))
-    return (finest.groupingSets([("lang", "source", "metric", "bucket"),
-                                 ("lang", "metric", "bucket"), ("metric", "bucket")],
-                                "lang", "source", "metric", "bucket")
-            .agg(F.sum("n").alias("n")))
-
-
-def fences(sketch: DataFrame) -> DataFrame:
-    """(lang, source, metric, docs, low, high) from the sketches' quartiles."""
-    group = Window.partitionBy("lang", "source", "metric")
-    upto = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = sketch.withColumn("upto", F.sum("n").over(upto)) \
-        .withColumn("docs", F.sum("n").over(group))
-    at = {q: F.min(F.when(F.col("upto") >= F.col("docs") * q, F.col("bucket")))
-          for q in (0.25, 0.75)}
-    quartiles = ranked.groupBy("lang", "source", "metric").agg(
-        F.max("docs").alias("docs"), _bucket_value(at[0.25]).alias("q1"),
-        _bucket_value(at[0.75]).alias("q3"))
-    params = F.create_map(*[x for m in METRICS for x in (
-        F.lit(m.name), F.struct(F.lit(m.least_spread).alias("least"),
-                                F.lit(m.reach).alias("reach"), F.lit(m.lower).alias("lower")))])
-    p = params[F.col("metric")]
-    room = F.greatest(F.col("q3") - F.col("q1"), p["least"]) * p["reach"]
-    return quartiles.select("lang", "source", "metric", "docs",
-                            F.when(p["lower"], F.col("q1") - room).alias("low"),
-                            (F.col("q3") + room).alias("high"))
-
-
-def thresholds(measured: DataFrame, min_docs: int = 100) -> DataFrame:
-    """(lang, source, limits): the fences that hold for every group present.
-
-    A group with fewer than ``min_docs`` measured documents takes its
-    language's merged sketch, and that of the whole corpus where the language
-    is as rare.
-    """
-    every = F.lit("*")  # stands for all; real groups begin with "=" or are "null"
-    limits = written(
-        fences(sketches(measured))
-        .groupBy(F.coalesce("lang", every).alias("of_lang"), F.coalesce("source", every).alias("of_source"))
-        .agg(F.max("docs").alias("docs"),
-             F.map_from_entries(F.collect_list(F.struct("metric", F.struct("low", "high"))))
-             .alias("limits")), "quality-fences")
-    # The table has a row for every group, also one whose documents all failed.
-    groups = measured.select(_group("lang").alias("lang"), _group("source").alias("source")).distinct()
-    levels = groups.select("lang", "source", F.inline(F.array(*[
-        F.struct(F.lit(i).alias("level"), lang.alias("of_lang"), source.alias("of_source"))
-        for i, (lang, source) in enumerate(((F.col("lang"), F.col("source")), (F.col("lang"), every),
-                                            (every, every)))])))
-    return (levels.join(limits, ["of_lang", "of_source"])
-            .where((F.col("docs") >= min_docs) | (F.col("level") == 2))
-            .groupBy("lang", "source").agg(F.min_by("limits", "level").alias("limits")))
-
-
-def verdicts(docs: DataFrame, min_docs: int = 100) -> DataFrame:
+    return rows.groupBy("lang", "source", "m.metric", "m.bucket").agg(F.count("*").alias("n"))
+
+
+def _merged(sketch: DataFrame, by: list[str], docs: str, entries: str) -> DataFrame:
+    """(by..., metric, docs, entries): merged sketches; a sketch has as many
+    entries as its metric has buckets, whatever the number of documents."""
+    return (sketch.groupBy(*by, "metric", "bucket").agg(F.sum("n").cast("double").alias("n"))
+            .groupBy(*by, "metric").agg(F.sum("n").alias(docs), F.array_sort(
+                F.collect_list(F.struct("bucket", "n"))).alias(entries)))
+
+
+def _with_prior(entries: str, prior: str, prior_docs: str) -> Column:
+    """A sketch plus another that is scaled to ``PRIOR`` documents."""
+    scaled = F.transform(prior, lambda e: F.struct(
+        e["bucket"].alias("bucket"), (e["n"] * (F.lit(PRIOR) / F.col(prior_docs))).alias("n")))
+    return F.array_sort(F.concat(entries, scaled))
+
+
+def _fences(entries: Column, docs: Column) -> Column:
+    """struct(low, high) from the quartiles of sorted entries of ``docs`` in all."""
+    shares = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
+    start = F.struct(F.lit(0.0).alias("n"), *[F.lit(None).cast("int").alias(q) for q in shares])
+
+    def step(state: Column, entry: Column) -> Column:
+        n = state["n"] + entry["n"]
+        return F.struct(n.alias("n"), *[F.coalesce(state[q], F.when(n >= docs * share, entry["bucket"]))
+                                        .alias(q) for q, share in shares.items()])
+
+    # Sums of scaled counts may end a rounding short of the last bucket.
+    last = F.element_at(entries, -1)["bucket"]
+
+    def fences(state: Column) -> Column:
+        q1, q2, q3 = (_bucket_value(F.coalesce(state[q], last)) for q in shares)
+        params = F.create_map(*[x for m in METRICS for x in (
+            F.lit(m.name), F.struct(F.lit(m.room).alias("room"), F.lit(m.lower).alias("lower")))])
+        p = params[F.col("metric")]
+
+        def room(distance: Column) -> Column:
+            return F.when(distance > 0, distance * REACH).otherwise(p["room"])
+
+        return F.struct(F.when(p["lower"], q1 - room(q2 - q1)).alias("low"),
+                        (q3 + room(q3 - q2)).alias("high"))
+
+    return F.aggregate(entries, start, step, fences)
+
+
+def _held(fence: Column, bound: Column, factor: float) -> Column:
+    return F.struct(F.greatest(fence["low"], bound["low"] / factor).alias("low"),
+                    F.least(fence["high"], bound["high"] * factor).alias("high"))
+
+
+def thresholds(measured: DataFrame) -> DataFrame:
+    """(lang, source, limits): the fences of every group with a document that
+    passes the base rules, as a map from metric to (low, high)."""
+    finest = written(sketches(measured), "quality-sketches")
+    corpus = _merged(finest, [], "all_docs", "all_entries") \
+        .withColumn("all_fence", _fences(F.col("all_entries"), F.col("all_docs")))
+    languages = _merged(finest, ["lang"], "lang_docs", "lang_entries").join(written(corpus, "quality-corpus"), "metric")
+    languages = languages.withColumn("lang_fence", _held(
+        _fences(_with_prior("lang_entries", "all_entries", "all_docs"), F.col("lang_docs") + PRIOR),
+        F.col("all_fence"), LANGUAGE_FACTOR)).drop("all_docs", "all_entries", "all_fence")
+    groups = _merged(finest, ["lang", "source"], "docs", "entries") \
+        .join(written(languages, "quality-languages"), ["lang", "metric"])
+    fence = _held(_fences(_with_prior("entries", "lang_entries", "lang_docs"), F.col("docs") + PRIOR),
+                  F.col("lang_fence"), GROUP_FACTOR)
+    return groups.select("lang", "source", "metric", fence.alias("fence")).groupBy("lang", "source").agg(
+        F.map_from_entries(F.collect_list(F.struct("metric", "fence"))).alias("limits"))
+
+
+def verdicts(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, MEASURES, base_failed,
     ``broken`` (names of the metrics beyond a fence) and kept.
 
@@ -222,7 +244,7 @@ def verdicts(docs: DataFrame, min_docs: int = 100) -> DataFrame:
     measured and judged each; an empty table gives an empty result.
     """
     measured = written(measures(docs), "quality-measures")
-    limits = written(thresholds(measured, min_docs), "quality-limits")
+    limits = written(thresholds(measured), "quality-limits")
     judged = measured.select("*", _group("lang").alias("_lang"), _group("source").alias("_source")) \
         .join(limits.withColumnsRenamed({"lang": "_lang", "source": "_source"}),
               ["_lang", "_source"], "left")
@@ -238,10 +260,12 @@ def verdicts(docs: DataFrame, min_docs: int = 100) -> DataFrame:
         .withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0))
 
 
-def keep_good(docs: DataFrame, min_docs: int = 100) -> DataFrame:
-    """The rows of ``docs`` that pass, with all their columns."""
+def keep_good(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that pass, with all their columns, which may have
+    any names; null and empty texts go, repeated rows are judged alike, an
+    empty table stays empty."""
     # A verdict depends on text, language and source only, so equal rows agree.
-    passed = written(verdicts(docs, min_docs).where("kept").groupBy(
+    passed = written(verdicts(docs).where("kept").groupBy(
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
         F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(F.lit(1).alias("_one")),
         "quality-passed")

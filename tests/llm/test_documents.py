@@ -1,5 +1,7 @@
 """Operators on documents against brute force on the odd cases."""
 
+import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -55,27 +57,95 @@ def test_quality_measures(odd_docs, no_docs):
     assert quality.verdicts(no_docs).count() == 0
 
 
-def test_quality_fences_adapt_to_the_group(spark):
-    rows = [(i, prose(i, 60), "en", "plain", 0) for i in range(150)]
-    rows += [(1000 + i, prose(i, 60).replace(" ", " # "), "en", "code", 0) for i in range(150)]
-    rows += [(2000, prose(7, 60).replace(" ", " # "), "en", "plain", 0)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
-                                       "n_chars long")
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def made_of(seed, n, low, high, mark=""):
+    """``n`` words of ``low`` to ``high`` letters, each with a ``mark``."""
+    r = random.Random(seed)
+    return " ".join("".join(r.choices("abcdefghij", k=r.randint(low, high))) + mark for _ in range(n))
+
+
+def test_quality_fences_differ_as_the_sources_do(spark):
+    sizes = {"brief": (2, 4), "usual": (4, 7), "long": (7, 12)}
+    rows = [(1000 * k + i, made_of(1000 * k + i, 80, *size), "en", name, 0)
+            for k, (name, size) in enumerate(sizes.items()) for i in range(300)]
+    rows += [(9000 + k, made_of(9000, 80, 7, 9), "en", name, 0) for k, name in enumerate(sizes)]
+    docs = spark.createDataFrame(rows, DOCS)
+    high = {r["source"][1:]: r["limits"]["word_length"]["high"]
+            for r in quality.thresholds(quality.measures(docs)).collect()}
+    assert high["brief"] < high["usual"] < high["long"]
     kept = {r["doc_id"] for r in quality.keep_good(docs).collect()}
-    assert kept == {r[0] for r in rows} - {2000}
-
-
-def test_quality_thresholds_match_direct_quantiles(spark):
-    rows = [(i, prose(i, 40 + i), "en", "s", 0) for i in range(200)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, "
-                                       "n_chars long")
-    fence = {r["metric"]: r for r in quality.fences(quality.sketches(quality.measures(docs)))
-             .where("source is not null").collect()}["word_length"]
-    values = sorted(base_measures(t)[1] / base_measures(t)[0] for _, t, *_ in rows)
-    q1, q3 = values[49], values[149]
-    room = 4 * max(q3 - q1, 0.75)
-    assert fence["low"] == pytest.approx(q1 - room, abs=0.2)
-    assert fence["high"] == pytest.approx(q3 + room, abs=0.2)
+    assert kept >= {r[0] for r in rows if r[0] < 9000} and 9002 in kept and 9000 not in kept
+
+
+@pytest.mark.parametrize("n", [99, 100, 101])
+def test_quality_junk_source_cannot_open_its_fence(spark, n):
+    rows = [(i, prose(i, 60), "en", "plain", 0) for i in range(400)]
+    rows += [(1000 + i, prose(i, 60).replace(" ", " # "), "en", "junk", 0) for i in range(n)]
+    kept = {r["doc_id"] for r in quality.keep_good(spark.createDataFrame(rows, DOCS)).collect()}
+    assert kept == set(range(400))
+
+
+def plain_limits(rows):
+    """(low, high) by (lang, source, metric), from lists of buckets."""
+    def bucket(v):
+        return math.ceil(math.log(v) / quality._GAMMA) if v > 0 else quality._ZERO
+
+    def value(b):
+        return 0.0 if b == quality._ZERO else math.exp((b - 0.5) * quality._GAMMA)
+
+    def fences(metric, own, prior):
+        entries = sorted([(b, float(n)) for b, n in own.items()]
+                         + [(b, n * (quality.PRIOR / sum(prior.values()))) for b, n in (prior or {}).items()])
+        docs, found = float(sum(own.values())) + (quality.PRIOR if prior else 0), {}
+        upto = 0.0
+        for b, n in entries:
+            upto += n
+            for q in (0.25, 0.5, 0.75):
+                if upto >= docs * q:
+                    found.setdefault(q, value(b))
+        q1, q2, q3 = (found[q] for q in (0.25, 0.5, 0.75))
+        up = (q3 - q2) * quality.REACH if q3 > q2 else metric.room
+        down = (q2 - q1) * quality.REACH if q2 > q1 else metric.room
+        return (q1 - down if metric.lower else -math.inf), q3 + up
+
+    def held(fence, bound, factor):
+        return max(fence[0], bound[0] / factor), min(fence[1], bound[1] * factor)
+
+    out = {}
+    for m in quality.METRICS:
+        values = [(r["lang"], r["source"], bucket(eval(m.value, {"greatest": max}, r))) for r in rows
+                  if not (r["n_words"] < 20 or 100 * r["n_repeat_words"] > 30 * r["n_words"])]
+        every = Counter(b for *_, b in values)
+        corpus = fences(m, every, None)
+        for lang in {v[0] for v in values}:
+            own = Counter(b for x, _, b in values if x == lang)
+            of_lang = held(fences(m, own, every), corpus, quality.LANGUAGE_FACTOR)
+            for source in {v[1] for v in values if v[0] == lang}:
+                group = Counter(b for x, y, b in values if (x, y) == (lang, source))
+                out[lang, source, m.name] = held(fences(m, group, own), of_lang, quality.GROUP_FACTOR)
+    return out
+
+
+def test_quality_verdicts_match_plain_quantiles(spark, odd_docs):
+    r = random.Random(3)
+    rows = []
+    for i in range(600):
+        text = made_of(i, r.randint(15, 90), *r.choice([(2, 5), (4, 7), (6, 9)]))
+        if r.random() < 0.05:
+            text = text.replace(" ", r.choice([" # ", " a a a ", " LOUD "]))
+        rows.append((i, text, r.choice(["en", "de", None]), r.choice(["a", "a", "a", "b", None]), 0))
+    docs = spark.createDataFrame(rows, DOCS).unionByName(odd_docs.select("doc_id", "text", "lang", "source", "n_chars"))
+    found = [x.asDict() for x in quality.verdicts(docs).collect()]
+    limits = plain_limits(found)
+    for x in found:
+        values = {m.name: eval(m.value, {"greatest": max}, x) for m in quality.METRICS} if x["n_words"] else {}
+        broken = [] if x["base_failed"] else [
+            m.name for m in quality.METRICS
+            if not limits[x["lang"], x["source"], m.name][0] <= values[m.name] <= limits[x["lang"], x["source"], m.name][1]]
+        assert x["broken"] == broken and x["kept"] == (not x["base_failed"] and not broken)
+    assert {b for x in found for b in x["broken"]} >= {"symbols", "stutter"}
 
 
 def test_quality_keeps_columns_and_repeated_rows(odd_docs):
