@@ -2,11 +2,12 @@
 
 The words of all license templates form a small fixed vocabulary.  One pass
 over the files counts in how many of them each vocabulary word occurs.  In each
-file the words of highest inverse document frequency among those it holds of a
-template, and the rarest word of its key phrase, are its anchors: their
-positions minus their positions in the template propose starts.  A start is
-kept where the mandatory key phrases stand word by word and at least half of
-the template's words stand in their places.  A file that lacks a word of a key
+file the ``ANCHORS`` words of highest inverse document frequency among those it
+holds of a template are its anchors: their positions minus their positions in
+the template propose starts, which are intersected, give or take the template's
+slack: a start that a rarer anchor proposes too (or the only anchor's, where no
+more are held) is kept where the mandatory key phrases stand word by word and at least
+half of the template's words stand in their places.  A file that lacks a word of a key
 phrase cannot hold the template and is not looked at further.
 Everything after the counts happens inside a file's own row: no shuffle.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-ANCHORS = 3
+ANCHORS = 8
 MIN_SHARE = 0.5
 
 
@@ -137,16 +138,32 @@ def _starts(template: Template, order: list[str]) -> Column:
     postings = defaultdict(list)
     for i, w in enumerate(template.words):
         postings[w].append(i)
-    rarest = F.lit(next(w for w in order if w in needed))
-    # An exact phrase holds its rarest word.  Every start has its key phrase's
-    # rarest word too; the file's own rare words add starts beside it.
-    own = F.array(rarest) if template.slack == 0 else F.array_union(F.slice(
-        F.filter(_literals(order), lambda w: F.array_contains("held", w)), 1, ANCHORS), F.array(rarest))
     places = F.create_map(*[c for w in order for c in (F.lit(w), F.array(*map(F.lit, postings[w])))])
-    spots = F.filter(F.transform("words", lambda w, i: F.when(
-        F.array_contains(own, w), F.struct(w.alias("word"), i.alias("at")))), lambda s: s.isNotNull())
-    starts = F.array_distinct(F.flatten(F.transform(spots, lambda s: F.transform(
-        F.element_at(places, s["word"]), lambda i: s["at"] - i))))
+
+    def proposed(word: Column) -> Column:
+        """Starts at which ``word`` would stand in place."""
+        at = F.filter(F.transform("words", lambda w, i: F.when(w == word, i)), lambda i: i.isNotNull())
+        return F.array_distinct(F.flatten(F.transform(at, lambda a: F.transform(
+            F.element_at(places, word), lambda i: a - i))))
+
+    if template.slack == 0:
+        # An exact phrase holds its rarest word.
+        starts = proposed(F.lit(next(w for w in order if w in needed)))
+    else:
+        # The file's own rare words, of highest inverse document frequency: a
+        # start counts if a rarer one has proposed it too, or if there is one
+        # word only.
+        own = F.slice(F.filter(_literals(order), lambda w: F.array_contains("held", w)), 1, ANCHORS)
+
+        def agree(state: Column, word: Column) -> Column:
+            found = proposed(word)
+            around = F.flatten(F.transform(found, lambda s: F.sequence(s - template.slack, s + template.slack)))
+            return F.struct(F.array_union(state["around"], around).alias("around"),
+                            F.array_union(state["agreed"], F.array_intersect(found, state["around"])).alias("agreed"))
+
+        both = F.aggregate(own, F.struct(nothing.alias("around"), nothing.alias("agreed")), agree,
+                           lambda state: state["agreed"])
+        starts = F.when(F.size(own) == 1, proposed(F.get(own, F.lit(0)))).otherwise(both)
 
     def verified(found: Column, at: int, phrase: list[str]) -> Column:
         return F.filter(found, lambda s: _stands_at(phrase, s + at, template.slack))
