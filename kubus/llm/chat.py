@@ -85,14 +85,33 @@ def chosen(messages: DataFrame, found: DataFrame, branches: int = 1) -> DataFram
         .where(F.col("branch") <= branches)
 
 
-def formatted(messages: DataFrame, branches: int = 1) -> DataFrame:
+def one_per_node(messages: DataFrame) -> DataFrame:
+    """Messages with one row per conversation and node: of several the one
+    whose parent, role, text, score and conv_id are least (nulls first)."""
+    rest = F.struct("parent", "role", "text", "score", "conv_id")
+    return messages.groupBy("conv", "node").agg(F.min(rest).alias("m")).select(
+        "conv", "m.conv_id", "node", "m.parent", "m.role", "m.text", "m.score")
+
+
+def formatted(messages: DataFrame, branches: int = 1, unique: bool = False) -> DataFrame:
     """(conv_id, branch, formatted, mask): one row per chosen path.
 
     ``mask`` has a (skip, take) pair per turn in code points: skip so many
     after the last one, then so many are trained on.  A path is one output
     string and has to fit into a row.
+
+    A null ``conv`` is a conversation of its own; null roles and texts are
+    empty; rows that repeat a node count once (see ``one_per_node``; a caller
+    that knows nodes are ``unique`` saves that pass); messages without a node
+    are left out, as nothing can follow or name them; ties between branches go
+    to the least leaf; an empty table gives an empty result; other columns are
+    not read.
     """
-    messages = written(messages, "chat-messages")
+    messages = messages.where("node is not null").select(
+        F.coalesce(F.concat(F.lit("="), F.col("conv").cast("string")), F.lit("")).alias("conv"),
+        "conv_id", "node", "parent", F.coalesce("role", F.lit("")).alias("role"),
+        F.coalesce("text", F.lit("")).alias("text"), "score")
+    messages = written(messages if unique else one_per_node(messages), "chat-messages")
     found = paths(messages)
     rows = found.join(chosen(messages, found, branches), ["conv", "leaf"]) \
         .join(messages, ["conv", "node"])

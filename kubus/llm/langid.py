@@ -36,6 +36,11 @@ _TABLE = bytes(b if b > 127 else ord(chr(b).lower()) if chr(b).isalpha() else 32
                for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Has it a character of a letter category?  Number signs are none."""
+    return any(m.group().isalpha() for m in _LETTER.finditer(text))
+
+
 def trigram_blocks(text: str) -> Iterator[np.ndarray]:
     """Bucket numbers of a text's byte trigrams over its words."""
     for words in word_blocks(text.encode("utf-8", "replace").translate(_TABLE)):
@@ -95,7 +100,7 @@ class Model:
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """(language, score, ambiguous); the score is the best codeword's
         share of the inverse losses."""
-        if not text or not self.languages or not _LETTER.search(text):
+        if not text or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0, False
         if len(self.languages) == 1:
             return self.languages[0], 1.0, False
@@ -122,13 +127,19 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(labelled: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Model of the non-null ``lang`` values of ``labelled`` (text, lang)."""
+    """Model of the non-null ``lang`` values of ``labelled`` (text, lang and,
+    if it has one, doc_id, which only keeps copies of a text apart in the draw).
+
+    The model has languages x ``BUCKETS`` counts; a language of which no row is
+    drawn cannot be predicted.
+    """
     ship(labelled.sparkSession)
-    rows = labelled.select(F.col("lang").cast("string").alias("lang"), "text") \
+    drawn = [c for c in ("doc_id", "text") if c in labelled.columns]
+    rows = labelled.select(F.col("lang").cast("string").alias("lang"), *drawn) \
         .where("lang is not null and text is not null")
     sizes = written(rows.groupBy("lang").agg(F.count("*").alias("docs")), "langid-sizes")
-    # A hash of the text picks about sample_docs of each language's rows.
-    unit = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    # A hash of id and text picks about sample_docs of each language's rows.
+    unit = F.pmod(F.xxhash64(*drawn), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = rows.join(sizes, "lang").where(unit * F.col("docs") < sample_docs)
     counted = sample.select("lang", "text").mapInArrow(_counts, "lang string, bucket long, n long") \
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
@@ -161,7 +172,7 @@ def identify(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     are not read.
     """
     held_out = F.coalesce(crc32_mod("doc_id", 3) == 1, F.lit(False))
-    model = learn(docs.where(~held_out).select("text", "lang"), sample_docs)
+    model = learn(docs.where(~held_out).select("doc_id", "text", "lang"), sample_docs)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"),
                        "text").mapInArrow(
         partial(_predict, model=model),

@@ -36,7 +36,7 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = chat.with_control_example(spark, read_table(spark, sf_dir, "conversations"))
-    output = written(chat.formatted(chat.messages_from_turns(turns)), "chat-formatted")
+    output = written(chat.formatted(chat.messages_from_turns(turns), unique=True), "chat-formatted")
     return chat.digests(output)
 
 
