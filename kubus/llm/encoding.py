@@ -14,11 +14,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import cache
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-from tokenizers import Tokenizer, normalizers
+from tokenizers import Tokenizer
 
 ID_TYPE = np.dtype("<u4")
 # White space as the tokenizers' own patterns see it.
@@ -84,8 +83,8 @@ class Encoder:
     ``slice_bytes`` how much text is held as pieces at once.
     """
 
-    def __init__(self, path: str, kind: str, cache_size: int = 400_000,
-                 slice_bytes: int = 1 << 22) -> None:
+    def __init__(self, path: str, kind: str, cache_size: int = 250_000,
+                 slice_bytes: int = 1 << 20) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.model._resize_cache(0)  # every piece reaches the library once
         # Strings of added tokens are cut out before anything else, as the library does.
@@ -93,38 +92,30 @@ class Encoder:
         if any(t.lstrip or t.rstrip or t.single_word or t.normalized or re.search(r"\s", t.content)
                for t in added):
             raise ValueError("added tokens must be plain strings without white space")
-        self.added = {t.content for t in added}
         self.cut_added = re.compile("(" + "|".join(re.escape(t.content) for t in added) + ")")
         self.find_added = re.compile("|".join(re.escape(t.content) for t in added).encode())
         self.pieces, self.separator = _KINDS[kind]
         self.bare = kind == "dropped"  # white space is no part of a piece
-        # White space apart, the normaliser of this kind only lower-cases ASCII.
-        self.plain = self.tokenizer
-        if self.bare:
-            self.plain = Tokenizer.from_file(path)
-            self.plain.model._resize_cache(0)
-            self.plain.normalizer = normalizers.Sequence([])
-        self.mark = self._encode(self.tokenizer, [self.separator])[0]
+        self.mark = self._encode([self.separator])[0]
         if len(self.mark) != 1:
             raise ValueError("the separator must be one token")
         self.cache_size, self.slice_bytes = cache_size, slice_bytes
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
-    @staticmethod
-    def _encode(tokenizer: Tokenizer, texts: list[str]) -> list[np.ndarray]:
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, ID_TYPE)
-                for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_pieces(self, tokenizer: Tokenizer, texts: list[str]) -> Iterator[tuple[str, bytes]]:
+    def _encode_pieces(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
         # A piece that could merge with the separator is encoded by itself.
         sign = self.separator.strip(" ")
         alone = [t for t in texts if sign in t or not t or t.isspace()]
-        yield from zip(alone, [ids.tobytes() for ids in self._encode(tokenizer, alone)])
+        yield from zip(alone, [ids.tobytes() for ids in self._encode(alone)])
         if alone:
             texts = [t for t in texts if not (sign in t or not t or t.isspace())]
         groups = [texts[i:i + _BATCH] for i in range(0, len(texts), _BATCH)]
-        for group, ids in zip(groups, self._encode(tokenizer, [self.separator.join(g) for g in groups])):
+        for group, ids in zip(groups, self._encode([self.separator.join(g) for g in groups])):
             cuts = np.flatnonzero(ids == self.mark[0])
             if len(cuts) != len(group) - 1:
                 raise AssertionError("a piece holds the separator's token")
@@ -143,11 +134,7 @@ class Encoder:
         texts = [p.decode() for p in raw]
         if self.bare:
             texts = [t.strip(" \t\n\v\f\r") for t in texts]
-            texts = [t.lower() if t.isascii() and t not in self.added else t for t in texts]
-        plain = [t.isascii() and t not in self.added for t in texts]
-        ids = dict(self._encode_pieces(self.plain, list(dict.fromkeys(compress(texts, plain)))))
-        others = dict.fromkeys(t for t, p in zip(texts, plain) if not p)
-        ids.update(self._encode_pieces(self.tokenizer, list(others)))
+        ids = dict(self._encode_pieces(list(dict.fromkeys(texts))))
         self.known.update(zip(raw, map(ids.__getitem__, texts)))
 
     def _look_up(self, pieces: list[bytes]) -> list[bytes]:
@@ -180,6 +167,8 @@ class Encoder:
         sizes = [0 if i in odd else len(part) for i, part in enumerate(parts)]
         texts = np.cumsum([0, *sizes])[:-1]
         out = [b""] * len(parts)
+        if self.bare:  # its normaliser lower-cases, so the forms of a word are one piece
+            buffer = buffer.lower()
         if buffer:
             begins = _begins(np.frombuffer(buffer, np.uint8), texts)
             offsets = np.append(begins, len(buffer)).astype(np.int32)
@@ -187,12 +176,14 @@ class Encoder:
                 None, pa.py_buffer(offsets), pa.py_buffer(buffer)]).dictionary_encode()
             found = self._look_up(pieces.dictionary.to_pylist())
             which = pieces.indices.to_numpy()
-            counts = np.fromiter(map(len, found), np.int64, len(found)) // 4
-            at = (np.cumsum(counts) - counts)[which]
+            counts = np.fromiter(map(len, found), np.int32, len(found)) >> 2
+            at = (np.cumsum(counts, dtype=np.int32) - counts)[which]
             counts = counts[which]
-            ends = np.cumsum(counts)
-            ids = np.frombuffer(b"".join(found), ID_TYPE)[
-                np.repeat(at - ends + counts, counts) + np.arange(ends[-1])].tobytes()
+            ends = np.cumsum(counts, dtype=np.int32)
+            # The place of every id of the slice among the distinct pieces' ids.
+            place = np.repeat(at - ends + counts, counts)
+            place += np.arange(len(place), dtype=np.int32)
+            ids = np.frombuffer(b"".join(found), ID_TYPE)[place].tobytes()
             # Ids before each text: those of the pieces before its first one.
             upto = np.append(0, ends)[np.searchsorted(begins, np.append(texts, len(buffer)))] * 4
             out = [ids[i:j] for i, j in zip(upto[:-1].tolist(), upto[1:].tolist())]
@@ -235,6 +226,6 @@ class Encoder:
 
 
 @cache
-def encoder(path: str, kind: str) -> Encoder:
+def encoder(path: str, kind: str, cache_size: int = 250_000) -> Encoder:
     """One encoder per worker process, tokenizer file and kind."""
-    return Encoder(path, kind)
+    return Encoder(path, kind, cache_size)

@@ -104,10 +104,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, kind: str, end_id
     end, code = np.array([end_id], ID_TYPE).tobytes(), encoder(tokenizer, kind)
     size = capacity * ID_TYPE.itemsize
     for batch in batches:
-        for at in range(0, batch.num_rows, 1024):
-            some = code.encode(batch.column(1).slice(at, 1024).to_pylist())
+        for at in range(0, batch.num_rows, 512):
+            some = code.encode(batch.column(1).slice(at, 512).to_pylist())
             rows: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).slice(at, 1024).to_pylist(), some):
+            for doc_id, ids in zip(batch.column(0).slice(at, 512).to_pylist(), some):
                 ids += end
                 for piece, cut in enumerate(range(0, len(ids), size)):
                     own = ids[cut:cut + size]

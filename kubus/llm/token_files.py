@@ -127,20 +127,23 @@ class FrameReader:
         return {int(self.ids[i]): ids for i, ids in self.documents(wanted.tolist())}
 
 
+CACHED_PIECES = 500_000  # this job's workers hold little else
+
+
 def _write_shard(batches: Iterator[pa.RecordBatch], folder: str, tokenizer: str, kind: str,
                  end_id: int) -> Iterator[pa.RecordBatch]:
     task = TaskContext.get()
     shard = task.partitionId()
     files, base = filesystem(folder)
     temporary = f"{base}/shard-{shard:07d}-{task.taskAttemptId()}.open"
-    end, code = np.array([end_id], ID_TYPE).tobytes(), encoder(tokenizer, kind)
+    end, code = np.array([end_id], ID_TYPE).tobytes(), encoder(tokenizer, kind, CACHED_PIECES)
     with files.open_output_stream(temporary) as out:
         writer = FrameWriter(out)
         for batch in batches:
             texts = batch.column(1)
-            for at in range(0, batch.num_rows, 512):
-                some = code.encode(texts.slice(at, 512).to_pylist())
-                for doc_id, ids in zip(batch.column(0).slice(at, 512).to_pylist(), some):
+            for at in range(0, batch.num_rows, 1024):
+                some = code.encode(texts.slice(at, 1024).to_pylist())
+                for doc_id, ids in zip(batch.column(0).slice(at, 1024).to_pylist(), some):
                     writer.add(doc_id, ids + end)
         writer.close()
     name = f"shard-{shard:07d}.zst"
