@@ -76,9 +76,9 @@ def registry() -> dict[str, str]:
     q["second_load_calendar"] = O.dim_date_sql()
     q["second_load_rejects"] = (
         f"{O.ctes(**load | {'sales_text': O.LOCATED_TEXT_SQL})}\n" + "\nUNION ALL\n".join(
-            f"SELECT reject_reason, '{batch}' AS load_batch, COUNT(*) AS rows FROM classified "
+            f"SELECT reject_reason, CAST({batch} AS INTEGER) AS load_batch, COUNT(*) AS rows FROM classified "
             f"WHERE reject_reason IS NOT NULL AND CAST(source_file[3:] AS INTEGER) {years} {SECOND_YEAR} "
-            "GROUP BY reject_reason" for batch, years in (("full", "<="), ("second", ">="))))
+            "GROUP BY reject_reason" for batch, years in ((0, "<="), (1, ">="))))
     q["shop_keys_reload"] = f"""{O.ctes(shops=O.DIM_SHOP_SQL)},
 firsts AS (SELECT city_name, shop_name, row_number() OVER (ORDER BY city_name, shop_name) AS first_number
            FROM (SELECT DISTINCT city_name, shop_name FROM shops WHERE shop_id % 2 = 0)),

@@ -32,7 +32,7 @@ from ..functions.dates import year_range_predicate
 from ..model import STAR_COLUMNS
 from ..operators.facts import accepted, rejected
 from ..sources.tables import read_table
-from .warehouse import REJECT_YEAR, SALES_SCHEMA, SALES_TABLE
+from .warehouse import SALES_SCHEMA, SALES_TABLE
 
 WORLD = "WORLD"
 FACT_COLUMNS = ("date_key", "shop_key", "product_key", "quantity_sold", "revenue")
@@ -202,14 +202,14 @@ class WarehouseStar:
         return self.spark.read.schema(SALES_SCHEMA).parquet(os.path.join(self.root, SALES_TABLE))
 
     def fact(self, year: int | None = None) -> DataFrame:
-        # Partition pruning: rejects are a partition of their own.
-        keep = F.col("sale_year") != REJECT_YEAR if year is None else F.col("sale_year") == year
+        # Partition pruning: rejects are partitions of their own, 0 and below.
+        keep = F.col("sale_year") > 0 if year is None else F.col("sale_year") == year
         return accepted(self.sales().where(keep))
 
     def rejects(self) -> DataFrame:
-        """Rejected lines of all batches, with file and line and the batch."""
-        lines = self.sales().where(F.col("sale_year") == REJECT_YEAR)
-        return rejected(lines, "load_batch")
+        """Rejected lines of all loads, with file, line and the load's number."""
+        lines = self.sales().where(F.col("sale_year") <= 0)
+        return rejected(lines.withColumn("load_batch", -F.col("sale_year")), "load_batch")
 
     def frame(self, year: int | None = None) -> DataFrame:
         fact = self.fact(year)

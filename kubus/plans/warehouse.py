@@ -31,15 +31,13 @@ from ..operators import dims as D
 from ..operators import facts as FT
 
 SALES_TABLE = "sales"
-REJECT_YEAR = 0  # the partition of rejected lines
-ACCEPTED_BATCH = "all"  # accepted rows belong to their year, whatever batch they came with
-FULL_LOAD = "full"
+FULL_LOAD = 0  # the number of the first load; rejects lie in the partition of minus the load's number
 # An empty load writes no file to read the schema from.
 SALES_SCHEMA = ("Date string, Shop string, Article string, Sold string, Revenue string, "
                 "source_file string, source_line bigint, "
                 "sale_date date, sale_date_key int, shop_key bigint, product_key bigint, "
                 "sold_quantity int, sale_revenue decimal(10,2), reject_reason string, "
-                "sale_year int, load_batch string")
+                "sale_year int")
 OTHER_PERIOD = "other_period"  # a valid line of a year the batch is not for
 
 
@@ -60,7 +58,7 @@ class LoadReport:
                                      "outcome string, rows bigint")
 
 
-def write_classified(classified: DataFrame, path: str, batch: str = FULL_LOAD,
+def write_classified(classified: DataFrame, path: str, batch: int = FULL_LOAD,
                      replace_all: bool = True) -> LoadReport:
     """Write classified lines; with ``replace_all=False`` only the partitions
     that get rows are replaced."""
@@ -68,18 +66,17 @@ def write_classified(classified: DataFrame, path: str, batch: str = FULL_LOAD,
         if name not in classified.columns:
             classified = classified.withColumn(name, F.lit(None).cast(kind))
     ok = F.col("reject_reason").isNull()
-    rows = classified.withColumns({
-        "sale_year": F.when(ok, F.expr("CAST(sale_date_key DIV 10000 AS INT)")).otherwise(REJECT_YEAR),
-        "load_batch": F.when(ok, F.lit(ACCEPTED_BATCH)).otherwise(F.lit(batch))})
+    rows = classified.withColumn("sale_year", F.when(
+        ok, F.expr("CAST(sale_date_key DIV 10000 AS INT)")).otherwise(F.lit(-batch)))
     # Observed after the exchange, in the tasks that write: a map stage that is
     # run again after a lost executor would be counted twice.
     seen = Observation(f"load-{uuid.uuid4().hex}")
     reasons = (*FT.REASONS, OTHER_PERIOD)
-    rows = rows.hint("rebalance", "sale_year", "load_batch") \
-        .sortWithinPartitions("sale_year", "load_batch", "sale_date_key") \
+    rows = rows.hint("rebalance", "sale_year") \
+        .sortWithinPartitions("sale_year", "sale_date_key") \
         .observe(seen, F.count_if(ok).alias("accepted"),
                  *[F.count_if(F.col("reject_reason") == r).alias(r) for r in reasons])
-    (rows.write.mode("overwrite").partitionBy("sale_year", "load_batch")
+    (rows.write.mode("overwrite").partitionBy("sale_year")
      .option("partitionOverwriteMode", "static" if replace_all else "dynamic").parquet(path))
     counts = seen.get
     return LoadReport(counts["accepted"], {r: counts[r] for r in reasons if counts[r]})
@@ -105,16 +102,16 @@ def build_warehouse(out: str, dim_date: DataFrame, dim_shop: DataFrame,
                             os.path.join(out, SALES_TABLE))
 
 
-def load_period(out: str, sales_text: DataFrame, years: list[int], batch: str) -> LoadReport:
+def load_period(out: str, sales_text: DataFrame, years: list[int], batch: int) -> LoadReport:
     """Load a batch of ``years`` into a warehouse that exists.
 
     The fact rows of these years that get new ones are replaced, and the
-    rejects of an earlier load under the same ``batch`` name.  A valid line of
+    rejects of an earlier load under the same ``batch`` number (from 1).  A valid line of
     another year is rejected as ``other_period``: a stray line must not replace
     a year.  A year or batch without any new row keeps its old ones.
     """
-    if not years or batch in (ACCEPTED_BATCH, ""):
-        raise ValueError(f"name the batch's years and the batch itself (not {ACCEPTED_BATCH!r})")
+    if not years or batch <= FULL_LOAD:
+        raise ValueError("name the batch's years and number it from 1")
     classified = _classified(sales_text.sparkSession, out, sales_text)
     other = F.col("reject_reason").isNull() & ~F.expr("sale_date_key DIV 10000").isin(*years)
     classified = classified.withColumn("reject_reason", F.when(other, OTHER_PERIOD)

@@ -157,8 +157,7 @@ def second_load(spark: SparkSession, sf_dir: str) -> WarehouseStar:
                     text.where(file_year <= SECOND_YEAR))
     for _ in range(2):  # a batch may be loaded again
         append_dimension(days.where(year >= SECOND_YEAR), f"{out}/dim_date", "date_key")
-        load_period(out, text.where(file_year >= SECOND_YEAR), list(range(SECOND_YEAR, LAST_YEAR + 1)),
-                    "second")
+        load_period(out, text.where(file_year >= SECOND_YEAR), list(range(SECOND_YEAR, LAST_YEAR + 1)), batch=1)
     return WarehouseStar(spark, out)
 
 
@@ -201,7 +200,7 @@ def warehouse_footers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.footer_statistics(
         spark, {**names, "fact_sales": f"{w.root}/sales", "rejects": f"{w.root}/sales"},
         {"dim_date": ("full_date",), "fact_sales": ("sale_date_key", "sold_quantity")},
-        {"fact_sales": "sale_year <> 0", "rejects": "sale_year = 0"})
+        {"fact_sales": "sale_year > 0", "rejects": "sale_year <= 0"})
 
 
 def warehouse_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def test_a_period_replaces_its_own_years_only(spark, dims, tmp_path):
     batch = lines(spark, [line("01.05.2020"), line("02.05.2020"), line("01.05.2019"), line("x"),
                           line("03.05.2020", sold="")])
     for _ in range(2):
-        report = W.load_period(out, batch, [2020], "second")
+        report = W.load_period(out, batch, [2020], 1)
         assert (report.accepted, report.rejected) == (2, {W.OTHER_PERIOD: 1, "bad_date": 1, "bad_sold": 1})
         assert sorted(map(tuple, star.fact(2019).collect())) == old[2019]
         assert sorted(r.date_key for r in star.fact(2020).collect()) == [20200501, 20200502]
@@ -68,9 +68,9 @@ def test_a_period_replaces_its_own_years_only(spark, dims, tmp_path):
         gone = set(before) - set(after)
         assert gone and all("sale_year=2020" in f for f in gone)
         assert all(after[f] == before[f] for f in before if f in after)
-    assert {r.load_batch for r in star.rejects().collect()} == {W.FULL_LOAD, "second"}
+    assert {r.load_batch for r in star.rejects().collect()} == {W.FULL_LOAD, 1}
     with pytest.raises(ValueError):
-        W.load_period(out, batch, [], "second")
+        W.load_period(out, batch, [], 1)
 
 
 def test_append_to_a_dimension_that_exists(spark, tmp_path):
