@@ -1,11 +1,10 @@
 """Secret scans with one combined deterministic automaton.
 
-All rules' least forms (what every finding contains) are compiled into one
-minimal automaton.  One pass over a text's bytes tells
-which rules can have findings there at all; a text without any, the usual
-case, is done.  For the rules that answered, an automaton of the rule itself
-finds the leftmost longest, non-overlapping matches, and matches that are too
-short are dropped (they still use up their text).
+The rules themselves are compiled into one minimal automaton.  A single pass
+over a text's bytes, from its end, meets for every rule each start of a match
+together with the longest match's end.  Of these the leftmost, non-overlapping
+ones are taken, and matches that are too short are dropped (they still use up
+their text).
 """
 
 from __future__ import annotations
@@ -18,23 +17,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .automaton import compile_rules
+from .automaton import compile_matcher, compile_scanner
 from .common import ship
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is matched; every match that counts contains ``least``.
-
-    ``least`` is shorter than the shortest finding where counting up to that
-    would multiply the combined automaton's states.  A match counts with
-    ``min_length`` characters or, if ``prefix`` is given, with that many
-    characters after the longest match of ``prefix``.
-    """
+    """A match of ``pattern`` counts with ``min_length`` characters or, if
+    ``prefix`` is given, with that many characters after the longest match of
+    ``prefix``."""
 
     kind: str
     pattern: str
-    least: str
     min_length: int = 0
     prefix: str | None = None
     any_case: bool = False
@@ -42,70 +36,74 @@ class Rule:
 
 # The three base rules.
 _KEY = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
-_VALUE = r"[A-Za-z0-9+/_.=-]"
 BASE_RULES = (
-    Rule("assign", _KEY + _VALUE + "+", _KEY + _VALUE + "{4}", 12, _KEY, any_case=True),
-    Rule("access", "AKIA[A-Z0-9]+", "AKIA[A-Z0-9]{4}", 18),
-    Rule("hex", "[0-9a-f]+", "[0-9a-f]{16}", 16),
+    Rule("assign", _KEY + "[A-Za-z0-9+/_.=-]+", 12, _KEY, any_case=True),
+    Rule("access", "AKIA[A-Z0-9]+", 18),
+    Rule("hex", "[0-9a-f]+", 16),
 )
 
 # Public token shapes.
 MORE_RULES = (
-    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----", "-----BEGIN "),
-    Rule("github", "gh[opsu]_[A-Za-z0-9]+", "gh[opsu]_[A-Za-z0-9]{4}", 34),
-    Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", "xox[abprs]-[A-Za-z0-9-]", 17),
-    Rule("google", "AIza[A-Za-z0-9_-]+", "AIza[A-Za-z0-9_-]{4}", 39),
+    Rule("private_key", "-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("github", "gh[opsu]_[A-Za-z0-9]+", 34),
+    Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", 17),
+    Rule("google", "AIza[A-Za-z0-9_-]+", 39),
 )
 RULES = BASE_RULES + MORE_RULES
 
 
+SETTLE = 1024  # runs of starts of a rule after which its matches are chosen
+
+
 @cache
 def _scanner(rules: tuple[Rule, ...]):
-    """Start rows: of the combined automaton, and per rule of the rule and
-    its prefix.  Built once per worker process."""
-    def start(patterns, anywhere):
-        found = compile_rules(patterns, anywhere)
-        return found.rows()[found.start]
-
-    combined = start([(r.least, r.any_case) for r in rules], True)
-    exact = [start([(r.pattern, r.any_case)], False) for r in rules]
-    prefix = [r.prefix and start([(r.prefix, r.any_case)], False) for r in rules]
-    return combined, exact, prefix
-
-
-def candidates(data: bytes, row: list) -> set[int]:
-    """Rules that can have findings in ``data``: one pass, one lookup a byte."""
-    found: set[int] = set()
-    for b in data:
-        row = row[b]
-        if row[256]:
-            found |= row[256]
-    return found
-
-
-def _longest(data: bytes, at: int, row: list) -> int:
-    """End of the longest match that begins at ``at``, or -1."""
-    end = -1
-    for i in range(at, len(data)):
-        row = row[data[i]]
-        if row is None:
-            break
-        if row[256]:
-            end = i + 1
-    return end
-
-
-def _matches(data: bytes, rule: Rule, row: list, prefix: list | None) -> Iterator[tuple[int, int]]:
-    at, n = 0, len(data)
-    while at < n:
-        end = _longest(data, at, row) if row[data[at]] is not None else -1
-        if end < 0:
-            at += 1
-            continue
-        start = _longest(data, at, prefix) if prefix is not None else at
-        if end - start >= rule.min_length:
-            yield at, end
-        at = end
+    """Start row of the combined automaton, and per rule with a prefix that
+    prefix's automaton.  Built once per worker process."""
+    combined = compile_scanner([(r.pattern, r.any_case) for r in rules])
+    return combined.rows()[0], [r.prefix and compile_matcher(r.prefix, r.any_case) for r in rules]
+
+
+def _chosen(met: list[list[int]]) -> list[tuple[int, int]]:
+    """Leftmost, non-overlapping matches, from the right, of all met ones:
+    runs (first start, end, last start) of neighbouring starts with one end."""
+    out, at = [], 0
+    for first, end, last in reversed(met):
+        start = max(first, at)
+        if start <= last:
+            out.append((start, end))
+            at = end
+    return out[::-1]
+
+
+def matches(data: bytes, row: list, n_rules: int) -> list[list[tuple[int, int]]]:
+    """Per rule its (start, end) in ``data``, leftmost longest, not overlapping:
+    one pass, one lookup a byte.
+
+    Where no match of a rule can reach on to the left, what was met of it to the
+    right is independent of the rest, so long texts are settled on the way.
+    """
+    met: list[list[list[int]]] = [[] for _ in range(n_rules)]
+    found: list[list[tuple[int, int]]] = [[] for _ in range(n_rules)]
+    ends: list[int] = []
+    at = len(data)
+    for byte in reversed(data):
+        row, keep, hits = row[byte]
+        if keep is not None:
+            ends = [at if k < 0 else ends[k] for k in keep]
+        at -= 1
+        if hits is not None:
+            for rule, k in hits:
+                runs = met[rule]
+                if runs and runs[-1][0] == at + 1 and runs[-1][1] == ends[k]:
+                    runs[-1][0] = at
+                else:
+                    runs.append([at, ends[k], at])
+        elif not at % SETTLE:
+            for rule, runs in enumerate(met):
+                if len(runs) > SETTLE and rule not in row[256]:
+                    found[rule] += _chosen(runs)
+                    met[rule] = []
+    return [(older + _chosen(runs))[::-1] for older, runs in zip(found, met)]
 
 
 def spans(text: bytes | None, rules: tuple[Rule, ...] = RULES) -> list[tuple[int, int, str]]:
@@ -113,9 +111,11 @@ def spans(text: bytes | None, rules: tuple[Rule, ...] = RULES) -> list[tuple[int
     start and then in the order of the rules."""
     if not text:
         return []
-    combined, exact, prefix = _scanner(rules)
-    found = [(start, k, end) for k in sorted(candidates(text, combined))
-             for start, end in _matches(text, rules[k], exact[k], prefix[k])]
+    row, prefixes = _scanner(rules)
+    met = matches(text, row, len(rules))
+    found = [(start, k, end)
+             for k, (rule, prefix) in enumerate(zip(rules, prefixes)) for start, end in met[k]
+             if end - (prefix.longest(text, start) if prefix else start) >= rule.min_length]
     out, byte, point = [], 0, 0
     for start, k, end in sorted(found):
         point += len(text[byte:start].decode())  # matches are ASCII, so cuts are between characters
