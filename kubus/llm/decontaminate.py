@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -56,59 +57,145 @@ _SIGNS = re.compile(r"[^\w]+")
 _CLOSING = "\"')]\u00bb\u201d\u2019"
 _STOPS = frozenset(".!?:")
 _ENDINGS = frozenset(".,;:!?")
+_SPACE = re.compile(rb"[\x20\x09-\x0d]")
 _CACHE = 300_000
+BLOCK = 1 << 16  # bytes of a text that are looked at together
 
 
-class _Vocabulary:
-    """Canonical forms of raw words, remembered per worker process."""
+def _bare(raw: bytes) -> str:
+    """A raw word without the signs around it."""
+    word = raw.decode("utf-8", "replace")
+    # The usual word, alone or before one sign, needs no pattern.
+    bare = word if word.isalpha() else word[:-1] if word[-1] in _ENDINGS else ""
+    if bare.isalpha():
+        return bare
+    return word if word.isalnum() else _EDGES.sub("", word)
+
+
+def _literal(bare: str) -> str:
+    return (bare if bare.isalpha() else _SIGNS.sub("", bare)).lower()
+
+
+def _odd_form(raw: bytes) -> tuple[bytes, bool, bool, bool, bool]:
+    """Literal form; is a number, a unit, a name; ends a sentence: of any word."""
+    word, bare = raw.decode("utf-8", "replace"), _bare(raw)
+    literal = _literal(bare)
+    number = not literal.isalpha() and any(map(str.isdigit, literal))
+    return (literal.encode("utf-8", "replace"), number, literal in UNITS,
+            bare[:1].isupper() and not number,
+            word[-1] in _STOPS or word[-1] in _CLOSING and word.rstrip(_CLOSING)[-1:] in _STOPS)
+
+
+_FACTOR = 0x9FB21C651E98DF25
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the hash's factor and of its inverse modulo 2^64."""
+    return tuple(np.cumprod(np.array([1] + [f] * n, np.uint64))
+                 for f in (_FACTOR, pow(_FACTOR, -1, 1 << 64)))
+
+
+_USUAL_POWERS = _powers(2 * BLOCK)
+
+
+def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of stretches of bytes, in which zero bytes at the end do not
+    count.  They only choose filter bits; the joins compare the words themselves."""
+    up, down = _USUAL_POWERS if len(data) < len(_USUAL_POWERS[0]) else _powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(data * up[:len(data)], out=sums[1:])
+    found = (sums[ends] - sums[starts]) * down[starts]
+    found = (found ^ (found >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return found ^ (found >> np.uint64(29))
+
+
+def _hashes_of(words: list[bytes]) -> np.ndarray:
+    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)))
+    return _hashes(np.frombuffer(b"".join(words), np.uint8), np.concatenate(([0], ends[:-1])), ends)
+
+
+class _OddWords:
+    """Forms of words that are not just ASCII letters, remembered per worker process."""
 
     def __init__(self) -> None:
         self.clear()
 
     def clear(self) -> None:
         self.index: dict[bytes, int] = {}
-        self.bare: list[str] = []
-        # Hash of the literal form; is a number, a unit, a name; ends a sentence.
+        # As _odd_form, the literal form hashed.
         self.columns = (np.zeros(1024, np.uint64), *(np.zeros(1024, bool) for _ in range(4)))
 
-    def lookup(self, words: list[bytes]) -> np.ndarray:
-        found = list(map(self.index.get, words))
-        if None in found:
-            new = list(dict.fromkeys(w for w, i in zip(words, found) if i is None))
-            if len(self.index) + len(new) > _CACHE:
+    def forms(self, words: list[bytes]) -> tuple[np.ndarray, ...]:
+        found = np.fromiter(map(self.index.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(found < 0)
+        if len(missing):
+            unseen = [words[i] for i in missing.tolist()]
+            new = list(dict.fromkeys(unseen))
+            if self.index and len(self.index) + len(new) > _CACHE:
                 self.clear()
-                new = list(dict.fromkeys(words))
+                return self.forms(words)
             self._add(new)
-            found = list(map(self.index.__getitem__, words))
-        return np.array(found, np.int64)
+            found[missing] = np.fromiter(map(self.index.__getitem__, unseen), np.int64, len(unseen))
+        return tuple(c[found] for c in self.columns)
 
     def _add(self, new: list[bytes]) -> None:
-        first, rows = len(self.bare), []
-        self.index.update(zip(new, range(first, first + len(new))))
-        for raw in new:
-            word = raw.decode("utf-8", "replace")
-            # The usual word, alone or before one sign, needs no pattern.
-            bare = word if word.isalpha() else word[:-1] if word[-1] in _ENDINGS else ""
-            if bare.isalpha():
-                literal, number = bare.lower(), False
-            else:
-                bare = word if word.isalnum() else _EDGES.sub("", word)
-                literal = _SIGNS.sub("", bare).lower()
-                number = not literal.isalpha() and any(map(str.isdigit, literal))
-            self.bare.append(bare)
-            rows.append((xxhash.xxh64_intdigest(literal.encode("utf-8", "replace")), number,
-                         literal in UNITS, bare[:1].isupper() and not number,
-                         word[-1] in _STOPS or word[-1] in _CLOSING and word.rstrip(_CLOSING)[-1:] in _STOPS))
-        size = first + len(new)
+        first, size = len(self.index), len(self.index) + len(new)
+        self.index.update(zip(new, range(first, size)))
         if size > len(self.columns[0]):
             self.columns = tuple(np.concatenate((c, np.zeros(max(size, len(c)), c.dtype)))
                                  for c in self.columns)
-        for column, values in zip(self.columns, zip(*rows)):
-            column[first:size] = np.array(values, column.dtype)
-
-
-_words = _Vocabulary()
-_KIND_HASHES = np.array([xxhash.xxh64_intdigest(k) for k in (NUMBER, UNIT, NAME)], np.uint64)
+        literals, *flags = zip(*map(_odd_form, new))
+        for column, values in zip(self.columns, (_hashes_of(literals), *flags)):
+            column[first:size] = values
+
+
+_odd_words = _OddWords()
+_UNIT_HASHES = np.sort(_hashes_of([u.encode() for u in sorted(UNITS)]))
+_KIND_HASHES = _hashes_of([k.encode() for k in (NUMBER, UNIT, NAME)])
+_IN_WORD = ~np.isin(np.arange(256), list(b"\x20\x09\x0a\x0b\x0c\x0d"))
+_IS_ENDING, _IS_STOP = (np.isin(np.arange(256), [ord(c) for c in signs]) for signs in (_ENDINGS, _STOPS))
+
+
+def _forms(data: bytes, at: int, stop: int) -> tuple[np.ndarray, ...]:
+    """Of the words in a stretch of a text that begins and ends between words:
+    first byte, end, hash of the literal form; is a number, a unit, a name; ends
+    a sentence.  Words of ASCII letters, alone or before one sign, are told by
+    their bytes all at once, the others are looked up."""
+    raw = np.frombuffer(data, np.uint8, stop - at, at)
+    inside = np.zeros(len(raw) + 2, np.int8)
+    inside[1:-1] = _IN_WORD[raw]
+    edges = np.flatnonzero(np.diff(inside))
+    starts, ends = edges[::2], edges[1::2]
+    lower = raw | 0x20
+    letter = (lower >= 97) & (lower <= 122)
+    letters = np.zeros(len(raw) + 1, np.int32)
+    np.cumsum(letter, out=letters[1:])
+    other = ends - starts - (letters[ends] - letters[starts])
+    first, last = raw[starts], raw[ends - 1]
+    plain = (other == 0) | (other == 1) & (ends - starts > 1) & _IS_ENDING[last]
+    hashes = _hashes(lower * letter, starts, ends)  # a last sign is a zero byte
+    number, closes = np.zeros(len(starts), bool), _IS_STOP[last]
+    unit, name = np.zeros(len(starts), bool), (first >= 65) & (first <= 90)
+    nearest = np.minimum(np.searchsorted(_UNIT_HASHES, hashes), len(_UNIT_HASHES) - 1)
+    for i in np.flatnonzero(plain & (_UNIT_HASHES[nearest] == hashes)).tolist():
+        unit[i] = _literal(_bare(data[at + starts[i]:at + ends[i]])) in UNITS
+    odd = np.flatnonzero(~plain)
+    if len(odd):
+        found = _odd_words.forms([data[i:j] for i, j in zip((at + starts[odd]).tolist(),
+                                                            (at + ends[odd]).tolist())])
+        for column, values in zip((hashes, number, unit, name, closes), found):
+            column[odd] = values
+    return at + starts, at + ends, hashes, number, unit, name, closes
+
+
+def _blocks(data: bytes) -> Iterator[tuple[np.ndarray, ...]]:
+    """``_forms`` of a whole text, about ``BLOCK`` bytes at a time."""
+    at = 0
+    while at < len(data):
+        cut = _SPACE.search(data, at + BLOCK)
+        stop = cut.start() if cut else len(data)
+        yield _forms(data, at, stop)
+        at = stop
 
 
 _POWERS = np.cumprod(np.full(WIDEST, 0xD6E8FEB86659FD93, np.uint64))
@@ -131,24 +218,25 @@ def windows(data: bytes | None, bits: np.ndarray | None = None, short: tuple[int
     too, as the first word's kind depends on what stands before.  Spans of the
     ``short`` numbers of words are given once each, as plain words."""
     seen: set[str] = set()
-    words: list[bytes] = []
-    before = skip = 0  # words before ``words``; positions there that are done or lack context
-    blocks = word_blocks(data or b"")
-    block = next(blocks, None)
+    data = data or b""
+    blocks = _blocks(data)
+    block, kept = next(blocks, None), None
+    before = skip = 0  # words before the kept ones; positions there that are done or lack context
     while block is not None:
-        words, block = words + block, next(blocks, None)
+        words = block if kept is None else tuple(map(np.concatenate, zip(kept, block)))
+        kept, block = words, next(blocks, None)
+        first, stops, hashes, number, unit, name, ends = words
+        n_words = len(first)
         # Positions up to ``last`` see all words they may need.
-        last = len(words) - (WIDEST if block is not None else 0)
+        last = n_words - (WIDEST if block is not None else 0)
         if last <= skip:
             continue
-        index = _words.lookup(words)
-        hashes, number, unit, name, ends = (c[index] for c in _words.columns)
-        kind = np.zeros(len(words), np.int8)
+        kind = np.zeros(n_words, np.int8)
         kind[1:][name[1:] & ~ends[:-1]] = 3
         kind[1:][unit[1:] & number[:-1]] = 2
         kind[number] = 1
         codes = np.where(kind > 0, _KIND_HASHES[kind - 1], hashes)
-        n = max(0, min(last, len(words) - WINDOW + 1))
+        n = max(0, min(last, n_words - WINDOW + 1))
         rolled = np.zeros(n, np.uint64)
         with np.errstate(over="ignore"):
             for i in range(WINDOW):
@@ -164,12 +252,12 @@ def windows(data: bytes | None, bits: np.ndarray | None = None, short: tuple[int
             begin = np.searchsorted(literals, literals[heavy + WINDOW] - MIN_LITERALS, "right") - 1
             for at, start, size in ((heavy, heavy, stop - heavy),
                                     (heavy, begin, heavy + WINDOW - begin)):
-                fits = (size <= WIDEST) & (start >= 0) & (start + size <= len(words))
+                fits = (size <= WIDEST) & (start >= 0) & (start + size <= n_words)
                 at, start, size = at[fits], start[fits], size[fits]
                 sorts.append((at, start, size, _spans(codes, start, size), False))
         bare_too = own[~good[skip:] | (kind[skip:n] == 3) | (before + own == 0)]
         for size, at in [(WINDOW, bare_too), *((k, np.arange(skip, max(
-                skip, min(last, len(words) - k + 1)))) for k in short)]:
+                skip, min(last, n_words - k + 1)))) for k in short)]:
             if len(at):
                 sizes = np.full(len(at), size)
                 sorts.append((at, at, sizes, _spans(hashes, at, sizes) ^ np.uint64(size << 44), True))
@@ -181,7 +269,8 @@ def windows(data: bytes | None, bits: np.ndarray | None = None, short: tuple[int
         for position, k, j, slot in sorted(met):
             start, size, plain = int(sorts[k][1][j]), int(sorts[k][2][j]), sorts[k][4]
             kinds = kind[start:start + size].tolist()
-            bare = [_words.bare[w] for w in index[start:start + size]]
+            bare = [_bare(data[a:b]) for a, b in zip(first[start:start + size].tolist(),
+                                                     stops[start:start + size].tolist())]
             if plain:
                 template, fillings = f"={size} " + " ".join(b.lower() for b in bare), ()
                 if size < WINDOW and template in seen:
@@ -189,12 +278,12 @@ def windows(data: bytes | None, bits: np.ndarray | None = None, short: tuple[int
                 seen.update([template] if size < WINDOW else [])
             else:
                 template = " ".join((NUMBER, UNIT, NAME)[f - 1] if f else
-                                    _SIGNS.sub("", b).lower() for f, b in zip(kinds, bare))
+                                    _literal(b) for f, b in zip(kinds, bare))
                 fillings = tuple(b for f, b in zip(kinds, bare) if f)
             yield slot, before + position, before + start, template, fillings
         # The words before a position may widen its window and tell its kind.
         keep = max(0, last - WIDEST - 1)
-        words, before, skip = words[keep:], before + keep, last - keep
+        kept, before, skip = tuple(c[keep:] for c in words), before + keep, last - keep
 
 
 def _short(data: bytes | None) -> tuple[int, ...]:

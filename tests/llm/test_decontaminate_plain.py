@@ -69,18 +69,23 @@ def test_repeated_phrase_makes_no_product_of_places(spark):
     assert {(x["doc_id"], x["item_id"]) for x in D.contaminated(docs, items).collect()} == {(i, 1) for i in range(4)}
 
 
-def test_vocabulary_forms():
+def test_word_forms():
     words = [b"Word", b"word,", b"a.b.", b"U.S.", b"3.14", b"\xc3\x89cole!", b"(hi)", b"km", b"5km,", b"don't", b"--",
-             b"x\xff", b'end."', b"\xe2\x80\x9cQuote", b"ab\xc2\xb2", b"?", b"\xe2\x85\xa7"]
-    words_ = D._Vocabulary()
-    index = words_.lookup(words + words)
-    assert (index[:len(words)] == index[len(words):]).all()
-    for i, raw in enumerate(words):
+             b"x\xff", b'end."', b"\xe2\x80\x9cQuote", b"ab\xc2\xb2", b"?", b"\xe2\x85\xa7", b"KM!", b"days", b"A", b"a;",
+             b"w" * 300_000, b"word", b'"word"', b"WORD.", b"[", b"@a", b"a`", b"day.."]
+    data = b"\t " + b" \n".join(words + words) + b"\r"
+    first, ends, hashes, *flags = D._forms(data, 0, len(data))
+    assert [data[i:j] for i, j in zip(first, ends)] == words + words
+    by_literal = {}
+    for i, raw in enumerate(words + words):
         word = raw.decode("utf-8", "replace")
         bare = D._EDGES.sub("", word)
         literal = D._SIGNS.sub("", bare).lower()
         number = not literal.isalpha() and any(map(str.isdigit, literal))
-        assert words_.bare[index[i]] == bare, word
-        assert [bool(c[index[i]]) for c in words_.columns[1:]] == [
+        assert (D._bare(raw), D._literal(bare)) == (bare, literal), word
+        assert [bool(c[i]) for c in flags] == [
             number, literal in D.UNITS, bare[:1].isupper() and not number,
             word.rstrip(D._CLOSING)[-1:] in D._STOPS], word
+        by_literal.setdefault(literal, set()).add(int(hashes[i]))
+    assert all(len(h) == 1 for h in by_literal.values())
+    assert len(set().union(*by_literal.values())) == len(by_literal)

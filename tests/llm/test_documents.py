@@ -400,16 +400,14 @@ def test_decontamination_of_a_long_quoted_part(spark):
 def test_heavy_windows_of_long_texts_do_not_depend_on_blocks(monkeypatch):
     text = (" 5 km 7 Mary of the 3 4 5 " * 3 + "9 Bo " * 30 + prose(71, 40) + " 8 9 a Jo") .encode() * 3
     whole = sorted(decontaminate.windows(text, short=(2,)))
-    blocks = decontaminate.word_blocks
-    monkeypatch.setattr(decontaminate, "word_blocks", lambda data: blocks(data, 50))
+    monkeypatch.setattr(decontaminate, "BLOCK", 50)
     assert sorted(decontaminate.windows(text, short=(2,))) == whole
 
 
 def test_windows_of_long_texts_do_not_depend_on_blocks(monkeypatch):
     text = (prose(70, 400) + " 5 km 7 Mary " + prose(71, 400)).encode()
     whole = list(decontaminate.windows(text))
-    blocks = decontaminate.word_blocks
-    monkeypatch.setattr(decontaminate, "word_blocks", lambda data: blocks(data, 50))
+    monkeypatch.setattr(decontaminate, "BLOCK", 50)
     assert list(decontaminate.windows(text)) == whole
 
 
