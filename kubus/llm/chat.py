@@ -49,7 +49,11 @@ def messages_from_turns(turns: DataFrame) -> DataFrame:
 
 def paths(messages: DataFrame) -> DataFrame:
     """(conv, leaf, node, up): every node on the way from a leaf to its root,
-    ``up`` steps above the leaf.  A message without its parent is a root."""
+    ``up`` steps above the leaf.  A message without its parent is a root.
+
+    Takes one row per (conv, node), neither null, as ``formatted`` passes them;
+    an empty table gives an empty result; other columns are not read.
+    """
     nodes = written(messages.select("conv", "node", "parent"), "chat-nodes")
     links = nodes.alias("n").join(
         nodes.select(F.col("conv").alias("c"), F.col("node").alias("above")),
@@ -77,7 +81,8 @@ def paths(messages: DataFrame) -> DataFrame:
 
 def chosen(messages: DataFrame, found: DataFrame, branches: int = 1) -> DataFrame:
     """(conv, leaf, branch): the ``branches`` paths of each conversation with
-    the highest mean score; ties go to the least leaf."""
+    the highest mean score; ties go to the least leaf.  Null scores do not count
+    in a mean, paths without a score come last; empty tables give an empty result."""
     scores = found.join(messages.select("conv", "node", "score"), ["conv", "node"]) \
         .groupBy("conv", "leaf").agg(F.avg("score").alias("score"))
     rank = Window.partitionBy("conv").orderBy(F.desc("score"), "leaf")
@@ -133,7 +138,9 @@ def formatted(messages: DataFrame, branches: int = 1, unique: bool = False) -> D
 
 def parsed(output: DataFrame) -> DataFrame:
     """(conv_id, branch, formatted, turns, loss): turns (role, text) and the
-    texts under the mask, both read from the formatted string."""
+    texts under the mask, both read from the formatted string.  Takes rows of
+    ``formatted``: null ids are kept, equal rows give equal rows, an empty table
+    gives an empty result; other columns are not read."""
     parts = output.withColumn("parts", F.split("formatted", END)) \
         .withColumn("parts", F.slice("parts", F.lit(1), F.size("parts") - 1))
 

@@ -466,7 +466,13 @@ def _by_place(met: DataFrame, sizes: DataFrame, min_share: float) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHARE) -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, with all columns."""
+    """The rows of ``docs`` that hold no benchmark item, with all columns.
+
+    Null and empty texts hold nothing and stay; null ids are judged by their
+    text like others; repeated rows go or stay together; an empty table or an
+    empty benchmark changes nothing; further columns may have any name but
+    ``_bad_id`` and ``_bad_hash``.
+    """
     bad = written(contaminated(docs, benchmark, min_share).select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(),
         "bench-bad")

@@ -151,7 +151,11 @@ def _place(batches: Iterator[pa.RecordBatch], rules: np.ndarray) -> Iterator[pa.
 
 def place(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32, part, rank, sequence_id,
-    offset) for every row of ``tokenised``; the ids themselves stay there."""
+    offset) for every row of ``tokenised``; the ids themselves stay there.
+
+    Pieces of equal length are alike, whatever their documents; null and repeated
+    doc_ids are kept, an empty table gives an empty result.
+    """
     per_part = written(pieces.groupBy("length", "part").agg(F.count("*").alias("n")), "pack-counts")
     # At most ``capacity`` rows: one per length.
     counts = {r["length"]: r["n"] for r in
@@ -181,7 +185,7 @@ def pack(docs: DataFrame, tokenizer: str, kind: str, end_id: int,
 
 def sequences(pieces: DataFrame, placed: DataFrame) -> DataFrame:
     """(sequence_id, length, ids): the packed sequences.  A group holds at
-    most one sequence's capacity of ids."""
+    most one sequence's capacity of ids; empty tables give an empty result."""
     own = ["length", "part", "rank"]
     rows = placed.select(*own, "sequence_id", "offset").join(pieces.select(*own, "ids"), own)
     return rows.groupBy("sequence_id").agg(
