@@ -470,8 +470,7 @@ def keep_clean(docs: DataFrame, benchmark: DataFrame, min_share: float = MIN_SHA
 
     Null and empty texts hold nothing and stay; null ids are judged by their
     text like others; repeated rows go or stay together; an empty table or an
-    empty benchmark changes nothing; further columns may have any name but
-    ``_bad_id`` and ``_bad_hash``.
+    empty benchmark changes nothing; further columns may have any name.
     """
     bad = written(contaminated(docs, benchmark, min_share).select(
         F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct(),

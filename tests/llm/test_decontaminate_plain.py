@@ -89,3 +89,12 @@ def test_word_forms():
         by_literal.setdefault(literal, set()).add(int(hashes[i]))
     assert all(len(h) == 1 for h in by_literal.values())
     assert len(set().union(*by_literal.values())) == len(by_literal)
+
+
+def test_keep_clean_with_odd_rows_and_clashing_names(spark):
+    text = "what is the capital of the small island state in the north"
+    rows = [(1, text, 5), (2, None, 6), (2, None, 6), (3, "clean words here", 7), (None, text, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _bad_id long")
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    assert [tuple(r) for r in D.keep_clean(docs, items).orderBy("doc_id").collect()] == rows[1:4]
+    assert D.keep_clean(docs, items.limit(0)).count() == 5 and D.keep_clean(docs.limit(0), items).count() == 0
