@@ -3,10 +3,13 @@
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from kubus import queries as Q
+from kubus.operators import cube as C
 from kubus.operators import dims as D
 from kubus.operators import facts as FT
+from kubus.plans.star import FrameStar
 
 
 @pytest.fixture
@@ -70,3 +73,23 @@ def test_sales_years_come_in_pieces(spark, sf_rows, settings):
         lines.append(tuple(r[c] or None for c in Q.SALES_COLUMNS))
         assert r.source_line == len(lines) + 1
     assert found == want
+
+
+def test_finest_cube_copies_no_base_rows(spark, sf_rows):
+    for operator in (C.analysis, C.grouping_sets):
+        plan = operator(Q.star(spark, sf_rows), "shop", "day", "article")._jdf.queryExecution() \
+            .optimizedPlan().toString()
+        assert "Expand" not in plan
+
+
+@pytest.mark.parametrize("levels", [("shop", "day", "article"), ("region", "year", "productCategory")])
+def test_cube_dealt_by_product_equals_expand(spark, sf_rows, levels):
+    frame = Q.star(spark, sf_rows).frame()
+    odd = [F.when(F.col("l") % 5 != 2, F.col(c)).alias(c) if c in ("shop_name", "article_name", "region_name",
+           "product_category_name", "day", "year", "quantity_sold", "revenue") else F.col(c) for c in frame.columns]
+    frame = frame.withColumn("l", F.xxhash64("revenue")).select(*odd)
+    for df in (frame, frame.where("shop_key < 0")):
+        for operator in (C.analysis, C.grouping_sets):
+            a, b = (operator(FrameStar(df), *levels, strategy=s) for s in ("by_product", "expand"))
+            assert a.schema.simpleString() == b.schema.simpleString()
+            assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
