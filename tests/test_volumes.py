@@ -9,6 +9,7 @@ from kubus import queries as Q
 from kubus.operators import cube as C
 from kubus.operators import dims as D
 from kubus.operators import facts as FT
+from kubus.operators import stats as S
 from kubus.plans.star import FrameStar
 
 
@@ -93,3 +94,32 @@ def test_cube_dealt_by_product_equals_expand(spark, sf_rows, levels):
             a, b = (operator(FrameStar(df), *levels, strategy=s) for s in ("by_product", "expand"))
             assert a.schema.simpleString() == b.schema.simpleString()
             assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_distinct_by_level_pairs_no_buckets(spark, sf_rows):
+    frame = Q.star(spark, sf_rows).frame()
+    odd = [F.when(F.col("l") % 5 != 2, F.col(c)).alias(c) if c in (
+        "shop_key", "product_key", "region_name", "quarter", "product_family_name") else F.col(c)
+        for c in frame.columns]
+    frame = frame.withColumn("l", F.xxhash64("revenue")).select(*odd)
+    found = S.distinct_by_level(frame, "region", "quarter", "productFamily")
+    cols = ("region_name", "quarter", "product_family_name")
+    want = {}
+    for r in frame.collect():
+        for drop in range(8):
+            flags = tuple(drop >> i & 1 for i in range(3))
+            level = tuple(None if f or r[c] is None else str(r[c]) for c, f in zip(cols, flags))
+            for keys, c in zip(want.setdefault((*level, *flags), (set(), set())), ("product_key", "shop_key")):
+                keys.update({r[c]} - {None})
+    assert {tuple(r)[:6]: tuple(r)[6:] for r in found.collect()} == {
+        k: tuple(map(len, v)) for k, v in want.items()}
+    assert found.count() == len(want)
+
+
+def test_distinct_bitmaps_follow_buckets_not_their_pairs(spark, monkeypatch):
+    kept = []
+    monkeypatch.setattr(S, "written", lambda df, name: kept.append(df) or df)
+    frame = spark.range(100).selectExpr("'r' AS region_name", "1 AS quarter", "'f' AS product_family_name",
+                                        "id DIV 10 * 32768 AS product_key", "id % 10 * 32768 AS shop_key")
+    S.distinct_by_level(frame, "region", "quarter", "productFamily").collect()
+    assert kept[0].count() == 20  # not 100
