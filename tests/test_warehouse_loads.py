@@ -73,6 +73,41 @@ def test_a_period_replaces_its_own_years_only(spark, dims, tmp_path):
         W.load_period(out, batch, [], 1)
 
 
+def exchanges(spark, monkeypatch, run):
+    """Shuffles of the lines in the plan that ``run`` writes classified lines with."""
+    plans, write = [], W.write_classified
+
+    def kept(classified, *args, **kw):
+        sort = type(classified).sortWithinPartitions
+        with monkeypatch.context() as m:
+            m.setattr(type(classified), "sortWithinPartitions",
+                      lambda df, *by: plans.append(sort(df, *by)) or plans[-1])
+            return write(classified, *args, **kw)
+
+    monkeypatch.setattr(W, "write_classified", kept)
+    run()
+    lines = plans[0]._jdf.queryExecution().executedPlan().toString().splitlines()
+    return [x for x in lines if "Exchange" in x and "Broadcast" not in x and "article_name" not in x]
+
+
+@pytest.mark.parametrize("threshold", ["-1", "10m"])
+def test_a_load_shuffles_its_lines_once(spark, dims, tmp_path, monkeypatch, threshold):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    text = sales_text(spark).repartition(16)
+    W.build_warehouse(str(tmp_path), *dims, text.limit(0))
+    text.write.parquet(str(tmp_path / "text"))
+    text = spark.read.parquet(str(tmp_path / "text"))
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        found = exchanges(spark, monkeypatch, lambda: W.load_period(str(tmp_path), text, [2019, 2020], 1))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    # Without broadcasts the shops and the calendar shuffle their lookups, too.
+    articles = [x for x in found if "hashpartitioning(Article" in x]
+    assert len(articles) == 1 and not [x for x in found if "sale_year" in x]
+    assert threshold == "-1" or found == articles
+
+
 def test_append_to_a_dimension_that_exists(spark, tmp_path):
     path = str(tmp_path / "dim_date")
     for _ in range(2):
