@@ -1,5 +1,6 @@
 """What travels between tasks: shuffles carry keys and a line's own text."""
 
+import os
 from datetime import datetime
 
 import pytest
@@ -76,6 +77,16 @@ def test_sales_years_come_in_pieces(spark, sf_rows, settings):
     assert found == want
 
 
+def test_sales_files_are_compressed(spark, sf_rows):
+    path = Q.sales_files(spark, sf_rows)
+    names = [f for _, _, files in os.walk(path.removeprefix("file:")) for f in files if f.startswith("part-")]
+    assert names and all(f.endswith(".csv.gz") for f in names)
+    found = Q.read_sales_csv(spark, path).select(*Q.SALES_COLUMNS)
+    want = Q.tpch_sales_text(Q.star(spark, sf_rows))
+    assert sorted(tuple(v or "" for v in r) for r in found.collect()) \
+        == sorted(tuple(v or "" for v in r) for r in want.collect())
+
+
 def test_finest_cube_copies_no_base_rows(spark, sf_rows):
     for operator in (C.analysis, C.grouping_sets):
         plan = operator(Q.star(spark, sf_rows), "shop", "day", "article")._jdf.queryExecution() \
