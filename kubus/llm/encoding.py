@@ -33,6 +33,9 @@ _KINDS = {
     "dropped": (re.compile(rf"[{_L}]+(?=[{_MARK}])|[^{_W}]+"), " \u2605 "),
 }
 _BATCH = 200
+# Text held as pieces at once: the more, the fewer looks a repeated piece costs.
+SLICE_BYTES = 1 << 22
+_PROBE = "thequickbrownfoxjumpsoverthelazydog"
 # Classes of bytes; a text with white space beyond ASCII is cut by the patterns above.
 _OTHER, _LETTER, _SIGN, _WHITE = range(4)
 _CLASS = np.zeros(256, np.uint8)
@@ -84,7 +87,7 @@ class Encoder:
     """
 
     def __init__(self, path: str, kind: str, cache_size: int = 250_000,
-                 slice_bytes: int = 1 << 20) -> None:
+                 slice_bytes: int = SLICE_BYTES) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.model._resize_cache(0)  # every piece reaches the library once
         # Strings of added tokens are cut out before anything else, as the library does.
@@ -99,6 +102,11 @@ class Encoder:
         self.mark = self._encode([self.separator])[0]
         if len(self.mark) != 1:
             raise ValueError("the separator must be one token")
+        # Of plain small letters the lower-casing kind's normaliser and cutter change
+        # nothing, so the library's model takes them as they are.
+        self.model = self.tokenizer.model
+        if self.bare and self._plain(_PROBE) != self._encode([_PROBE])[0].tobytes():
+            raise ValueError("small letters must reach the model unchanged")
         self.cache_size, self.slice_bytes = cache_size, slice_bytes
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
@@ -107,6 +115,10 @@ class Encoder:
         return [np.array(e.ids, ID_TYPE)
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _plain(self, letters: str) -> bytes:
+        """Ids of a piece of small ASCII letters."""
+        return np.array([token.id for token in self.model.tokenize(letters)], ID_TYPE).tobytes()
+
     def _encode_pieces(self, texts: list[str]) -> Iterator[tuple[str, bytes]]:
         # A piece that could merge with the separator is encoded by itself.
         sign = self.separator.strip(" ")
@@ -134,7 +146,11 @@ class Encoder:
         texts = [p.decode() for p in raw]
         if self.bare:
             texts = [t.strip(" \t\n\v\f\r") for t in texts]
-        ids = dict(self._encode_pieces(list(dict.fromkeys(texts))))
+        other, ids = dict.fromkeys(texts), {}
+        if self.bare:
+            ids = {t: self._plain(t) for t in other if t.isascii() and t.isalpha() and t.islower()}
+            other = [t for t in other if t not in ids]
+        ids.update(self._encode_pieces(list(other)))
         self.known.update(zip(raw, map(ids.__getitem__, texts)))
 
     def _look_up(self, pieces: list[bytes]) -> list[bytes]:

@@ -23,12 +23,13 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import ship, written
-from .encoding import ID_TYPE, encoder
+from .encoding import ID_TYPE, SLICE_BYTES, encoder
 
 CAPACITY = 4096
 
@@ -97,6 +98,13 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> np.ndarray:
     return np.array(sorted(rules), np.int64).reshape(-1, 6)
 
 
+def _shares(texts: pa.Array, size: int = SLICE_BYTES) -> list[tuple[int, int]]:
+    """(first row, rows) of consecutive shares; the texts after a share's first hold less than ``size`` bytes."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    cuts = np.append(np.flatnonzero(np.diff(upto // size)) + 1, len(upto)).tolist() if len(upto) else []
+    return [(at, end - at) for at, end in zip([0, *cuts], cuts)]
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, kind: str, end_id: int,
             capacity: int) -> Iterator[pa.RecordBatch]:
     """Pieces of documents; ``rank`` counts those of one length in this task."""
@@ -104,10 +112,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], tokenizer: str, kind: str, end_id
     end, code = np.array([end_id], ID_TYPE).tobytes(), encoder(tokenizer, kind)
     size = capacity * ID_TYPE.itemsize
     for batch in batches:
-        for at in range(0, batch.num_rows, 512):
-            some = code.encode(batch.column(1).slice(at, 512).to_pylist())
+        for at, n in _shares(batch.column(1)):
+            some = code.encode(batch.column(1).slice(at, n).to_pylist())
             rows: list[tuple] = []
-            for doc_id, ids in zip(batch.column(0).slice(at, 512).to_pylist(), some):
+            for doc_id, ids in zip(batch.column(0).slice(at, n).to_pylist(), some):
                 ids += end
                 for piece, cut in enumerate(range(0, len(ids), size)):
                     own = ids[cut:cut + size]
