@@ -12,6 +12,7 @@ from kubus.operators import dims as D
 from kubus.operators import facts as FT
 from kubus.operators import stats as S
 from kubus.plans.star import FrameStar
+from kubus.sources.sales_text import tpch_sales_lines
 
 
 @pytest.fixture
@@ -60,6 +61,28 @@ def test_lookups_shuffle_text_only(spark, sf_rows, settings):
     assert "AS sale_revenue" in plan[:lookup] and "AS sale_revenue" not in plan[lookup:]
 
 
+def test_orders_give_their_date_to_the_joins(spark, sf_rows):
+    plan = tpch_sales_lines(Q.star(spark, sf_rows))._jdf.queryExecution().optimizedPlan().toString()
+    assert "AS DATE)" in plan.upper() and plan.upper().index("AS DATE)") > plan.index("(l_orderkey")
+
+
+def test_a_load_shuffles_numbers_of_files(spark, sf_rows, settings):
+    settings(spark__sql__autoBroadcastJoinThreshold="-1")
+    st = Q.star(spark, sf_rows)
+    text = Q.tpch_sales_text(st, ("l_orderkey", "l_linenumber")).selectExpr(
+        *Q.SALES_COLUMNS, "CASE WHEN l_orderkey % 5 <> 1 THEN concat('file ', l_orderkey % 3) END AS source_file",
+        "l_orderkey * 10L + l_linenumber AS source_line")
+    text = text.unionByName(text.where("source_line % 7 = 0"))  # some lines come twice
+    dims = st.dim_shop(), st.dim_product(), D.calendar(spark, 1996, 1998)
+    found = FT.classify_sales(text, *dims, deal=True)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    lookup = next(i for i, x in enumerate(plan) if "Join LeftOuter, (Article" in x)
+    assert "_file#" in plan[lookup + 1]
+    want = FT.classify_sales(text, *dims)
+    assert found.columns == want.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, want.collect()))
+
+
 def test_sales_years_come_in_pieces(spark, sf_rows, settings):
     settings(spark__sql__adaptive__coalescePartitions__enabled="false")
     text = Q.sales_csv(spark, sf_rows)
