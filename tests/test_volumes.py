@@ -66,6 +66,13 @@ def test_orders_give_their_date_to_the_joins(spark, sf_rows):
     assert "AS DATE)" in plan.upper() and plan.upper().index("AS DATE)") > plan.index("(l_orderkey")
 
 
+def test_lines_are_kept_without_names(spark, sf_rows, monkeypatch):
+    kept, write = [], Q.written
+    monkeypatch.setattr(Q, "written", lambda df, name: kept.append(df.columns) or write(df, name))
+    Q.sales_files(spark, sf_rows)
+    assert kept == [[*Q.LINE_KEYS, "l_quantity", "o_orderdate"]]
+
+
 def test_a_load_shuffles_numbers_of_files(spark, sf_rows, settings):
     settings(spark__sql__autoBroadcastJoinThreshold="-1")
     st = Q.star(spark, sf_rows)
